@@ -95,3 +95,76 @@ treated AS (
 
 def base(cfg: CampaignSchema = DEFAULT) -> list[str]:
     return [mart(), treated(cfg)]
+
+
+def segmented(cfg: CampaignSchema = DEFAULT) -> str:
+    """CTEs hist → bnd → km (recursive Lloyd) → fin → seg0 → ranks →
+    segmented (needs ``treated``). Mirrors operators.rfm exactly."""
+    k = cfg.rfm_k
+    comps = cfg.rfm_components
+    hist = " UNION ALL ".join(
+        f"SELECT {q(vc)} AS comp, CAST({vc} AS BIGINT) AS v, count(*) AS w FROM treated WHERE {vc} IS NOT NULL GROUP BY {vc}"
+        for vc, _, _ in comps
+    )
+    cs = [f"c{i}" for i in range(k)]
+    init = ", ".join(f"lo + (hi - lo) * {2 * i + 1} / {2 * k}" for i in range(k))
+
+    def lab(prefix: str, v: str) -> str:
+        return " + ".join(
+            f"CASE WHEN {v} > ({prefix}c{i} + {prefix}c{i + 1}) / 2 THEN 1 ELSE 0 END" for i in range(k - 1)
+        ) or "0"
+
+    new = ", ".join(
+        f"coalesce(sum(h.v * h.w) FILTER (WHERE {lab('km.', 'h.v')} = {i}) / "
+        f"sum(h.w) FILTER (WHERE {lab('km.', 'h.v')} = {i}), km.c{i}) AS n{i}"
+        for i in range(k)
+    )
+    same = " AND ".join(f"n{i} = c{i}" for i in range(k))
+    seg_cols = []
+    joins = []
+    for vc, cc, _ in comps:
+        a = cc.lower()
+        seg_cols.append(f"CAST({lab(a + '.', 't.' + vc)} AS BIGINT) AS {cc}")
+        joins.append(f"(SELECT * FROM fin WHERE comp = {q(vc)}) {a}")
+    rank_parts = []
+    for vc, cc, hib in comps:
+        order = "ASC" if hib else "DESC"
+        rank_parts.append(
+            f"SELECT {q(vc)} AS comp, {cc} AS cl, CAST(row_number() OVER (ORDER BY avg({vc}) {order}) - 1 AS BIGINT) AS score "
+            f"FROM seg0 GROUP BY {cc}"
+        )
+    score_name = {"Cluster_Frequency": "Frequency_Score", "Cluster_Monetary": "Monetary_Score", "Cluster_Recency": "Recency_Score"}
+    score_joins = " ".join(
+        f"JOIN ranks r{j} ON r{j}.comp = {q(vc)} AND r{j}.cl = s.{cc}" for j, (vc, cc, _) in enumerate(comps)
+    )
+    idx = {cc: j for j, (_, cc, _) in enumerate(comps)}
+    score_sel = ", ".join(
+        f"r{idx[cc]}.score AS {score_name[cc]}" for cc in ("Cluster_Frequency", "Cluster_Recency", "Cluster_Monetary")
+    )
+    rmf = " + ".join(f"r{idx[cc]}.score" for cc in ("Cluster_Frequency", "Cluster_Recency", "Cluster_Monetary"))
+    return f"""hist AS ({hist}),
+bnd AS (SELECT comp, min(v) AS lo, max(v) AS hi FROM hist GROUP BY comp),
+km(comp, it, {', '.join(cs)}, done) AS (
+  SELECT comp, 0, {init}, false FROM bnd
+  UNION ALL
+  SELECT comp, it + 1, {', '.join(f'n{i}' for i in range(k))}, ({same})
+  FROM (
+    SELECT km.comp, km.it, {', '.join('km.' + c for c in cs)}, {new}
+    FROM km JOIN hist h ON h.comp = km.comp
+    WHERE NOT km.done AND km.it < {cfg.rfm_max_rounds}
+    GROUP BY km.comp, km.it, {', '.join('km.' + c for c in cs)}
+  )
+),
+fin AS (SELECT * FROM km WHERE (comp, it) IN (SELECT comp, max(it) FROM km GROUP BY comp)),
+seg0 AS (SELECT t.*, {', '.join(seg_cols)} FROM treated t, {', '.join(joins)}),
+ranks AS ({' UNION ALL '.join(rank_parts)}),
+segmented AS (
+  SELECT s.*, {score_sel}, CAST({rmf} AS BIGINT) AS RMF_Score,
+    {segment_label('(' + rmf + ')')} AS Segmentation,
+    CASE WHEN s.Total_Purchases > 0 THEN s.Total_Spent / s.Total_Purchases ELSE 0.0 END AS APV
+  FROM seg0 s {score_joins}
+)"""
+
+
+def seg_base(cfg: CampaignSchema = DEFAULT) -> list[str]:
+    return [mart(), treated(cfg), segmented(cfg)]
