@@ -84,7 +84,10 @@ def _label_expr(centers_by_comp: dict[str, list[float]]) -> Column:
 
 def fit_rfm(df: DataFrame, cfg: CampaignSchema = DEFAULT) -> dict[str, ComponentModel]:
     """Fit the three component models; returns centres per component."""
-    hist = value_histogram(df, cfg).checkpoint(eager=True)
+    hist = value_histogram(df, cfg)
+    # one partition per ~2M distinct values: rounds are then scheduling-bound
+    n_hist = hist.count()
+    hist = hist.repartition(max(1, n_hist // 2_000_000 + 1)).checkpoint(eager=True)
     k = cfg.rfm_k
     bounds = {r["component"]: (r["lo"], r["hi"]) for r in
               hist.groupBy("component").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}

@@ -8,15 +8,11 @@ from cohortlens.config import DEFAULT, SEGMENT_ORDER
 from cohortlens.functions.exprs import segment_code
 from cohortlens.operators import rfm
 from cohortlens.plans import sql as S
-from cohortlens.plans.registry import add, treated
+from cohortlens.plans.registry import add, segmented
 
 SB = S.seg_base()
 
 
-def segmented(spark, sf_dir):
-    return rfm.segment(treated(spark, sf_dir), DEFAULT)
-
-
 def sel(select: str, *extra: str) -> str:
     return S.with_ctes(*SB, *extra, select=select)
 

@@ -26,12 +26,33 @@ def add(name: str, fn: Builder, sql: str | None = None) -> None:
     REGISTRY[name] = (fn, sql)
 
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Build a shared intermediate table once per session and scale, written
+    with a reliable ``checkpoint`` to the shared checkpoint folder (cuts the
+    lineage; survives executor loss). Mirrors the reference persisting its
+    treated / segmented tables and caching loads."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _MEMO.get(key)
+    if df is None:
+        df = build().checkpoint(eager=True)
+        _MEMO[key] = df
+    return df
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_campaign(spark, sf_dir)
+    return materialized(spark, sf_dir, "raw", lambda: raw_campaign(spark, sf_dir))
 
 
 def treated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return treat(raw_campaign(spark, sf_dir), DEFAULT)
+    return materialized(spark, sf_dir, "treated", lambda: treat(raw(spark, sf_dir), DEFAULT))
+
+
+def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortlens.operators.rfm import segment
+    return materialized(spark, sf_dir, "segmented", lambda: segment(treated(spark, sf_dir), DEFAULT))
 
 
 @lru_cache(maxsize=1)
