@@ -17,6 +17,7 @@ from cohortlens.config import (
     CampaignSchema,
 )
 from cohortlens.functions.exprs import first_argmax_label, null_safe_sum
+from cohortlens.functions.quantiles import quantile_scalar
 
 PURCHASE_COLUMNS = ["NumDealsPurchases", "NumWebPurchases", "NumCatalogPurchases", "NumStorePurchases"]
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -56,8 +57,8 @@ def parse_dates_expr(df: DataFrame, column: str = "Dt_Customer") -> Column:
         return F.to_date(c)
     text = c.cast("string")
     all_iso = df.select(F.coalesce(F.bool_and(text.rlike(ISO_DATE)), F.lit(True))).scalar()
-    primary = F.when(all_iso, F.try_to_date(text, F.lit("yyyy-MM-dd"))).otherwise(
-        F.coalesce(F.try_to_date(text, F.lit("d-M-yyyy")), F.try_to_date(text, F.lit("d/M/yyyy")))
+    primary = F.when(all_iso, F.try_to_date(text, "yyyy-MM-dd")).otherwise(
+        F.coalesce(F.try_to_date(text, "d-M-yyyy"), F.try_to_date(text, "d/M/yyyy"))
     )
     parsed = F.coalesce(primary, F.try_to_date(text))
     return F.when(
@@ -101,7 +102,7 @@ def drop_income_outlier(df: DataFrame) -> DataFrame:
 
 def impute_income(df: DataFrame) -> DataFrame:
     """Fill null Income with the median (2 dp, half-even)."""
-    med = df.select(F.median("Income")).scalar()
+    med = quantile_scalar(df, "Income", 0.5)
     return df.withColumn("Income", F.coalesce(F.col("Income"), F.bround(med, 2)))
 
 

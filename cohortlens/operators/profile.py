@@ -2,7 +2,7 @@
 
 Every profile is ONE wide aggregate over the table (partial aggregation per
 partition, one tiny final merge) followed by a narrow unpivot of the single
-result row. Quantiles use Spark's exact ``percentile``; distributions
+result row. Quantiles come from functions.quantiles (exact, bounded memory); distributions
 (histograms, KDE) aggregate a value histogram, never raw rows on one task.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import unpivot_exprs
+from cohortlens.functions.quantiles import exact_quantiles, quantile_wide, quantiles_scalar
 
 
 def _long(wide: DataFrame, pairs, key: str = "column") -> DataFrame:
@@ -66,39 +67,47 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in ("bigint", "int", "double", "smallint", "float")]
 
 
+def _melt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value) rows: a bounded, narrow fan-out used to compute
+    per-column quantiles as one grouped job."""
+    return df.select(unpivot_exprs([(c, F.col(c).cast("double")) for c in cols], "column", "value").alias("kv")).select("kv.*")
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """P5: count, mean, sample std, min, exact quartiles, max per numeric column."""
     cols = list(columns or numeric_columns(df))
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"),
-                 F.min(c).cast("double").alias(f"lo_{c}"), F.percentile(c, [0.25, 0.5, 0.75]).alias(f"q_{c}"),
-                 F.max(c).cast("double").alias(f"hi_{c}")]
+                 F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
     wide = df.agg(*aggs)
     pairs = [(c, F.struct(
         F.col(f"n_{c}").alias("count"), F.round(F.col(f"m_{c}"), 4).alias("mean"), F.round(F.col(f"s_{c}"), 4).alias("std"),
-        F.col(f"lo_{c}").alias("min"), F.round(F.col(f"q_{c}")[0], 4).alias("q25"), F.round(F.col(f"q_{c}")[1], 4).alias("q50"),
-        F.round(F.col(f"q_{c}")[2], 4).alias("q75"), F.col(f"hi_{c}").alias("max"))) for c in cols]
-    return _long(wide, pairs)
+        F.col(f"lo_{c}").alias("min"), F.col(f"hi_{c}").alias("max"))) for c in cols]
+    quart = quantile_wide(_melt(df, cols), "value", [0.25, 0.5, 0.75], ["column"], ["q25", "q50", "q75"])
+    return _long(wide, pairs).join(F.broadcast(quart), "column", "left").select(
+        "column", "count", "mean", "std", "min", F.round("q25", 4).alias("q25"), F.round("q50", 4).alias("q50"),
+        F.round("q75", 4).alias("q75"), "max")
 
 
 def scalar_stats(df: DataFrame, columns: Sequence[str] = ("Age", "Income")) -> DataFrame:
     """Mean / median / std / min / max."""
     aggs = []
     for c in columns:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.median(c).alias(f"md_{c}"), F.stddev_samp(c).alias(f"s_{c}"),
+        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"),
                  F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
     wide = df.agg(*aggs)
-    pairs = [(c, F.struct(F.round(F.col(f"m_{c}"), 4).alias("mean"), F.round(F.col(f"md_{c}"), 4).alias("median"),
+    pairs = [(c, F.struct(F.round(F.col(f"m_{c}"), 4).alias("mean"),
                           F.round(F.col(f"s_{c}"), 4).alias("std"), F.col(f"lo_{c}").alias("min"),
                           F.col(f"hi_{c}").alias("max"))) for c in columns]
-    return _long(wide, pairs)
+    med = quantile_wide(_melt(df, columns), "value", [0.5], ["column"], ["median"])
+    return _long(wide, pairs).join(F.broadcast(med), "column", "left").select(
+        "column", "mean", F.round("median", 4).alias("median"), "std", "min", "max")
 
 
 def _fences(df: DataFrame, c: str):
     """Quartiles as a scalar subquery struct; fences at 1.5·IQR."""
-    q = df.select(F.percentile(c, [0.25, 0.5, 0.75]).alias("q")).scalar()
-    q1, q2, q3 = q[0], q[1], q[2]
+    q1, q2, q3 = quantiles_scalar(df, c, [0.25, 0.5, 0.75])
     iqr = q3 - q1
     return q1, q2, q3, q1 - 1.5 * iqr, q3 + 1.5 * iqr
 
@@ -130,8 +139,7 @@ def box_outliers(df: DataFrame, column: str, id_col: str = "ID") -> DataFrame:
 def box_stats_by(df: DataFrame, column: str, by: str) -> DataFrame:
     """P7 per group (e.g. Recency by Response): group quartiles are joined
     back as a broadcast of one row per group."""
-    q = df.groupBy(by).agg(F.percentile(column, [0.25, 0.5, 0.75]).alias("q"))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = quantile_wide(df, column, [0.25, 0.5, 0.75], [by], ["q1", "median", "q3"])
     q = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
                  (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
     v = F.col(column).cast("double")

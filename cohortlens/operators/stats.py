@@ -19,6 +19,7 @@ from cohortlens.config import (
     PRODUCT_COLUMNS, TOP_DECILE_FEATURES, product_label,
 )
 from cohortlens.functions.exprs import null_safe_sum, round_half_up, unpivot_exprs
+from cohortlens.functions.quantiles import quantile_scalar
 
 WHOLE = Window.partitionBy()  # only applied to aggregated, category-bounded rows
 
@@ -160,7 +161,7 @@ def spend_pivot(df: DataFrame) -> DataFrame:
 def top_decile_profile(df: DataFrame, features: Sequence[str] = TOP_DECILE_FEATURES) -> DataFrame:
     """Mean features of the top spend decile (≥ linear 0.9 quantile) and
     of the rest, min–max scaled by the population (zero range → 1)."""
-    thr = df.select(F.percentile("Total_Spent", 0.9)).scalar()
+    thr = quantile_scalar(df, "Total_Spent", 0.9)
     top = F.col("Total_Spent") >= thr
     aggs = []
     for f in features:
