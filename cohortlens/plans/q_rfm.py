@@ -66,9 +66,4 @@ add("segment_codes", lambda s, d: segmented(s, d).select(
     segment_code(F.col("Segmentation")).alias("Segment_Code")),
     sel("SELECT ID, RMF_Score, Recency, Total_Purchases, Total_Spent, APV, Segmentation, "
         f"{S.segment_code('Segmentation')} AS Segment_Code FROM segmented"))
-add("rfm_points", lambda s, d: segmented(s, d).select(
-    "ID", "Total_Purchases", "Recency", "Total_Spent", "Segmentation",
-    F.col("Cluster_Recency").cast("string").alias("Cluster_Recency_label"),
-    (F.col("ID") == F.lit(0)).alias("is_selected")),
-    None)
 assert SEGMENT_ORDER
