@@ -21,14 +21,16 @@ from cohortlens.config import (
 from cohortlens.functions.exprs import null_safe_sum, round_half_up, unpivot_exprs
 from cohortlens.functions.quantiles import quantile_scalar
 
-WHOLE = Window.partitionBy()  # only applied to aggregated, category-bounded rows
+def _whole() -> Window:
+    """Window over all rows — only applied to aggregated, category-bounded rows."""
+    return Window.partitionBy()
 
 
 def product_share(df: DataFrame) -> DataFrame:
     """A1: gross spend per product, % of all spend (2 dp), descending."""
     wide = df.agg(*[F.sum(c).alias(c) for c in PRODUCT_COLUMNS])
     long = wide.select(unpivot_exprs([(product_label(c), F.col(c)) for c in PRODUCT_COLUMNS], "Product", "Gross").alias("kv")).select("kv.*")
-    total = F.sum("Gross").over(WHOLE)
+    total = F.sum("Gross").over(_whole())
     return long.select(
         "Product", F.round(F.col("Gross") * 100 / total, 2).alias("Pct"), F.col("Gross").cast("bigint").alias("Gross")
     ).orderBy(F.desc("Pct"), "Product")
@@ -70,7 +72,7 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
     """Count and % (2 dp) per category, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("Frequency"))
     return counts.select(
-        column, "Frequency", F.round(F.col("Frequency") * 100 / F.sum("Frequency").over(WHOLE), 2).alias("Percentage")
+        column, "Frequency", F.round(F.col("Frequency") * 100 / F.sum("Frequency").over(_whole()), 2).alias("Percentage")
     ).orderBy(F.desc("Frequency"), column)
 
 
@@ -83,7 +85,7 @@ def crosstab(df: DataFrame, row: str = "Education", column: str = "Marital_Statu
     if not pct:
         return ct.select(row, *[F.col(f"`{n}`").cast("bigint").alias(n) for n in names])
     total = sum((F.col(f"`{n}`") for n in names), F.lit(0))
-    grand = F.sum(total).over(WHOLE)
+    grand = F.sum(total).over(_whole())
     return ct.select(row, *[F.round(F.col(f"`{n}`") * 100 / grand, 2).alias(n) for n in names])
 
 
@@ -115,7 +117,7 @@ def highest_spent_counts(df: DataFrame) -> DataFrame:
     """Customers per dominant category, ascending, with share %."""
     counts = df.groupBy("Highest_Spent").agg(F.count(F.lit(1)).alias("customers"))
     return counts.select(
-        "Highest_Spent", "customers", (F.col("customers") * 100 / F.sum("customers").over(WHOLE)).alias("pct")
+        "Highest_Spent", "customers", (F.col("customers") * 100 / F.sum("customers").over(_whole())).alias("pct")
     ).orderBy("customers", "Highest_Spent")
 
 
@@ -124,7 +126,7 @@ def channel_mix(df: DataFrame) -> DataFrame:
     wide = df.agg(*[F.sum(c).alias(c) for c in CHANNEL_COLUMNS])
     long = wide.select(unpivot_exprs([(lbl, F.col(c)) for c, lbl in CHANNEL_COLUMNS.items()], "Channel", "total").alias("kv")).select("kv.*")
     return long.select("Channel", F.col("total").cast("bigint").alias("total"),
-                       (F.col("total") * 100 / F.sum("total").over(WHOLE)).alias("pct"))
+                       (F.col("total") * 100 / F.sum("total").over(_whole())).alias("pct"))
 
 
 def channel_preference_by(df: DataFrame, dimension: str = "Education") -> DataFrame:
@@ -144,7 +146,7 @@ def campaigns_accepted_dist(df: DataFrame) -> DataFrame:
     n = null_safe_sum(CAMPAIGN_COLUMNS).cast("bigint")
     counts = df.groupBy(n.alias("campaigns_accepted")).agg(F.count(F.lit(1)).alias("customers"))
     return counts.select("campaigns_accepted", "customers",
-                         (F.col("customers") * 100 / F.sum("customers").over(WHOLE)).alias("pct")).orderBy("campaigns_accepted")
+                         (F.col("customers") * 100 / F.sum("customers").over(_whole())).alias("pct")).orderBy("campaigns_accepted")
 
 
 def response_by(df: DataFrame, dimension: str = "Education") -> DataFrame:

@@ -168,3 +168,16 @@ segmented AS (
 
 def seg_base(cfg: CampaignSchema = DEFAULT) -> list[str]:
     return [mart(), treated(cfg), segmented(cfg)]
+
+
+def group_table(agg: str, zero_null_ints: bool) -> str:
+    """SELECT text of the rounded group mean / std table (A2–A4) over treated."""
+    from cohortlens.config import GROUP_MEASURES, MONEY_MEASURES
+    cols = []
+    for c in GROUP_MEASURES:
+        if c in MONEY_MEASURES:
+            cols.append(f"round({agg}({c}), 2) AS {c}")
+        else:
+            v = f"CAST({round_half_up(f'{agg}({c})')} AS BIGINT)"
+            cols.append(f"coalesce({v}, 0) AS {c}" if zero_null_ints else f"{v} AS {c}")
+    return f"SELECT Marital_Status, Education, {', '.join(cols)} FROM treated GROUP BY Marital_Status, Education"
