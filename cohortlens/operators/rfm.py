@@ -82,19 +82,18 @@ def _label_expr(centers_by_comp: dict[str, list[float]]) -> Column:
     return expr
 
 
-def fit_rfm(df: DataFrame, cfg: CampaignSchema = DEFAULT) -> dict[str, ComponentModel]:
-    """Fit the three component models; returns centres per component."""
-    hist = value_histogram(df, cfg)
-    # one partition per ~2M distinct values: rounds are then scheduling-bound
-    n_hist = hist.count()
-    hist = hist.repartition(max(1, n_hist // 2_000_000 + 1)).checkpoint(eager=True)
-    k = cfg.rfm_k
+def lloyd(hist: DataFrame, ks: dict[str, int], max_rounds: int) -> tuple[dict[str, list[float]], dict[str, int]]:
+    """Deterministic 1-D Lloyd for many keyed fits at once over a keyed value
+    histogram ``(component, value, weight)``. Every round is ONE aggregate over
+    the histogram for all still-moving keys; only k centres per key reach the
+    driver. Start: lo + (hi − lo)(2i + 1)/2k; an empty cluster keeps its centre;
+    stop when unchanged or after ``max_rounds``."""
     bounds = {r["component"]: (r["lo"], r["hi"]) for r in
               hist.groupBy("component").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
-    centers = {c: [lo + (hi - lo) * (2 * i + 1) / (2 * k) for i in range(k)] for c, (lo, hi) in bounds.items()}
+    centers = {c: [lo + (hi - lo) * (2 * i + 1) / (2 * ks[c]) for i in range(ks[c])] for c, (lo, hi) in bounds.items()}
     rounds = {c: 0 for c in centers}
     active = set(centers)
-    for _ in range(cfg.rfm_max_rounds):
+    for _ in range(max_rounds):
         if not active:
             break
         sub = {c: centers[c] for c in active}
@@ -112,8 +111,23 @@ def fit_rfm(df: DataFrame, cfg: CampaignSchema = DEFAULT) -> dict[str, Component
             if new[c] == centers[c]:
                 active.discard(c)
             centers[c] = new[c]
-            if rounds[c] >= cfg.rfm_max_rounds:
+            if rounds[c] >= max_rounds:
                 active.discard(c)
+    return centers, rounds
+
+
+def small_checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small derived table with one partition per
+    ~2M rows, so the many tiny rounds over it are scheduling-bound."""
+    n = df.count()
+    return df.repartition(max(1, n // 2_000_000 + 1)).checkpoint(eager=True)
+
+
+def fit_rfm(df: DataFrame, cfg: CampaignSchema = DEFAULT) -> dict[str, ComponentModel]:
+    """Fit the three component models; returns centres per component."""
+    hist = small_checkpoint(value_histogram(df, cfg))
+    comps = [vc for vc, _, _ in cfg.rfm_components]
+    centers, rounds = lloyd(hist, {c: cfg.rfm_k for c in comps}, cfg.rfm_max_rounds)
     nonempty: dict[str, list[int]] = {c: [] for c in centers}
     for r in hist.groupBy("component", _label_expr(centers).alias("label")).count().collect():
         nonempty[r["component"]].append(r["label"])

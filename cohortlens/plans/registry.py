@@ -50,15 +50,27 @@ def treated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialized(spark, sf_dir, "treated", lambda: treat(raw(spark, sf_dir), DEFAULT))
 
 
+_MODELS: dict[tuple, dict] = {}
+
+
+def rfm_models(spark: SparkSession, sf_dir: str) -> dict:
+    """R2b component models, fitted once per session and scale."""
+    from cohortlens.operators.rfm import fit_rfm
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = fit_rfm(treated(spark, sf_dir), DEFAULT)
+    return _MODELS[key]
+
+
 def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cohortlens.operators.rfm import segment
-    return materialized(spark, sf_dir, "segmented", lambda: segment(treated(spark, sf_dir), DEFAULT))
+    from cohortlens.operators.rfm import apply_rfm
+    return materialized(spark, sf_dir, "segmented", lambda: apply_rfm(treated(spark, sf_dir), rfm_models(spark, sf_dir)))
 
 
 @lru_cache(maxsize=1)
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the modules fills REGISTRY
     from cohortlens.plans import (  # noqa: F401
-        q_clean, q_io, q_lookup, q_profile, q_reports, q_rfm, q_stats, q_synth,
+        q_clean, q_io, q_lookup, q_ml, q_profile, q_reports, q_rfm, q_stats, q_synth,
     )
     return dict(REGISTRY)
