@@ -69,8 +69,10 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
         structs.append(F.struct(F.lit(qi).alias("qi"), F.lit(float(q)).alias("q"),
                                 a.otherwise(F.col("__mn")).alias("a"), b.otherwise(F.col("__mx")).alias("b")))
     brackets = st.select(*g, "__n", F.explode(F.array(*structs)).alias("br")).select(*g, "__n", "br.*")
-    # one row per group × quantile: bounded by the number of groups
-    joined = base.join(F.broadcast(brackets), g)
+    # one row per group × quantile. Without groups that is len(qs) rows and is
+    # broadcast; with groups the size depends on the key domain, so the join
+    # strategy is left to AQE's runtime statistics.
+    joined = base.join(brackets if out_g else F.broadcast(brackets), g)
     key = F.when(F.col("__v") >= F.col("a"), F.col("__v"))  # null = below the bracket
     hist = (
         joined.where(F.col("__v") <= F.col("b"))

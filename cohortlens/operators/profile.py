@@ -143,7 +143,7 @@ def box_stats_by(df: DataFrame, column: str, by: str) -> DataFrame:
     q = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
                  (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
     v = F.col(column).cast("double")
-    j = df.select(by, column).join(F.broadcast(q), by)
+    j = df.select(by, column).join(q, by)  # one row per group; AQE picks broadcast when small
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     return j.groupBy(by, "q1", "median", "q3", "lower_fence", "upper_fence").agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),

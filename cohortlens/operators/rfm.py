@@ -93,6 +93,13 @@ def lloyd(hist: DataFrame, ks: dict[str, int], max_rounds: int) -> tuple[dict[st
     centers = {c: [lo + (hi - lo) * (2 * i + 1) / (2 * ks[c]) for i in range(ks[c])] for c, (lo, hi) in bounds.items()}
     rounds = {c: 0 for c in centers}
     active = set(centers)
+    from cohortlens.session import tiny_aggregate_conf
+    with tiny_aggregate_conf(hist.sparkSession):
+        _rounds(hist, centers, rounds, active, max_rounds)
+    return centers, rounds
+
+
+def _rounds(hist: DataFrame, centers: dict, rounds: dict, active: set, max_rounds: int) -> None:
     for _ in range(max_rounds):
         if not active:
             break
@@ -113,7 +120,6 @@ def lloyd(hist: DataFrame, ks: dict[str, int], max_rounds: int) -> tuple[dict[st
             centers[c] = new[c]
             if rounds[c] >= max_rounds:
                 active.discard(c)
-    return centers, rounds
 
 
 def small_checkpoint(df: DataFrame) -> DataFrame:

@@ -52,15 +52,21 @@ def uniform(seed: int, id_col: Column, name: str, k: int = 0) -> Column:
     return (n.cast("double") + 0.5) / 4294967296.0
 
 
-def normal(seed: int, id_col: Column, name: str) -> Column:
-    """Box–Muller standard normal from slices 0 and 1."""
-    u1, u2 = uniform(seed, id_col, name, 0), uniform(seed, id_col, name, 1)
+def normal(seed: int, id_col: Column, name: str, k: int = 0) -> Column:
+    """Box–Muller standard normal from slices k and k + 1."""
+    u1, u2 = uniform(seed, id_col, name, k), uniform(seed, id_col, name, k + 1)
     return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
 
 
-# draws that share one md5: name → [(column, slice)]
-BINARY_DRAWS = [("bin0", BINARY_COLUMNS[:4]), ("bin1", BINARY_COLUMNS[4:])]
-DISCRETE_DRAW = "disc"  # slices: Kidhome 0, Teenhome 1, Dt_Customer 2
+# Draw layout: one md5 gives four 32-bit uniforms (slices 0..3).
+# Normal draws use two slices (k, k + 1); two numeric columns share one md5.
+_NUMERIC_ORDER = ["Age"] + FLOAT_NOISE_COLUMNS + INTEGER_NOISE_COLUMNS
+NORMAL_DRAWS = {c: (f"n{i // 2}", 2 * (i % 2)) for i, c in enumerate(_NUMERIC_ORDER)}
+UNIFORM_DRAWS = {
+    "Kidhome": ("disc", 0), "Teenhome": ("disc", 1), "Dt_Customer": ("disc", 2), BINARY_COLUMNS[0]: ("disc", 3),
+    **{c: ("bin0", k) for k, c in enumerate(BINARY_COLUMNS[1:5])},
+    **{c: ("bin1", k) for k, c in enumerate(BINARY_COLUMNS[5:])},
+}
 
 
 @dataclass
@@ -101,10 +107,12 @@ def group_params_frame(treated: DataFrame, grouped_mean: DataFrame, grouped_std:
     binary rates (group rate only when the group has ≥ min_group_size rows)."""
     numeric = [c for c in INTEGER_NOISE_COLUMNS + FLOAT_NOISE_COLUMNS + ["Age"] if c in treated.columns]
     binary = [c for c in BINARY_COLUMNS if c in treated.columns]
-    glob = treated.select(F.struct(
+    # one small action: the global fallbacks become literals of the plan
+    g = treated.agg(
         F.count(F.lit(1)).alias("total"), *[F.avg(c).alias(f"m_{c}") for c in numeric],
         *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric], *[F.avg(c).alias(f"p_{c}") for c in binary],
-    ).alias("g")).scalar()
+    ).first().asDict()
+    glob = {k: F.lit(v).cast("double") if k != "total" else F.lit(v) for k, v in g.items()}
     counts = treated.groupBy(*GROUP_COLUMNS).agg(F.count(F.lit(1)).alias("cnt"), *[F.avg(c).alias(f"gp_{c}") for c in binary])
     gm = grouped_mean.select(*GROUP_COLUMNS, *[F.col(c).cast("double").alias(f"gm_{c}") for c in numeric])
     gs = grouped_std.select(*GROUP_COLUMNS, *[F.col(c).cast("double").alias(f"gs_{c}") for c in numeric])
@@ -225,8 +233,23 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
         slot = (F.lit(a_mult) * i + F.lit(b_off)) % F.lit(n_rows)
     else:
         slot = ((i.cast("decimal(38,0)") * a_mult + b_off) % n_rows).cast("bigint")
-    starts_arr = F.array(*[F.lit(s).cast("bigint") for s in starts])
-    base = rng.select((i + 1).alias("ID"), F.size(F.filter(starts_arr, lambda s: s <= slot)).alias("__g"))
+    # group number = 1 + count of group starts ≤ slot (plain comparisons, codegen-friendly)
+    gidx = F.lit(1)
+    for st in starts[1:]:
+        gidx = gidx + F.when(slot >= F.lit(st), 1).otherwise(0)
+    # stage 1: each md5 once as a column; stage 2: its four 32-bit slices as
+    # uniforms. The branchy output expressions then only read plain columns.
+    draws = sorted({(nm, k) for nm, k0 in NORMAL_DRAWS.values() for k in (k0, k0 + 1)} | set(UNIFORM_DRAWS.values()))
+    names = sorted({nm for nm, _ in draws})
+    hashed = rng.select((i + 1).alias("ID"), gidx.alias("__g")).select(
+        "ID", "__g", *[F.md5(F.concat_ws("|", F.lit(str(random_state)), F.col("ID").cast("string"), F.lit(nm))).alias(f"__h_{nm}")
+                       for nm in names])
+    base = hashed.select("ID", "__g", *[
+        ((F.conv(F.substring(F.col(f"__h_{nm}"), 1 + 8 * k, 8), 16, 10).cast("bigint").cast("double") + 0.5) / 4294967296.0).alias(f"__u_{nm}_{k}")
+        for nm, k in draws])
+
+    def u_col(nm: str, k: int) -> Column:
+        return F.col(f"__u_{nm}_{k}")
     idx = F.col("__g")
     ID = F.col("ID")
     groups = [g for g, _ in active]
@@ -240,12 +263,14 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
         mean = _pick([g.means[c] for g in groups], idx)
         std = _pick([g.stds[c] * noise_scale for g in groups], idx)
         lo, hi = md.bounds[c]
-        return F.least(F.greatest(mean + std * normal(random_state, ID, c), F.lit(lo)), F.lit(hi))
+        name, k = NORMAL_DRAWS[c]
+        z = F.sqrt(-2.0 * F.log(u_col(name, k))) * F.cos(2.0 * math.pi * u_col(name, k + 1))
+        return F.least(F.greatest(mean + std * z, F.lit(lo)), F.lit(hi))
 
     age = F.rint(noisy("Age")).cast("bigint")
     cols["Year_Birth"] = (F.lit(md.reference_year) - age).cast("bigint")
     span = (md.date_max - md.date_min).days
-    u_date = uniform(random_state, ID, DISCRETE_DRAW, 2)
+    u_date = u_col(*UNIFORM_DRAWS["Dt_Customer"])
     cols["Dt_Customer"] = F.date_add(F.lit(md.date_min), F.floor(u_date * (span + 1)).cast("int"))
     for c in FLOAT_NOISE_COLUMNS:
         if c in md.output_columns:
@@ -253,19 +278,25 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
     for c in INTEGER_NOISE_COLUMNS:
         if c in md.output_columns:
             cols[c] = F.rint(noisy(c)).cast("bigint")
-    for k, c in enumerate(DISCRETE_EMPIRICAL_COLUMNS):
+    for c in DISCRETE_EMPIRICAL_COLUMNS:
+        if c in md.output_columns:
+            # inverse CDF: first value whose cumulative share exceeds u, as
+            # L comparisons against the group's (padded) cumulative array
+            u = u_col(*UNIFORM_DRAWS[c])
+            width = max(len(g.dists[c]) for g in groups)
+            cums = [[float(p) for _, p in g.dists[c]] + [2.0] * (width - len(g.dists[c])) for g in groups]
+            vals = [[v for v, _ in g.dists[c]] + [g.dists[c][-1][0]] * (width - len(g.dists[c])) for g in groups]
+            cum_g = F.element_at(F.array(*[F.array(*[F.lit(x) for x in row]) for row in cums]), idx)
+            val_g = F.element_at(F.array(*[F.array(*[F.lit(x).cast("bigint") for x in row]) for row in vals]), idx)
+            below = F.lit(0)
+            for j in range(1, width + 1):
+                below = below + F.when(F.element_at(cum_g, j) <= u, 1).otherwise(0)
+            expr = F.element_at(val_g, (below + 1).cast("int"))
+            cols[c] = expr.cast("bigint")
+    for c in BINARY_COLUMNS:
         if c in md.output_columns:
-            arr = F.array(*[
-                F.array(*[F.struct(F.lit(v).cast("bigint").alias("v"), F.lit(float(p)).alias("cum")) for v, p in g.dists[c]])
-                for g in groups
-            ])
-            u = uniform(random_state, ID, DISCRETE_DRAW, k)
-            cols[c] = F.element_at(F.filter(F.element_at(arr, idx), lambda x: x["cum"] > u), 1)["v"].cast("bigint")
-    for name, cs in BINARY_DRAWS:
-        for k, c in enumerate(cs):
-            if c in md.output_columns:
-                p = _pick([g.probs[c] for g in groups], idx)
-                cols[c] = F.when(uniform(random_state, ID, name, k) < p, 1).otherwise(0).cast("bigint")
+            p = _pick([g.probs[c] for g in groups], idx)
+            cols[c] = F.when(u_col(*UNIFORM_DRAWS[c]) < p, 1).otherwise(0).cast("bigint")
     return base.select(*[cols[c].alias(c) for c in md.output_columns])
 
 
@@ -274,15 +305,18 @@ def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str
     Returns path, rows and size in MB (rows counted from the written files)."""
     if file_format not in ("parquet", "csv"):
         raise ValueError("file_format must be either 'parquet' or 'csv'.")
+    from cohortlens.session import per_expression_codegen
     w = df.write.mode(mode)
     if file_format == "csv":
-        w.option("header", True).csv(output_path)
+        with per_expression_codegen(df.sparkSession):
+            w.option("header", True).csv(output_path)
         back = df.sparkSession.read.option("header", True).schema(df.schema).csv(output_path)
     else:
-        w.parquet(output_path)
+        with per_expression_codegen(df.sparkSession):
+            w.parquet(output_path)
         back = df.sparkSession.read.parquet(output_path)
     size = 0
-    p = Path(output_path.replace("file://", ""))
+    p = Path(output_path.removeprefix("file://").removeprefix("file:"))
     if p.exists():
         size = sum(f.stat().st_size for f in p.rglob("*") if f.is_file())
     return {"path": output_path, "rows": back.count(), "mb": round(size / 1024 / 1024, 2)}

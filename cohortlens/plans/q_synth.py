@@ -28,7 +28,10 @@ def synthetic(s, d):
     def build():
         md = metadata(s, d)
         return synth.generate_synthetic(s, md, n_rows=EXPANSION * md.total, random_state=SEED)
-    return materialized(s, d, "synthetic", build)
+
+    from cohortlens.session import per_expression_codegen
+    with per_expression_codegen(s):
+        return materialized(s, d, "synthetic", build)
 
 
 def params(s, d):
@@ -42,8 +45,9 @@ def _u(name: str, k: int) -> str:
     return f"((CAST(CAST(('0x' || substr({h}, {1 + 8 * k}, 8)) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296.0)"
 
 
-def _normal(name: str) -> str:
-    return f"(sqrt(-2.0 * ln({_u(name, 0)})) * cos(6.283185307179586 * {_u(name, 1)}))"
+def _normal(c: str) -> str:
+    name, k = synth.NORMAL_DRAWS[c]
+    return f"(sqrt(-2.0 * ln({_u(name, k)})) * cos(6.283185307179586 * {_u(name, k + 1)}))"
 
 
 def _noisy(c: str) -> str:
@@ -99,14 +103,12 @@ def synth_ctes() -> list[str]:
         elif c in INTEGER_NOISE_COLUMNS:
             outs.append(f"CAST(round_even({_noisy(c)}, 0) AS BIGINT) AS {c}")
         elif c == "Dt_Customer":
-            outs.append(f"dts.dmin + CAST(floor({_u(synth.DISCRETE_DRAW, 2)} * (date_diff('day', dts.dmin, dts.dmax) + 1)) AS INTEGER) AS Dt_Customer")
+            outs.append(f"dts.dmin + CAST(floor({_u(*synth.UNIFORM_DRAWS['Dt_Customer'])} * (date_diff('day', dts.dmin, dts.dmax) + 1)) AS INTEGER) AS Dt_Customer")
         elif c in DISCRETE_EMPIRICAL_COLUMNS:
-            k = DISCRETE_EMPIRICAL_COLUMNS.index(c)
             outs.append(f"CAST((SELECT min(d.v) FROM dd d WHERE d.Marital_Status = r.Marital_Status AND d.Education = r.Education "
-                        f"AND d.col = '{c}' AND d.cum > {_u(synth.DISCRETE_DRAW, k)}) AS BIGINT) AS {c}")
+                        f"AND d.col = '{c}' AND d.cum > {_u(*synth.UNIFORM_DRAWS[c])}) AS BIGINT) AS {c}")
         elif c in BINARY_COLUMNS:
-            name, cs = next((nm, cs) for nm, cs in synth.BINARY_DRAWS if c in cs)
-            outs.append(f"CAST(CASE WHEN {_u(name, cs.index(c))} < r.p_{c} THEN 1 ELSE 0 END AS BIGINT) AS {c}")
+            outs.append(f"CAST(CASE WHEN {_u(*synth.UNIFORM_DRAWS[c])} < r.p_{c} THEN 1 ELSE 0 END AS BIGINT) AS {c}")
         else:
             raise AssertionError(c)
     return [
