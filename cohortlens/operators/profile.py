@@ -113,20 +113,9 @@ def _fences(df: DataFrame, c: str):
 
 
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Quartiles, whiskers (extreme values inside the fences), outlier count."""
-    out = None
-    for c in columns:
-        q1, q2, q3, lf, uf = _fences(df, c)
-        v = F.col(c).cast("double")
-        inside = (v >= lf) & (v <= uf)
-        row = df.agg(
-            F.lit(c).alias("column"), q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
-            lf.alias("lower_fence"), uf.alias("upper_fence"),
-            F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
-            F.sum(F.when(v.isNotNull() & ~inside, 1).otherwise(0)).cast("bigint").alias("n_outliers"),
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Quartiles, whiskers (extreme values inside the fences), outlier
+    count — all columns in one grouped job over (column, value) rows."""
+    return box_stats_by(_melt(df, columns), "value", "column")
 
 
 def box_outliers(df: DataFrame, column: str, id_col: str = "ID") -> DataFrame:

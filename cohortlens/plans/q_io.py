@@ -82,3 +82,15 @@ add("data_dictionary", data_dictionary, S.with_ctes(S.mart(), select=" UNION ALL
     f"SELECT {S.q(c)} AS \"Column\", {S.q(desc)} AS Description, {S.q(_types[c])} AS Type, "
     f"CAST(count(DISTINCT {c}) AS BIGINT) AS Unique_Values, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS Nulls FROM raw"
     for c, desc in DATA_DICTIONARY.items())))
+
+
+def raw_tsv_roundtrip(s, d):
+    """The raw table as the tab-separated file the reference reads,
+    written to shared storage and read back with the declared schema."""
+    r = raw(s, d)
+    path = io.shared_path(s, "raw_tsv")
+    r.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
+    return io.read_raw_tsv(s, path, r.schema)
+
+
+add("raw_tsv_roundtrip", raw_tsv_roundtrip, S.with_ctes(S.mart(), select="SELECT * FROM raw"))
