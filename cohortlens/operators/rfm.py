@@ -125,6 +125,8 @@ def _rounds(hist: DataFrame, centers: dict, rounds: dict, active: set, max_round
 def small_checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a small derived table with one partition per
     ~2M rows, so the many tiny rounds over it are scheduling-bound."""
+    from cohortlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     n = df.count()
     return df.repartition(max(1, n // 2_000_000 + 1)).checkpoint(eager=True)
 
