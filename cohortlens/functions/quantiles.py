@@ -68,11 +68,17 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
             b = F.when(ok, at(hi)) if b is None else b.when(ok, at(hi))
         structs.append(F.struct(F.lit(qi).alias("qi"), F.lit(float(q)).alias("q"),
                                 a.otherwise(F.col("__mn")).alias("a"), b.otherwise(F.col("__mx")).alias("b")))
-    brackets = st.select(*g, "__n", F.explode(F.array(*structs)).alias("br")).select(*g, "__n", "br.*")
-    # one row per group × quantile. Without groups that is len(qs) rows and is
-    # broadcast; with groups the size depends on the key domain, so the join
-    # strategy is left to AQE's runtime statistics.
-    joined = base.join(brackets if out_g else F.broadcast(brackets), g)
+    if out_g:
+        # one row per group × quantile; its size depends on the key domain, so
+        # the join strategy is left to AQE's runtime statistics
+        brackets = st.select(*g, "__n", F.explode(F.array(*structs)).alias("br")).select(*g, "__n", "br.*")
+        joined = base.join(brackets, g)
+    else:
+        # a single group: the brackets are one scalar-subquery row, fanned out
+        # per value over the (few) quantiles — no join at all
+        br = st.select(F.struct(F.col("__n").alias("n"), F.array(*structs).alias("arr")).alias("s")).scalar()
+        joined = base.select("__g", "__v", br["n"].alias("__n"), F.explode(br["arr"]).alias("br")).select(
+            "__g", "__v", "__n", "br.*")
     key = F.when(F.col("__v") >= F.col("a"), F.col("__v"))  # null = below the bracket
     hist = (
         joined.where(F.col("__v") <= F.col("b"))

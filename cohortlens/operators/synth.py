@@ -140,8 +140,11 @@ def discrete_distributions(treated: DataFrame, *, min_group_size: int = 10) -> D
         gl = gl.select("v", (F.sum("k").over(wg) / F.sum("k").over(Window.partitionBy())).alias("cum"))
         sizes = treated.groupBy(*GROUP_COLUMNS).agg(F.count(F.lit(1)).alias("cnt"))
         big = per.join(F.broadcast(sizes.where(F.col("cnt") >= min_group_size)), GROUP_COLUMNS, "left_semi")
-        small = F.broadcast(sizes.where(F.col("cnt") < min_group_size).select(*GROUP_COLUMNS, F.lit(1).alias("__k"))).join(
-            F.broadcast(gl.select("*", F.lit(1).alias("__k"))), "__k").drop("__k")
+        # small groups take the global distribution: one array (one entry per
+        # distinct value of a small-count column) read as a scalar subquery
+        glob_arr = gl.select(F.sort_array(F.collect_list(F.struct("v", "cum"))).alias("a")).scalar()
+        small = sizes.where(F.col("cnt") < min_group_size).select(*GROUP_COLUMNS, F.explode(glob_arr).alias("x")).select(
+            *GROUP_COLUMNS, "x.v", "x.cum")
         parts.append(big.unionByName(small).select(F.lit(c).alias("column"), *GROUP_COLUMNS, F.col("v").cast("bigint").alias("v"), "cum"))
     out = parts[0]
     for p in parts[1:]:

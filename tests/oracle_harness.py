@@ -59,10 +59,12 @@ def compare(spark, con, name, builder, sql, sf_dir):
     s_types = [(f.name, SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())) for f in sdf.schema.fields]
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
     rel = con.sql(sql)
     d_types = [(c, str(t)) for c, t in zip(rel.columns, rel.types)]
     d_rows = rel.fetchall()
-    res = {"name": name, "spark_rows": len(s_rows), "duck_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
+    res = {"name": name, "spark_rows": len(s_rows), "duck_rows": len(d_rows), "spark_sec": round(t1 - t0, 2),
+           "cross_join": any(w in plan for w in ("CartesianProduct", "BroadcastNestedLoopJoin"))}
     res["schema_ok"] = sorted(s_types) == sorted(d_types)
     if not res["schema_ok"]:
         res["spark_schema"] = sorted(s_types)

@@ -20,6 +20,7 @@ def test_query_matches_oracle(spark, con, name):
     assert res["schema_ok"], res
     assert res["spark_rows"] == res["duck_rows"], res
     assert res["values_ok"], res
+    assert not res["cross_join"], res
 
 
 def test_every_query_runs(spark):
