@@ -33,20 +33,28 @@ def _melt(df: DataFrame, cols, keys=("Segmentation",)) -> DataFrame:
     return df.select(*keys, unpivot_exprs([(c, F.col(c).cast("double")) for c in cols], "measure", "value").alias("kv")).select(*keys, "kv.*")
 
 
-def _medians(df: DataFrame, cols, by: list[str]) -> DataFrame:
-    """Exact medians of several columns, one row per group (long → wide)."""
-    long = _melt(df, cols, by or [F.lit(0).alias("__all")])
-    keys = by or ["__all"]
-    med = quantile_wide(long, "value", [0.5], keys + ["measure"], ["median"])
-    return med.groupBy(*keys).agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(c) for c in cols])
+POPULATION = "__population__"
+
+
+def _segment_and_population_medians(df: DataFrame, cols) -> DataFrame:
+    """Exact medians per segment AND for the whole population in ONE quantile
+    job: every value is stacked under its segment and under the population key
+    (a 2× narrow fan-out), so one sketch/rank pipeline serves both."""
+    key = F.explode(F.array(F.col("Segmentation"), F.lit(POPULATION))).alias("__key")
+    stacked = df.select(key, *cols)
+    long = _melt(stacked, cols, ["__key"])
+    med = quantile_wide(long, "value", [0.5], ["__key", "measure"], ["median"])
+    return med.groupBy("__key").agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(c) for c in cols])
 
 
 def lookup_kpis(seg: DataFrame) -> DataFrame:
     """L1: profile, scores and segment / population medians for every customer."""
     cols = [c for _, c in MEDIAN_MEASURES]
-    seg_med = _medians(seg, cols, ["Segmentation"]).select(
-        "Segmentation", *[F.round(F.col(c), 6).alias(f"{k}_seg_median") for k, c in MEDIAN_MEASURES])
-    pop = _medians(seg, cols, []).select(F.struct(*[F.round(F.col(c), 6).alias(k) for k, c in MEDIAN_MEASURES]).alias("s")).scalar()
+    both = _segment_and_population_medians(seg, cols)
+    seg_med = both.where(F.col("__key") != POPULATION).select(
+        F.col("__key").alias("Segmentation"), *[F.round(F.col(c), 6).alias(f"{k}_seg_median") for k, c in MEDIAN_MEASURES])
+    pop = both.where(F.col("__key") == POPULATION).select(
+        F.struct(*[F.round(F.col(c), 6).alias(k) for k, c in MEDIAN_MEASURES]).alias("s")).scalar()
     max_dt = seg.select(F.max("Dt_Customer")).scalar()
     j = seg.join(F.broadcast(seg_med), "Segmentation", "left")
     return j.select(
@@ -85,8 +93,9 @@ def lookup_radar(seg: DataFrame) -> DataFrame:
     population median, min–max scaled by the population (zero range → 1),
     Recency inverted so that higher reads better."""
     work = with_campaigns_accepted(seg)
-    seg_med = _medians(work, RADAR_FEATURES, ["Segmentation"])
-    pop_med = _medians(work, RADAR_FEATURES, []).drop("__all")
+    both = _segment_and_population_medians(work, RADAR_FEATURES)
+    seg_med = both.where(F.col("__key") != POPULATION).withColumnRenamed("__key", "Segmentation")
+    pop_med = both.where(F.col("__key") == POPULATION).drop("__key")
     bounds = work.agg(*[F.min(F.col(f).cast("double")).alias(f"lo_{f}") for f in RADAR_FEATURES],
                       *[F.max(F.col(f).cast("double")).alias(f"hi_{f}") for f in RADAR_FEATURES])
     stats = bounds.select(F.struct("*").alias("b")).scalar()
