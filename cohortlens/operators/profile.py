@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import unpivot_exprs
-from cohortlens.functions.quantiles import exact_quantiles, quantile_wide, quantiles_scalar
+from cohortlens.functions.quantiles import quantile_wide, quantiles_scalar
 
 
 def _long(wide: DataFrame, pairs, key: str = "column") -> DataFrame:

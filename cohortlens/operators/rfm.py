@@ -189,10 +189,6 @@ def cluster_ranks(seg: DataFrame, cfg: CampaignSchema = DEFAULT) -> DataFrame:
     return out
 
 
-def centers_table(seg_models: dict[str, ComponentModel]) -> list[tuple]:
-    return [(m.value_col, i, c) for m in seg_models.values() for i, c in enumerate(m.centers)]
-
-
 def segment_dimension(spark) -> DataFrame:
     """Fixed five-row segment dimension (name, order)."""
     return spark.createDataFrame([(s, i) for i, s in enumerate(SEGMENT_ORDER)], "Segmentation string, seg_order int")
