@@ -65,8 +65,11 @@ def rfm_models(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow projection (labels, scores, segment, APV as literal-centre
+    expressions) over the checkpointed treated table: recomputing it is a
+    scan, so it is not written a second time."""
     from cohortlens.operators.rfm import apply_rfm
-    return materialized(spark, sf_dir, "segmented", lambda: apply_rfm(treated(spark, sf_dir), rfm_models(spark, sf_dir)))
+    return apply_rfm(treated(spark, sf_dir), rfm_models(spark, sf_dir))
 
 
 @lru_cache(maxsize=1)

@@ -105,7 +105,9 @@ def raw_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         *[F.floor(F.sum(f"s_{col}") / 10000).alias(col) for _, col in PRODUCT_BY_TYPE],
     )
-    latest = orders.select(F.max(odate)).scalar()
+    # latest order in the table = max of the per-customer last orders: read
+    # from the small customer-level aggregate, not by a second orders scan
+    latest = cust_orders.select(F.max("last_order")).scalar()
 
     ev = events.groupBy("user_id").agg(
         F.sum(_flag(F.col("event_type") == "view")).alias("views"),
