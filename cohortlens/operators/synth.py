@@ -99,19 +99,28 @@ def _pos_finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (x > 0) & (x < float("inf"))
 
 
+def global_stats(treated: DataFrame) -> dict:
+    """Row count, mean / sample std / min / max of the numeric measures and
+    the binary rates over the whole table, in one aggregate."""
+    numeric = [c for c in INTEGER_NOISE_COLUMNS + FLOAT_NOISE_COLUMNS + ["Age"] if c in treated.columns]
+    binary = [c for c in BINARY_COLUMNS if c in treated.columns]
+    return treated.agg(
+        F.count(F.lit(1)).alias("total"), *[F.avg(c).alias(f"m_{c}") for c in numeric],
+        *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric], *[F.avg(c).alias(f"p_{c}") for c in binary],
+        *[F.min(c).cast("double").alias(f"lo_{c}") for c in numeric], *[F.max(c).cast("double").alias(f"hi_{c}") for c in numeric],
+    ).first().asDict()
+
+
 def group_params_frame(treated: DataFrame, grouped_mean: DataFrame, grouped_std: DataFrame, *,
-                       min_group_size: int = 10) -> DataFrame:
+                       min_group_size: int = 10, global_row: dict | None = None) -> DataFrame:
     """G2/G3/G5 as one DataFrame, one row per group cell: count, proportion,
     noise mean/std per numeric column (group value, else global; a std that is
     missing, non-finite or ≤ 0 falls back to the global std, then to 1) and
     binary rates (group rate only when the group has ≥ min_group_size rows)."""
     numeric = [c for c in INTEGER_NOISE_COLUMNS + FLOAT_NOISE_COLUMNS + ["Age"] if c in treated.columns]
     binary = [c for c in BINARY_COLUMNS if c in treated.columns]
-    # one small action: the global fallbacks become literals of the plan
-    g = treated.agg(
-        F.count(F.lit(1)).alias("total"), *[F.avg(c).alias(f"m_{c}") for c in numeric],
-        *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric], *[F.avg(c).alias(f"p_{c}") for c in binary],
-    ).first().asDict()
+    # one small action (or the caller's): the global fallbacks become literals
+    g = global_row or global_stats(treated)
     glob = {k: F.lit(v).cast("double") if k != "total" else F.lit(v) for k, v in g.items()}
     counts = treated.groupBy(*GROUP_COLUMNS).agg(F.count(F.lit(1)).alias("cnt"), *[F.avg(c).alias(f"gp_{c}") for c in binary])
     gm = grouped_mean.select(*GROUP_COLUMNS, *[F.col(c).cast("double").alias(f"gm_{c}") for c in numeric])
@@ -166,20 +175,15 @@ def prepare_generation_metadata(treated: DataFrame, grouped_mean: DataFrame, gro
     numeric = [c for c in INTEGER_NOISE_COLUMNS + FLOAT_NOISE_COLUMNS + ["Age"] if c in treated.columns]
     binary = [c for c in BINARY_COLUMNS if c in output_columns]
     discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in output_columns]
-    params = group_params_frame(treated, grouped_mean, grouped_std, min_group_size=min_group_size)
-    n_groups = params.count()
-    if n_groups > cfg.broadcast_row_limit:
-        raise ValueError(f"{n_groups} group cells exceed the broadcast limit {cfg.broadcast_row_limit}")
-    rows = params.orderBy(*GROUP_COLUMNS).collect()
+    g = global_stats(treated)
+    params = group_params_frame(treated, grouped_mean, grouped_std, min_group_size=min_group_size, global_row=g)
+    rows = params.orderBy(*GROUP_COLUMNS).limit(cfg.broadcast_row_limit + 1).collect()
+    if len(rows) > cfg.broadcast_row_limit:
+        raise ValueError(f"more than {cfg.broadcast_row_limit} group cells: too many for generator parameters")
     dist_rows = discrete_distributions(treated, min_group_size=min_group_size).orderBy("column", *GROUP_COLUMNS, "v").collect()
     dists: dict[tuple, dict[str, list]] = {}
     for r in dist_rows:
         dists.setdefault((r[GROUP_COLUMNS[0]], r[GROUP_COLUMNS[1]]), {}).setdefault(r["column"], []).append((int(r["v"]), r["cum"]))
-    g = treated.agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.avg(c).alias(f"m_{c}") for c in numeric], *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric],
-        *[F.min(c).cast("double").alias(f"lo_{c}") for c in numeric], *[F.max(c).cast("double").alias(f"hi_{c}") for c in numeric],
-    ).first()
     dts = raw.select(parse_dates_expr(raw, "Dt_Customer").alias("d")).agg(F.min("d").alias("a"), F.max("d").alias("b")).first()
     groups = [
         GroupParams(
@@ -191,7 +195,7 @@ def prepare_generation_metadata(treated: DataFrame, grouped_mean: DataFrame, gro
         for r in rows
     ]
     return GenerationMetadata(
-        output_columns=output_columns, groups=groups, total=g["__n"],
+        output_columns=output_columns, groups=groups, total=g["total"],
         bounds={c: (g[f"lo_{c}"], g[f"hi_{c}"]) for c in numeric},
         global_means={c: g[f"m_{c}"] for c in numeric}, global_stds={c: g[f"s_{c}"] for c in numeric},
         date_min=dts["a"], date_max=dts["b"], reference_year=cfg.reference_year, min_group_size=min_group_size,
