@@ -64,3 +64,20 @@ def test_round_half_up(spark):
     x = np.array(vals)
     want = np.where(np.ceil(x) - x <= 0.5, np.ceil(x), np.floor(x)).astype(int).tolist()
     assert got == want
+
+
+def test_highest_spent_props_sum_to_one(spark):
+    t = clean.treat(raw_frame(spark), CampaignSchema())
+    sums = stats.highest_spent_props(t).groupBy("Marital_Status", "Education").agg(F.sum("proportion").alias("s")).collect()
+    assert sums and all(abs(r["s"] - 1.0) < 1e-12 for r in sums)
+
+
+def test_fixture_through_segmentation(spark):
+    from cohortlens.operators import rfm
+    t = clean.treat(raw_frame(spark), CampaignSchema()).checkpoint(eager=True)
+    seg = rfm.segment(t, CampaignSchema())
+    apv = {r["ID"]: r["APV"] for r in seg.select("ID", "APV").collect()}
+    assert apv[4] == 0.0  # no purchases → APV 0
+    assert seg.count() == t.count()
+    assert set(r[0] for r in seg.select("Segmentation").distinct().collect()) <= {
+        "Inactive", "Occasional", "Moderate", "Loyal", "Premium"}
