@@ -35,3 +35,15 @@ def test_table_creation_idempotent(spark):
     t1 = io.table_creation(spark, schema_json, "t_campaign")
     t2 = io.table_creation(spark, schema_json, "t_campaign")
     assert t1 == t2 and len(spark.table("t_campaign.raw_data").columns) == 27
+
+
+def test_load_append_and_overwrite(spark):
+    from cohortlens.plans.registry import raw
+    from cohortlens.operators import synth
+    io.create_dataset(spark, "t_load")
+    table = io.table_creation(spark, io.SCHEMA_DIR / "raw_data.json", "t_load")
+    rows = raw(spark, SF).select(*synth.get_synthetic_output_columns(raw(spark, SF).columns))
+    n = rows.count()
+    assert io.load_table(rows, table, mode="overwrite") == n
+    assert io.load_table(rows, table, mode="append") == 2 * n  # a rerun with the service default appends
+    assert io.load_table(rows, table, mode="overwrite") == n
