@@ -138,27 +138,29 @@ def group_params_frame(treated: DataFrame, grouped_mean: DataFrame, grouped_std:
 
 def discrete_distributions(treated: DataFrame, *, min_group_size: int = 10) -> DataFrame:
     """Per group and column the value distribution as (v, cumulative
-    share); groups below min_group_size take the global distribution."""
-    parts = []
-    for c in [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in treated.columns]:
-        per = treated.groupBy(*GROUP_COLUMNS, F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-        w = Window.partitionBy(*GROUP_COLUMNS).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        per = per.select(*GROUP_COLUMNS, "v", (F.sum("k").over(w) / F.sum("k").over(Window.partitionBy(*GROUP_COLUMNS))).alias("cum"))
-        gl = treated.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-        wg = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)  # one row per distinct value
-        gl = gl.select("v", (F.sum("k").over(wg) / F.sum("k").over(Window.partitionBy())).alias("cum"))
-        sizes = treated.groupBy(*GROUP_COLUMNS).agg(F.count(F.lit(1)).alias("cnt"))
-        big = per.join(F.broadcast(sizes.where(F.col("cnt") >= min_group_size)), GROUP_COLUMNS, "left_semi")
-        # small groups take the global distribution: one array (one entry per
-        # distinct value of a small-count column) read as a scalar subquery
-        glob_arr = gl.select(F.sort_array(F.collect_list(F.struct("v", "cum"))).alias("a")).scalar()
-        small = sizes.where(F.col("cnt") < min_group_size).select(*GROUP_COLUMNS, F.explode(glob_arr).alias("x")).select(
-            *GROUP_COLUMNS, "x.v", "x.cum")
-        parts.append(big.unionByName(small).select(F.lit(c).alias("column"), *GROUP_COLUMNS, F.col("v").cast("bigint").alias("v"), "cum"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    share); groups below min_group_size take the global distribution. All
+    discrete columns go through one pipeline as (column, value) rows."""
+    cols = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in treated.columns]
+    melted = treated.select(*GROUP_COLUMNS, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("v")) for c in cols])).alias("x")).select(
+        *GROUP_COLUMNS, "x.column", "x.v")
+    per = melted.groupBy(*GROUP_COLUMNS, "column", "v").agg(F.count(F.lit(1)).alias("k"))
+    part = Window.partitionBy(*GROUP_COLUMNS, "column")
+    per = per.select(*GROUP_COLUMNS, "column", "v",
+                     (F.sum("k").over(part.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("k").over(part)).alias("cum"))
+    gl = melted.groupBy("column", "v").agg(F.count(F.lit(1)).alias("k"))
+    gpart = Window.partitionBy("column")  # rows: distinct values of small-count columns
+    gl = gl.select("column", "v", (F.sum("k").over(gpart.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("k").over(gpart)).alias("cum"))
+    sizes = treated.groupBy(*GROUP_COLUMNS).agg(F.count(F.lit(1)).alias("cnt"))
+    big = per.join(sizes.where(F.col("cnt") >= min_group_size), GROUP_COLUMNS, "left_semi")
+    # small groups take the global distribution: one array per column (one
+    # entry per distinct value of a small-count column) read as a scalar subquery
+    glob = gl.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("v", "cum"))).alias("a"))
+    glob_map = glob.select(F.map_from_entries(F.collect_list(F.struct("column", "a"))).alias("m")).scalar()
+    small = sizes.where(F.col("cnt") < min_group_size).select(
+        *GROUP_COLUMNS, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), glob_map[c].alias("a")) for c in cols])).alias("y")
+    ).select(*GROUP_COLUMNS, "y.column", F.explode("y.a").alias("x")).select(*GROUP_COLUMNS, "column", "x.v", "x.cum")
+    return big.unionByName(small).select("column", *GROUP_COLUMNS, "v", "cum")
 
 
 def prepare_generation_metadata(treated: DataFrame, grouped_mean: DataFrame, grouped_std: DataFrame, raw: DataFrame,
