@@ -33,8 +33,9 @@ _MEMO: dict[tuple, DataFrame] = {}
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Build a shared intermediate table once per session and scale, written
     with a reliable ``checkpoint`` to the shared checkpoint folder (cuts the
-    lineage; survives executor loss). Used for the mart and the treated table
-    (the reference persists its treated table and caches loads)."""
+    lineage; survives executor loss). Used for the mart, the treated table and
+    derived tables several queries read (synthetic rows, the warehouse table,
+    the search result); the reference likewise persists its treated table."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     df = _MEMO.get(key)
     if df is None:
