@@ -36,3 +36,11 @@ def test_no_whole_group_percentile_buffers(spark):
     for df in (lookup.lookup_kpis(seg), profile.describe_numeric(raw(spark, SF)), clean.impute_income(raw(spark, SF))):
         p = plan(df)
         assert "percentile(" not in p.replace("percentile_approx(", "")
+
+
+def test_column_profile_approx_close_to_exact(spark):
+    r = raw(spark, SF)
+    exact = {x["Column"]: x["Unique_Values"] for x in profile.column_profile(r).collect()}
+    approx = {x["Column"]: x["Unique_Values"] for x in profile.column_profile(r, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[c] - exact[c]) <= max(2, 0.1 * exact[c]) for c in exact)
