@@ -62,3 +62,7 @@ add("rfm_points", lambda s, d: segmented(s, d).select(
     (F.col("ID") == segmented(s, d).select(F.min("ID")).scalar()).alias("is_selected")),
     ssel("SELECT ID, Total_Purchases, Recency, Total_Spent, Segmentation, CAST(Cluster_Recency AS VARCHAR) AS Cluster_Recency_label, "
          "ID = (SELECT min(ID) FROM segmented) AS is_selected FROM segmented"))
+add("spend_income_points", lambda s, d: treated(s, d).select("ID", "Income", "Total_Spent", "Highest_Spent", "Age", "Total_Purchases"),
+    sel("SELECT ID, Income, Total_Spent, Highest_Spent, Age, Total_Purchases FROM treated"))
+add("web_visits_points", lambda s, d: treated(s, d).select("ID", "NumWebVisitsMonth", "NumWebPurchases", "Total_Spent", "Income"),
+    sel("SELECT ID, NumWebVisitsMonth, NumWebPurchases, Total_Spent, Income FROM treated"))
