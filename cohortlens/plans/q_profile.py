@@ -131,3 +131,9 @@ add("income_age_regression", lambda s, d: profile.regression(treated(s, d)), sel
     "SELECT round(regr_slope(Age, Income), 10) AS slope, round(regr_intercept(Age, Income), 4) AS intercept, "
     "round(corr(Age, Income), 6) AS corr, round(regr_r2(Age, Income), 6) AS r2, CAST(regr_count(Age, Income) AS BIGINT) AS n FROM treated"
 ))
+MARKER_COLUMNS = ("Age", "Income", "Total_Spent")
+add("hist_markers", lambda s, d: profile.scalar_stats(treated(s, d), MARKER_COLUMNS), sel(U(
+    f"SELECT {S.q(c)} AS \"column\", round(avg({c}), 4) AS mean, round(median({c}), 4) AS median, "
+    f"round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM treated"
+    for c in MARKER_COLUMNS
+)))
