@@ -46,10 +46,13 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def null_columns(df: DataFrame) -> DataFrame:
-    """Columns holding nulls, ascending by count."""
+    """Columns holding nulls, ascending by count, with their total."""
     wide = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in df.columns])
     long = wide.select(unpivot_exprs([(c, F.col(c)) for c in df.columns], "Column", "Nulls").alias("kv")).select("kv.*")
-    return long.where(F.col("Nulls") > 0).orderBy("Nulls", "Column")
+    from pyspark.sql import Window
+    nz = long.where(F.col("Nulls") > 0)
+    # total over the (≤ column-count) rows with nulls
+    return nz.select("Column", "Nulls", F.sum("Nulls").over(Window.partitionBy()).alias("Total")).orderBy("Nulls", "Column")
 
 
 def constant_columns(df: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ add("column_profile", lambda s, d: profile.column_profile(raw(s, d)), sel(U(
     for c in RAW_COLUMNS
 )))
 add("null_columns", lambda s, d: profile.null_columns(raw(s, d)), sel(
-    "SELECT * FROM (" + U(
+    "SELECT \"Column\", Nulls, CAST(sum(Nulls) OVER () AS BIGINT) AS Total FROM (" + U(
         f"SELECT {S.q(c)} AS \"Column\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS Nulls FROM raw" for c in RAW_COLUMNS
     ) + ") WHERE Nulls > 0 ORDER BY Nulls, \"Column\""
 ))
