@@ -8,11 +8,17 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens",
+                  event_log_dir: str | None = None) -> SparkSession:
     """Session for tests and the bench. A cluster job receives its session
-    from the launcher and only needs :func:`ensure_checkpoint_dir`."""
+    from the launcher and only needs :func:`ensure_checkpoint_dir`.
+    ``event_log_dir`` writes Spark's event log there (stage/task timings
+    without any UI)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
