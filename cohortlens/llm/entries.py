@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import exact_dedup
+from cohortlens.llm import exact_dedup, host_rules, simhash
 from cohortlens.llm.common import table
 
 
@@ -12,9 +12,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge(table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def queries() -> dict:
-    return {"op5_exact_dedup": op5_exact_dedup}
+    return {"op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.SQL}
+    return {"op4_host_rules": host_rules.SQL, "op5_exact_dedup": exact_dedup.SQL}
