@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import exact_dedup, host_rules, simhash
+from cohortlens.llm import exact_dedup, host_rules, piece_bpe, simhash
 from cohortlens.llm.common import table
 
 
@@ -20,8 +20,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash}
+    return {"op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash,
+            "op8_piece_bpe": op8_piece_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
