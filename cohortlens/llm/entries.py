@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import exact_dedup, host_rules, piece_bpe, simhash
+from cohortlens.llm import exact_dedup, host_rules, mixing, piece_bpe, secrets, simhash, url_filter
 from cohortlens.llm.common import table
 
 
@@ -24,8 +24,21 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {"op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash,
+    return {"op1_secrets": op1_secrets, "op6_mixing": op6_mixing, "op9_url_filter": op9_url_filter,
+            "op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash,
             "op8_piece_bpe": op8_piece_bpe}
 
 
