@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import exact_dedup, host_rules, html_text, mixing, piece_bpe, secrets, simhash, url_filter
+from cohortlens.llm import exact_dedup, host_rules, html_text, mixing, packing, piece_bpe, secrets, simhash, toxicity, url_filter
 from cohortlens.llm.common import table
 
 
@@ -28,6 +28,14 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -41,7 +49,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_secrets": op1_secrets, "op3_html_text": op3_html_text, "op6_mixing": op6_mixing, "op9_url_filter": op9_url_filter,
+    return {"op1_secrets": op1_secrets, "op2_toxicity": op2_toxicity, "op10_packing": op10_packing,
+            "op3_html_text": op3_html_text, "op6_mixing": op6_mixing, "op9_url_filter": op9_url_filter,
             "op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash,
             "op8_piece_bpe": op8_piece_bpe}
 
