@@ -50,6 +50,13 @@ def join_small(left: DataFrame, small: DataFrame, keys: list[str], spread: Colum
     return left.join(s, cond, how).drop("__salt", "__salt_s", *names)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ..., so that no name can clash
+    with an operator's own, and the new name of each."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def row_keys(id_col: str, text_col: str) -> list[Column]:
     """Columns that identify a row of a documents table: its id and a hash of
     its text (ids may repeat)."""
@@ -61,16 +68,15 @@ def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str, text_col: str) -> D
     ``__id``, ``__text``), all columns kept, once each: of rows that repeat
     both, one stays. The small side is hashed, so the texts are shuffled but
     not sorted; only ids that really repeat are de-duplicated."""
-    cols = docs.columns
-    keyed = docs.select("*", *row_keys(id_col, text_col))
+    rows, names = numbered(docs)
+    keys = row_keys(names[id_col], names[text_col])
+    keyed = rows.select("*", *keys)
     keep = keep.select(F.col("__id").alias("__kid"), F.col("__text").alias("__ktext")).distinct()
-    cond = [same(keyed["__id"], keep["__kid"]), keyed["__text"] == keep["__ktext"]]
-    kept = keyed.join(keep.hint("shuffle_hash"), cond, "left_semi")
-    repeated = cut(docs.select(*row_keys(id_col, text_col)).groupBy("__id", "__text").agg(F.count("*").alias("__n"))
+    kept = keyed.join(keep.hint("shuffle_hash"), [same(F.col("__id"), F.col("__kid")), F.col("__text") == F.col("__ktext")], "left_semi")
+    repeated = cut(rows.select(*keys).groupBy("__id", "__text").agg(F.count("*").alias("__n"))
                    .where("__n > 1").select(F.col("__id").alias("__rid"), F.col("__text").alias("__rtext")))
-    if repeated.isEmpty():
-        return kept.select(*cols)
-    cond = [same(kept["__id"], repeated["__rid"]), kept["__text"] == repeated["__rtext"]]
-    once = kept.join(repeated, cond, "left_anti")
-    many = kept.join(repeated, cond, "left_semi").dropDuplicates(["__id", "__text"])
-    return once.unionByName(many).select(*cols)
+    if not repeated.isEmpty():
+        cond = [same(F.col("__id"), F.col("__rid")), F.col("__text") == F.col("__rtext")]
+        many = kept.join(repeated, cond, "left_semi").dropDuplicates(["__id", "__text"])
+        kept = kept.join(repeated, cond, "left_anti").unionByName(many)
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import cut, join_small, text_of
+from cohortlens.llm.common import cut, join_small, numbered, text_of
 
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
@@ -124,10 +124,10 @@ def filter_documents(docs: DataFrame, text_col: str = "text", host_col: str = "s
     the counts are made again beside the text, and the hosts' rates joined."""
     src = docs.select(F.col(host_col).alias("host"), text_of(text_col).alias("text"))
     rates = host_rates(_measured(src, "text").select("host", base_failed().alias("base_failed")))
-    names = {c: f"k{i}" for i, c in enumerate(docs.columns)}
+    rows, names = numbered(docs)
     host, text = names[host_col], names[text_col]
     bad = cut(rates.where(F.col("rate") > limit).select(F.col("host").alias(host), F.lit(True).alias("bad")))
-    good = _measured(docs.select(*[F.col(f"`{c}`").alias(k) for c, k in names.items()]), text, keep_text=True).where(~base_failed())
+    good = _measured(rows, text, keep_text=True).where(~base_failed())
     good = join_small(good, bad, [host], F.col(text)).where(F.col("bad").isNull())
     return good.select(*[F.col(k).alias(c) for c, k in names.items()])
 

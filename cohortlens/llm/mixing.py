@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import SPACE, cut, row_keys, same, text_of
+from cohortlens.llm.common import SPACE, cut, numbered, row_keys, same, text_of
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -57,13 +57,13 @@ def targets(cells: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) ->
     s = cut(_ranked(s, "key").withColumn("w", weight))
     most = F.col("source_size") * MAX_COPIES
     total = s.agg((F.sum("source_size") * share).alias("t")).first()["t"]
-    level, before = None, None
-    while total is not None:
+    level = None
+    while total:
         full = F.lit(False) if level is None else most <= F.col("w") * level
         r = s.agg(F.sum(F.when(full, most).otherwise(0)).alias("full"), F.sum(F.when(~full, F.col("w"))).alias("free")).first()
-        before, level = level, (total - r["full"]) / r["free"] if r["free"] else before
-        if level == before:
+        if r["free"] is None or level == (total - r["full"]) / r["free"]:
             break
+        level = (total - r["full"]) / r["free"]
     target = F.least(most.cast("double"), F.col("w") * F.lit(float(level or 0.0)))
     return s.select("key", "source_size", target.alias("target"))
 
@@ -166,9 +166,10 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .groupBy(F.col("doc_id").alias("__pid"), F.col("text_hash").alias("__ptext"))
             .agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")))
     plan = cut(plan.where("__copies > 0"))
-    keyed = docs.select("*", *row_keys(id_col, text_col))
-    cond = [same(keyed["__id"], plan["__pid"]), keyed["__text"] == plan["__ptext"]]
-    out = keyed.join(plan.hint("shuffle_hash"), cond)
+    rows, names = numbered(docs)
+    keyed = rows.select("*", *row_keys(names[id_col], names[text_col]))
+    out = keyed.join(plan.hint("shuffle_hash"), [same(F.col("__id"), F.col("__pid")), F.col("__text") == F.col("__ptext")])
     if not plan.where("__rows > 1").isEmpty():  # rows that repeat share their copies
         out = out.where("__rows = 1").unionByName(out.where("__rows > 1").dropDuplicates(["__id", "__text"]))
-    return out.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    out = out.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
