@@ -94,9 +94,9 @@ def host_rates(rows: DataFrame) -> DataFrame:
     hosts = cut(rows.groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")))
     r = F.col("n_failed") / F.col("n_docs")
     p = hosts.agg(F.avg(r).alias("mean"), F.var_samp(r).alias("var"),
-                  (F.sum("n_failed") / F.sum("n_docs")).alias("all"))
+                  F.try_divide(F.sum("n_failed"), F.sum("n_docs")).alias("all"))
     fits = (F.col("var") > 0) & (F.col("var") < F.col("mean") * (1 - F.col("mean")))
-    weight = F.when(fits, F.col("mean") * (1 - F.col("mean")) / F.col("var") - 1).otherwise(F.lit(1.0))
+    weight = F.when(fits, F.try_divide(F.col("mean") * (1 - F.col("mean")), F.col("var")) - 1).otherwise(F.lit(1.0))
     mean = F.when(fits, F.col("mean")).otherwise(F.col("all"))
     prior = p.select(F.struct(weight.alias("weight"), mean.alias("mean")).alias("prior"))
     return (hosts.withColumn("prior", prior.scalar())

@@ -92,7 +92,7 @@ def solve(cells: DataFrame, goal: DataFrame) -> DataFrame:
         low = F.col("s") < F.col("target")
         lo = F.when(low, F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(low, F.col("hi")).otherwise(F.col("lam"))
-        newton = F.col("lam") - F.log(F.col("s") / F.col("target")) * F.col("s") / F.col("d")
+        newton = F.col("lam") - F.log(F.try_divide("s", "target")) * F.try_divide("s", "d")
         inside = F.col("d").isNotNull() & (F.col("d") > 0) & (F.col("s") > 0) & (lo.isNull() | (newton > lo)) & (hi.isNull() | (newton < hi))
         step = (F.when(inside, newton).when(lo.isNotNull() & hi.isNotNull(), (lo + hi) / 2)
                 .when(low, F.greatest(F.col("lam"), F.lit(0.5)) * 2).otherwise(F.least(F.col("lam"), F.lit(-0.5)) * 2))
@@ -117,7 +117,7 @@ def _rounded(cells: DataFrame, solved: DataFrame) -> DataFrame:
         size = -x["neg"]
         want = acc["carry"] + x["n"] * x["r"] * size
         k = F.when(size == 0, F.lit(0).cast("long")).otherwise(
-            F.greatest(F.lit(0).cast("long"), F.least(x["n"] * MAX_COPIES, F.floor(want / size + 0.5).cast("long"))))
+            F.greatest(F.lit(0).cast("long"), F.least(x["n"] * MAX_COPIES, F.floor(F.try_divide(want, size) + 0.5).cast("long"))))
         return F.struct((want - k * size).alias("carry"), F.concat(acc["ks"], F.array(k)).alias("ks"))
 
     start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<bigint>").alias("ks"))

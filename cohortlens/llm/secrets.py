@@ -119,7 +119,7 @@ def _battery(m: Column) -> Column:
         mean = F.aggregate(v, F.lit(0.0), plus) / n
         var = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x) / n - mean * mean
         lagged = F.aggregate(F.zip_with(F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1), lambda x, y: x * y), F.lit(0.0), plus)
-        r = F.when(var > 0, F.abs((lagged / (n - 1) - mean * mean) / var)).otherwise(F.lit(1.0))
+        r = F.when(var > 0, F.abs(F.try_divide(lagged / (n - 1) - mean * mean, var))).otherwise(F.lit(1.0))
         return (CORRELATION - r) * F.sqrt(n)
 
     changes = F.regexp_count(m, F.lit("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[+/_-])[A-Za-z0-9]")).cast("double")

@@ -82,7 +82,7 @@ def char_model(shapes: DataFrame, order: int = ORDER) -> DataFrame:
         else:
             grams = grams.join(below, F.substring("gram", 2, k) == F.col("suffix"))
         smooth = [F.when(F.col(f"n_{c}") == 0, F.col(f"p_{c}"))
-                  .otherwise((F.col(c) + F.col(f"t_{c}") * F.col(f"p_{c}")) / (F.col(f"n_{c}") + F.col(f"t_{c}"))).alias(f"p_{c}")
+                  .otherwise(F.try_divide(F.col(c) + F.col(f"t_{c}") * F.col(f"p_{c}"), F.col(f"n_{c}") + F.col(f"t_{c}"))).alias(f"p_{c}")
                   for c in ("accepted", "rejected")]
         below = grams.select(F.col("gram").alias("suffix"), *smooth)
     return cut(below.select(F.col("suffix").alias("gram"), (F.log("p_accepted") - F.log("p_rejected")).alias("ratio")))
@@ -106,7 +106,7 @@ def threshold(scored: DataFrame) -> float:
     every = Window.partitionBy()
     best = bins.select("bin", F.sum("a").over(up).alias("ca"), F.sum("r").over(up).alias("cr"),
                        F.sum("a").over(every).alias("ta"), F.sum("r").over(every).alias("tr"))
-    best = best.where("ta > 0 AND tr > 0").orderBy(F.desc(F.col("ca") / F.col("ta") - F.col("cr") / F.col("tr")), F.abs("bin"), "bin").first()
+    best = best.where("ta > 0 AND tr > 0").orderBy((F.try_divide("ca", "ta") - F.try_divide("cr", "tr")).desc(), F.abs("bin"), "bin").first()
     return 0.0 if best is None else best["bin"] * BIN
 
 
