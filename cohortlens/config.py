@@ -189,11 +189,9 @@ class CampaignSchema:
     age_outlier_threshold: int = 120
     min_group_size: int = 10
     rfm_k: int = 4
-    rfm_max_rounds: int = 30
+    # The clustering runs until no centre changes; beyond this it raises.
+    rfm_max_rounds: int = 100_000
     synthetic_seed: int = 42
-    noise_scale: float = 1.0
-    # Fallback bounds for Age when the treated table has none.
-    default_age_bounds: tuple[int, int] = (18, 100)
     # Dimension tables at most this many rows are broadcast; above it the
     # operators fall back to a shuffle join.
     broadcast_row_limit: int = 100_000

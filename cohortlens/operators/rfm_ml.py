@@ -30,7 +30,8 @@ def parameter_search(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_points
     fitted on the other folds' value histogram, all keys in the same Lloyd
     rounds; the score is the held-out −Σ w·min(v − c)² (the estimator's own
     score), averaged over folds. The deterministic start makes ``init`` and
-    ``n_init`` immaterial; ``max_iter`` above the round cap changes nothing."""
+    ``n_init`` immaterial, and every fit runs until no centre changes, so they and
+    ``max_iter`` are reported without effect."""
     points = sample_grid(n_points)
     ks = sorted({p[0] for p in points})
     comps = [vc for vc, _, _ in cfg.rfm_components]
@@ -47,9 +48,8 @@ def parameter_search(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_points
                         F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
              .groupBy(F.concat_ws("|", "comp", "held", "k").alias("component"), "value")
              .agg(F.sum("weight").alias("weight")))
-    train = small_checkpoint(train)
     kmap = {_key(c, f, k): k for c in comps for f in range(folds) for k in ks}
-    centers, _ = lloyd(train, kmap, cfg.rfm_max_rounds)
+    centers, _, _ = lloyd(train, kmap, cfg.rfm_max_rounds)
     test = per.select("comp", "fold", "value", "weight", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
     key = F.concat_ws("|", "comp", "fold", "k")
     dist = None
@@ -66,6 +66,13 @@ def parameter_search(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_points
                       F.rank().over(w).alias("rank_test_score"))
 
 
+def best_parameters(search: DataFrame) -> dict[str, int]:
+    """k of the best-ranked point per component (of equals the smallest), for
+    ``fit_rfm(ks=...)``. One row per component reaches the driver."""
+    best = search.where("rank_test_score = 1").groupBy("component").agg(F.min("k").alias("k"))
+    return {r["component"]: r["k"] for r in best.collect()}
+
+
 def mllib_kmeans(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_init: int = 3, max_iter: int = 300):
     """``pyspark.ml`` KMeans per component on the weighted value
     histogram; the best of ``n_init`` seeds by training cost."""

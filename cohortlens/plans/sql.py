@@ -151,7 +151,7 @@ km(comp, it, {', '.join(cs)}, done) AS (
   FROM (
     SELECT km.comp, km.it, {', '.join('km.' + c for c in cs)}, {new}
     FROM km JOIN hist h ON h.comp = km.comp
-    WHERE NOT km.done AND km.it < {cfg.rfm_max_rounds}
+    WHERE NOT km.done
     GROUP BY km.comp, km.it, {', '.join('km.' + c for c in cs)}
   )
 ),

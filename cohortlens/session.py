@@ -68,27 +68,3 @@ class per_expression_codegen:
     def __exit__(self, *exc):
         self.spark.conf.set("spark.sql.codegen.wholeStage", self.prev)
         return False
-
-
-class tiny_aggregate_conf:
-    """Settings for driver-iterated rounds whose aggregate output is a handful
-    of rows (the clustering rounds): one reduce partition and no adaptive
-    re-planning, which only adds latency there. Map-side partial aggregation
-    still runs on every input partition, so the input size is unaffected."""
-
-    KEYS = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "1"}
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.prev: dict[str, str | None] = {}
-
-    def __enter__(self):
-        for k, v in self.KEYS.items():
-            self.prev[k] = self.spark.conf.get(k)
-            self.spark.conf.set(k, v)
-        return self
-
-    def __exit__(self, *exc):
-        for k, v in self.prev.items():
-            self.spark.conf.set(k, v)
-        return False
