@@ -33,6 +33,12 @@ def first_argmax_label(cols: Sequence[str], labels: Sequence[str] | None = None)
     return F.element_at(F.array(*[F.lit(x) for x in labels]), pos.cast("int"))
 
 
+def half_even(x: Column, digits: int) -> Column:
+    """Round a double half to even, as nearest integer of x × 10^digits."""
+    scale = float(10 ** digits)
+    return F.rint(x * F.lit(scale)) / F.lit(scale)
+
+
 def round_half_up(x: Column) -> Column:
     """Nearest integer with .5 going up: ``ceil`` when ``ceil(x) - x <= 0.5``."""
     return F.when(F.ceil(x) - x <= 0.5, F.ceil(x)).otherwise(F.floor(x))

@@ -10,8 +10,12 @@ holds a large share of the rows. Here:
 2. one pass counts, per (group, quantile), the values below ``a`` and the
    distinct values inside the bracket (partial aggregation; a hot value is
    one row with a count, never a pile of rows);
-3. a running count over the few bracket values locates the ranks
-   ⌊q(n−1)⌋ and ⌈q(n−1)⌉, interpolated linearly as lo + d·(hi − lo).
+3. the bracket is cut into SLICES slices of equal width; their counts, then a
+   running count within each slice, locate the ranks ⌊q(n−1)⌋ and ⌈q(n−1)⌉,
+   interpolated linearly as lo + d·(hi − lo). No task sorts a whole bracket.
+
+The values themselves are never exchanged: brackets of up to GROUPS groups are
+counted and broadcast, more are joined with both sides salted.
 
 Everything is lazy DataFrame code; the result can be joined back (one row per
 group) or read as a scalar subquery.
@@ -24,7 +28,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import ensure_checkpoint_dir
+
 ACCURACY = 10_000
+SLICES = 1024
+#: Groups whose brackets are broadcast; and the salt of the join beyond that.
+GROUPS, SALT = 10_000, 32
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
@@ -69,10 +78,16 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
         structs.append(F.struct(F.lit(qi).alias("qi"), F.lit(float(q)).alias("q"),
                                 a.otherwise(F.col("__mn")).alias("a"), b.otherwise(F.col("__mx")).alias("b")))
     if out_g:
-        # one row per group × quantile; its size depends on the key domain, so
-        # the join strategy is left to AQE's runtime statistics
-        brackets = st.select(*g, "__n", F.explode(F.array(*structs)).alias("br")).select(*g, "__n", "br.*")
-        joined = base.join(brackets, g)
+        ensure_checkpoint_dir(df.sparkSession)
+        brackets = st.select(*[F.col(c).alias(f"__b_{c}") for c in g], "__n", F.array(*structs).alias("brs")).checkpoint()
+        cond = [F.col(c) == F.col(f"__b_{c}") for c in g]
+        if brackets.count() <= GROUPS:
+            joined = base.join(F.broadcast(brackets), cond)
+        else:
+            salt = F.pmod(F.xxhash64("__v"), F.lit(SALT))
+            brackets = brackets.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("long"))
+            joined = base.withColumn("__s", salt).join(brackets, cond + [F.col("__s") == F.col("__salt")])
+        joined = joined.select(*g, "__v", "__n", F.explode("brs").alias("br")).select(*g, "__v", "__n", "br.*")
     else:
         # a single group: the brackets are one scalar-subquery row, fanned out
         # per value over the (few) quantiles — no join at all
@@ -80,13 +95,20 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
         joined = base.select("__g", "__v", br["n"].alias("__n"), F.explode(br["arr"]).alias("br")).select(
             "__g", "__v", "__n", "br.*")
     key = F.when(F.col("__v") >= F.col("a"), F.col("__v"))  # null = below the bracket
+    place = F.least(F.floor(F.try_divide(F.col("__v") - F.col("a"), F.col("b") - F.col("a")) * SLICES), F.lit(SLICES - 1).cast("long"))
+    piece = F.when(F.col("__v") < F.col("a"), F.lit(-1).cast("long")).otherwise(F.coalesce(place, F.lit(0).cast("long")))
     hist = (
         joined.where(F.col("__v") <= F.col("b"))
-        .groupBy(*g, "qi", "q", "__n", key.alias("k"))
+        .groupBy(*g, "qi", "q", "__n", piece.alias("slice"), key.alias("k"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    w = Window.partitionBy(*g, "qi").orderBy(F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = hist.select("*", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("before"))
+    prior = Window.partitionBy(*g, "qi").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = hist.groupBy(*g, "qi", "slice").agg(F.sum("c").alias("sc"))  # SLICES + 1 rows per group and quantile
+    pieces = pieces.select(*[F.col(c).alias(f"__p_{c}") for c in g], F.col("qi").alias("__p_qi"), F.col("slice").alias("__p_slice"),
+                           F.coalesce(F.sum("sc").over(prior), F.lit(0)).alias("start"))
+    hist = hist.join(pieces, [F.col(c) == F.col(f"__p_{c}") for c in [*g, "qi", "slice"]])
+    w = Window.partitionBy(*g, "qi", "slice").orderBy(F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = hist.select("*", (F.col("start") + F.coalesce(F.sum("c").over(w), F.lit(0))).alias("before"))
     pos = F.col("q") * (F.col("__n") - 1)
     r_lo, r_hi = F.floor(pos), F.ceil(pos)
     covers = lambda r: F.col("k").isNotNull() & (F.col("before") <= r) & (r < F.col("before") + F.col("c"))

@@ -5,6 +5,7 @@ Each step is a ``DataFrame → DataFrame`` transform usable with
 max income, median income) read it through a scalar subquery
 (``DataFrame.scalar()``): the plan stays lazy and single, Catalyst merges
 sibling scalar aggregates into one job, and nothing passes through the driver.
+Only text dates need one aggregate first, as one rule holds for the column.
 """
 
 from __future__ import annotations
@@ -43,28 +44,35 @@ def add_highest_spent(df: DataFrame) -> DataFrame:
     return df.withColumn("Highest_Spent", first_argmax_label(PRODUCT_COLUMNS))
 
 
+UNPARSED = "Unable to parse all Dt_Customer values as dates."
+
+
 def parse_dates_expr(df: DataFrame, column: str = "Dt_Customer") -> Column:
-    """Adaptive date parse as one lazy expression.
+    """Adaptive date parse, decided for the whole column.
 
-    All non-null texts ISO → ISO; otherwise day first; a value still unparsed
-    retries the default parser and then fails the job with a clear message.
-    The all-ISO decision is a scalar subquery over the column.
+    All texts ISO → ISO, otherwise day first; if a value is left null, the
+    whole column is tried again with the default parser; if one is still null
+    (a null among them), ValueError. The decision is one aggregate. A streaming
+    source has no whole column to look at, so its dates must be typed.
     """
     c = F.col(column)
     if dict(df.dtypes)[column] == "date":
         return c
     if dict(df.dtypes)[column] == "timestamp":
         return F.to_date(c)
+    if df.isStreaming:
+        raise ValueError(f"{column} of a streaming source must be a date or timestamp")
     text = c.cast("string")
-    all_iso = df.select(F.coalesce(F.bool_and(text.rlike(ISO_DATE)), F.lit(True))).scalar()
-    primary = F.when(all_iso, F.try_to_date(text, "yyyy-MM-dd")).otherwise(
-        F.coalesce(F.try_to_date(text, "d-M-yyyy"), F.try_to_date(text, "d/M/yyyy"))
-    )
-    parsed = F.coalesce(primary, F.try_to_date(text))
-    return F.when(
-        text.isNotNull() & parsed.isNull(),
-        F.raise_error(F.lit("Unable to parse all Dt_Customer values as dates.")).cast("date"),
-    ).otherwise(parsed)
+    iso = F.try_to_date(text, "yyyy-MM-dd")
+    day_first = F.coalesce(F.try_to_date(text, "d-M-yyyy"), F.try_to_date(text, "d/M/yyyy"))
+    default = F.try_to_date(text)
+    seen = df.agg(F.coalesce(F.bool_and(text.rlike(ISO_DATE)), F.lit(True)).alias("all_iso"), F.count("*").alias("n"),
+                  *[F.count(x).alias(k) for k, x in (("iso", iso), ("day_first", day_first), ("default", default))]).first()
+    first = ("iso", iso) if seen["all_iso"] else ("day_first", day_first)
+    for name, parsed in (first, ("default", default)):
+        if seen[name] == seen["n"]:
+            return parsed
+    raise ValueError(UNPARSED)
 
 
 def parse_customer_dates(df: DataFrame, column: str = "Dt_Customer") -> DataFrame:

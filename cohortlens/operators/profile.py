@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import unpivot_exprs
+from cohortlens.functions.exprs import half_even, unpivot_exprs
 from cohortlens.functions.quantiles import quantile_wide, quantiles_scalar
 
 
@@ -41,7 +41,7 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     types = dict(df.dtypes)
     pairs = [(c, F.struct(F.lit(types[c]).alias("Type"), F.col(f"d_{c}").cast("bigint").alias("Unique_Values"),
                           F.col(f"n_{c}").alias("Nulls"),
-                          F.round(F.col(f"n_{c}") * 100 / F.col("__n"), 2).alias("Pct_Nulls"))) for c in df.columns]
+                          half_even(F.col(f"n_{c}") * 100 / F.col("__n"), 2).alias("Pct_Nulls"))) for c in df.columns]
     return _long(wide, pairs, "Column")
 
 

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.config import (
-    CAMPAIGN_COLUMNS, CAMPAIGN_LABELS, CHANNEL_COLUMNS, EDUCATION_VALUES, GROUP_COLUMNS,
-    GROUP_MEASURES, INTEGER_NOISE_COLUMNS, FLOAT_NOISE_COLUMNS, MARITAL_VALUES, MONEY_MEASURES,
+    CAMPAIGN_COLUMNS, CAMPAIGN_LABELS, CHANNEL_COLUMNS, GROUP_COLUMNS,
+    GROUP_MEASURES, INTEGER_NOISE_COLUMNS, FLOAT_NOISE_COLUMNS, MONEY_MEASURES,
     PRODUCT_COLUMNS, TOP_DECILE_FEATURES, product_label,
 )
-from cohortlens.functions.exprs import null_safe_sum, round_half_up, unpivot_exprs
+from cohortlens.functions.exprs import half_even, null_safe_sum, round_half_up, unpivot_exprs
 from cohortlens.functions.quantiles import quantile_scalar
 
 def _whole() -> Window:
@@ -32,7 +32,7 @@ def product_share(df: DataFrame) -> DataFrame:
     long = wide.select(unpivot_exprs([(product_label(c), F.col(c)) for c in PRODUCT_COLUMNS], "Product", "Gross").alias("kv")).select("kv.*")
     total = F.sum("Gross").over(_whole())
     return long.select(
-        "Product", F.round(F.col("Gross") * 100 / total, 2).alias("Pct"), F.col("Gross").cast("bigint").alias("Gross")
+        "Product", half_even(F.col("Gross") * 100 / total, 2).alias("Pct"), F.col("Gross").cast("bigint").alias("Gross")
     ).orderBy(F.desc("Pct"), "Product")
 
 
@@ -42,7 +42,7 @@ def _rounded_group_table(agg_fn, df: DataFrame, null_int_to_zero: bool) -> DataF
     for c in GROUP_MEASURES:
         x = F.col(c)
         if c in MONEY_MEASURES:
-            out.append(F.round(x, 2).alias(c))
+            out.append(half_even(x, 2).alias(c))
         else:
             v = round_half_up(x).cast("bigint")
             out.append((F.coalesce(v, F.lit(0).cast("bigint")) if null_int_to_zero else v).alias(c))
@@ -72,27 +72,48 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
     """Count and % (2 dp) per category, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("Frequency"))
     return counts.select(
-        column, "Frequency", F.round(F.col("Frequency") * 100 / F.sum("Frequency").over(_whole()), 2).alias("Percentage")
+        column, "Frequency", half_even(F.col("Frequency") * 100 / F.sum("Frequency").over(_whole()), 2).alias("Percentage")
     ).orderBy(F.desc("Frequency"), column)
 
 
+#: Columns a pivot may get from the data.
+MOST_PIVOT_COLUMNS = 1000
+
+
+def pivot_domain(df: DataFrame, column: str) -> list:
+    """The distinct non-null values of a column, in order. Raises beyond
+    MOST_PIVOT_COLUMNS, as each becomes a column."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MOST_PIVOT_COLUMNS + 1).collect()
+    if len(found) > MOST_PIVOT_COLUMNS:
+        raise ValueError(f"{column} has more than {MOST_PIVOT_COLUMNS} values")
+    return sorted(r[0] for r in found)
+
+
 def crosstab(df: DataFrame, row: str = "Education", column: str = "Marital_Status",
-             values: Sequence = MARITAL_VALUES, pct: bool = False) -> DataFrame:
-    """Contingency table with a fixed column domain; missing cell = 0;
-    ``pct`` gives % of the grand total (2 dp)."""
-    ct = df.groupBy(row).pivot(column, list(values)).count().fillna(0)
+             values: Sequence | None = None, pct: bool = False) -> DataFrame:
+    """Contingency table; the columns are the values in the data unless
+    given; missing cell = 0; ``pct`` gives % of the grand total (2 dp)."""
+    values = pivot_domain(df, column) if values is None else list(values)
+    ct = df.groupBy(row).pivot(column, values).count().fillna(0, subset=[str(v) for v in values])
     names = [str(v) for v in values]
     if not pct:
         return ct.select(row, *[F.col(f"`{n}`").cast("bigint").alias(n) for n in names])
     total = sum((F.col(f"`{n}`") for n in names), F.lit(0))
     grand = F.sum(total).over(_whole())
-    return ct.select(row, *[F.round(F.col(f"`{n}`") * 100 / grand, 2).alias(n) for n in names])
+    return ct.select(row, *[half_even(F.col(f"`{n}`") * 100 / grand, 2).alias(n) for n in names])
+
+
+def crosstab_cells(df: DataFrame, row: str = "Education", column: str = "Marital_Status") -> DataFrame:
+    """A7 with a row per cell that occurs, null categories included: row,
+    column, n, pct of the grand total (2 dp). For domains of any size."""
+    n = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
+    return n.select(row, column, "n", half_even(F.col("n") * 100 / F.sum("n").over(_whole()), 2).alias("pct"))
 
 
 def household_crosstab(df: DataFrame) -> DataFrame:
-    """Kidhome × Teenhome counts, columns teen_0..teen_2."""
-    ct = df.groupBy("Kidhome").pivot("Teenhome", [0, 1, 2]).count().fillna(0)
-    return ct.select("Kidhome", *[F.col(str(v)).cast("bigint").alias(f"teen_{v}") for v in (0, 1, 2)])
+    """Kidhome × Teenhome counts, a column teen_<n> per value in the data."""
+    ct = crosstab(df, "Kidhome", "Teenhome")
+    return ct.select("Kidhome", *[F.col(f"`{c}`").alias(f"teen_{c}") for c in ct.columns if c != "Kidhome"])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -156,8 +177,9 @@ def response_by(df: DataFrame, dimension: str = "Education") -> DataFrame:
 
 def spend_pivot(df: DataFrame) -> DataFrame:
     """Mean Total_Spent, Marital × Education; empty cell null."""
-    p = df.groupBy("Marital_Status").pivot("Education", EDUCATION_VALUES).avg("Total_Spent")
-    return p.select("Marital_Status", *[F.col(f"`{e}`").alias(e) for e in EDUCATION_VALUES])
+    values = pivot_domain(df, "Education")
+    p = df.groupBy("Marital_Status").pivot("Education", values).avg("Total_Spent")
+    return p.select("Marital_Status", *[F.col(f"`{e}`").alias(e) for e in values])
 
 
 def top_decile_profile(df: DataFrame, features: Sequence[str] = TOP_DECILE_FEATURES) -> DataFrame:

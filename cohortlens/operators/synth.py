@@ -27,6 +27,7 @@ from cohortlens.config import (
     BINARY_COLUMNS, DEFAULT, DERIVED_COLUMNS, DISCRETE_EMPIRICAL_COLUMNS, EXCLUDED_RAW_COLUMNS,
     FLOAT_NOISE_COLUMNS, GROUP_COLUMNS, INTEGER_NOISE_COLUMNS, CampaignSchema,
 )
+from cohortlens.functions.exprs import half_even
 from cohortlens.operators.clean import parse_dates_expr
 
 GOLDEN = 0.6180339887498949
@@ -283,7 +284,7 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
     cols["Dt_Customer"] = F.date_add(F.lit(md.date_min), F.floor(u_date * (span + 1)).cast("int"))
     for c in FLOAT_NOISE_COLUMNS:
         if c in md.output_columns:
-            cols[c] = F.round(noisy(c), 2).cast("double")
+            cols[c] = half_even(noisy(c), 2)
     for c in INTEGER_NOISE_COLUMNS:
         if c in md.output_columns:
             cols[c] = F.rint(noisy(c)).cast("bigint")
@@ -392,6 +393,6 @@ def metric_comparison(original: DataFrame, synthetic: DataFrame, columns) -> Dat
     """Means of original vs synthetic, 2 dp (two one-row aggregates)."""
     s = synthetic.agg(*[F.avg(c).alias(c) for c in columns]).select(F.struct("*").alias("s")).scalar()
     o = original.agg(*[F.avg(c).alias(c) for c in columns])
-    rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.round(F.col(c), 2).alias("original_mean"),
-                              F.round(s[c], 2).alias("synthetic_mean")) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("metric"), half_even(F.col(c), 2).alias("original_mean"),
+                              half_even(s[c], 2).alias("synthetic_mean")) for c in columns])
     return o.select(F.explode(rows).alias("r")).select("r.*")

@@ -27,7 +27,7 @@ add("table_overview", lambda s, d: profile.table_overview(raw(s, d)), sel(
 add("column_profile", lambda s, d: profile.column_profile(raw(s, d)), sel(U(
     f"SELECT {S.q(c)} AS \"Column\", {S.q(RAW_TYPES[c])} AS Type, CAST(count(DISTINCT {c}) AS BIGINT) AS Unique_Values, "
     f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS Nulls, "
-    f"round(count(*) FILTER (WHERE {c} IS NULL) * 100 / count(*), 2) AS Pct_Nulls FROM raw"
+    f"round_even(count(*) FILTER (WHERE {c} IS NULL) * 100 / count(*), 2) AS Pct_Nulls FROM raw"
     for c in RAW_COLUMNS
 )))
 add("null_columns", lambda s, d: profile.null_columns(raw(s, d)), sel(

@@ -26,7 +26,7 @@ add("raw_campaign", raw, S.with_ctes(S.mart(), select="SELECT * FROM raw"))
 add("treated", treated, sel("SELECT * FROM treated"))
 
 add("product_share", lambda s, d: stats.product_share(treated(s, d)), sel(
-    "SELECT Product, round(Gross * 100 / sum(Gross) OVER (), 2) AS Pct, CAST(Gross AS BIGINT) AS Gross FROM ("
+    "SELECT Product, round_even(Gross * 100 / sum(Gross) OVER (), 2) AS Pct, CAST(Gross AS BIGINT) AS Gross FROM ("
     + _union(f"SELECT {S.q(product_label(c))} AS Product, sum({c}) AS Gross FROM treated" for c in PRODUCT_COLUMNS)
     + ") ORDER BY Pct DESC, Product"
 ))
@@ -36,7 +36,7 @@ def _group_sql(agg: str, zero_null_ints: bool) -> str:
     cols = []
     for c in GROUP_MEASURES:
         if c in MONEY_MEASURES:
-            cols.append(f"round({agg}({c}), 2) AS {c}")
+            cols.append(f"round_even({agg}({c}), 2) AS {c}")
         else:
             v = f"CAST({S.round_half_up(f'{agg}({c})')} AS BIGINT)"
             cols.append(f"coalesce({v}, 0) AS {c}" if zero_null_ints else f"{v} AS {c}")
@@ -54,7 +54,7 @@ add("highest_spent_props", lambda s, d: stats.highest_spent_props(treated(s, d))
 
 def _freq_sql(col: str) -> str:
     return sel(
-        f"SELECT {col}, count(*) AS Frequency, round(count(*) * 100 / sum(count(*)) OVER (), 2) AS Percentage "
+        f"SELECT {col}, count(*) AS Frequency, round_even(count(*) * 100 / sum(count(*)) OVER (), 2) AS Percentage "
         f"FROM treated GROUP BY {col} ORDER BY Frequency DESC, {col}"
     )
 
@@ -67,12 +67,15 @@ def _crosstab_sql(pct: bool) -> str:
     cells = []
     for m in MARITAL_VALUES:
         cnt = f"count(*) FILTER (WHERE Marital_Status = {S.q(m)})"
-        cells.append(f"round({cnt} * 100 / sum(count(*)) OVER (), 2) AS {m}" if pct else f"CAST({cnt} AS BIGINT) AS {m}")
+        cells.append(f"round_even({cnt} * 100 / sum(count(*)) OVER (), 2) AS {m}" if pct else f"CAST({cnt} AS BIGINT) AS {m}")
     return sel(f"SELECT Education, {', '.join(cells)} FROM treated GROUP BY Education")
 
 
 add("crosstab_abs", lambda s, d: stats.crosstab(treated(s, d)), _crosstab_sql(False))
 add("crosstab_pct", lambda s, d: stats.crosstab(treated(s, d), pct=True), _crosstab_sql(True))
+add("crosstab_raw", lambda s, d: stats.crosstab_cells(raw(s, d)), sel(
+    "SELECT Education, Marital_Status, count(*) AS n, round_even(count(*) * 100 / sum(count(*)) OVER (), 2) AS pct "
+    "FROM raw GROUP BY Education, Marital_Status"))
 add("household_crosstab", lambda s, d: stats.household_crosstab(treated(s, d)), sel(
     "SELECT Kidhome, " + ", ".join(f"CAST(count(*) FILTER (WHERE Teenhome = {v}) AS BIGINT) AS teen_{v}" for v in (0, 1, 2))
     + " FROM treated GROUP BY Kidhome"

@@ -99,7 +99,7 @@ def synth_ctes() -> list[str]:
         elif c in ("Education", "Marital_Status"):
             outs.append(f"r.{c}")
         elif c == "Income":
-            outs.append(f"CAST(round({_noisy('Income')}, 2) AS DOUBLE) AS Income")
+            outs.append(f"CAST(round_even({_noisy('Income')}, 2) AS DOUBLE) AS Income")
         elif c in INTEGER_NOISE_COLUMNS:
             outs.append(f"CAST(round_even({_noisy(c)}, 0) AS BIGINT) AS {c}")
         elif c == "Dt_Customer":
@@ -185,7 +185,7 @@ add("proportion_comparison", lambda s, d: synth.proportion_comparison(treated(s,
     "(SELECT Marital_Status, Education, count(*) / sum(count(*)) OVER () AS p FROM syn GROUP BY 1, 2) y "
     "ON o.Marital_Status = y.Marital_Status AND o.Education = y.Education ORDER BY 1, 2"))
 add("metric_comparison", lambda s, d: synth.metric_comparison(treated(s, d), synthetic(s, d), METRIC_COMPARISON_COLUMNS), sel(
-    " UNION ALL ".join(f"SELECT '{c}' AS metric, round((SELECT avg({c}) FROM treated), 2) AS original_mean, "
-                       f"round((SELECT avg({c}) FROM syn), 2) AS synthetic_mean" for c in METRIC_COMPARISON_COLUMNS)))
+    " UNION ALL ".join(f"SELECT '{c}' AS metric, round_even((SELECT avg({c}) FROM treated), 2) AS original_mean, "
+                       f"round_even((SELECT avg({c}) FROM syn), 2) AS synthetic_mean" for c in METRIC_COMPARISON_COLUMNS)))
 add("output_projection", lambda s, d: raw(s, d).select(*synth.get_synthetic_output_columns(raw(s, d).columns)),
     S.with_ctes(S.mart(), select="SELECT " + ", ".join(OUT_COLS) + " FROM raw"))

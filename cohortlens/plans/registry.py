@@ -8,8 +8,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.config import DEFAULT
-from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.operators.clean import treat
+from cohortlens.sources.io import shared_path
 from cohortlens.sources.mart import raw_campaign
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -32,15 +32,16 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Build a shared intermediate table once per session and scale, written
-    with a reliable ``checkpoint`` to the shared checkpoint folder (cuts the
-    lineage; survives executor loss). Used for the mart, the treated table and
+    as Parquet below the shared checkpoint folder (cuts the lineage, survives
+    executor loss, and later queries read only the columns and rows they need). Used for the mart, the treated table and
     derived tables several queries read (synthetic rows, the warehouse table,
     the search result); the reference likewise persists its treated table."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     df = _MEMO.get(key)
     if df is None:
-        ensure_checkpoint_dir(spark)
-        df = build().checkpoint(eager=True)
+        path = shared_path(spark, "base", name)
+        build().write.parquet(path)
+        df = spark.read.parquet(path)
         _MEMO[key] = df
     return df
 

@@ -176,7 +176,7 @@ def group_table(agg: str, zero_null_ints: bool) -> str:
     cols = []
     for c in GROUP_MEASURES:
         if c in MONEY_MEASURES:
-            cols.append(f"round({agg}({c}), 2) AS {c}")
+            cols.append(f"round_even({agg}({c}), 2) AS {c}")
         else:
             v = f"CAST({round_half_up(f'{agg}({c})')} AS BIGINT)"
             cols.append(f"coalesce({v}, 0) AS {c}" if zero_null_ints else f"{v} AS {c}")

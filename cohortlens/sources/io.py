@@ -81,6 +81,10 @@ def create_dataset(spark: SparkSession, dataset: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dataset}`")
 
 
+def _sql_string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_creation(spark: SparkSession, json_file: str | Path, dataset: str, location: str | None = None) -> str:
     """Create ``dataset.<file stem>`` from the JSON schema when absent;
     an existing table is left as it is. Errors propagate."""
@@ -91,7 +95,7 @@ def table_creation(spark: SparkSession, json_file: str | Path, dataset: str, loc
     schema = schema_from_json(json_file)
     cols = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-        + (f" COMMENT '{f.metadata['comment']}'" if f.metadata.get("comment") else "")
+        + (" COMMENT " + _sql_string(f.metadata["comment"]) if f.metadata.get("comment") else "")
         for f in schema.fields
     )
     loc = location or shared_path(spark, "warehouse", dataset, name)

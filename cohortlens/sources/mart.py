@@ -118,7 +118,7 @@ def raw_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     marital_noise = _case(key % 211, MARITAL_NOISE_BY_MOD, None)
     joined = (
         customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
-        .join(cust_orders, key == cust_orders.o_custkey)
+        .join(cust_orders, key == cust_orders.o_custkey, "left")
         .join(ev, key == ev.user_id, "left")
     )
     cols = {
@@ -134,9 +134,9 @@ def raw_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Dt_Customer": F.col("first_order"),
         "Recency": F.datediff(latest, F.col("last_order")),
         **{col: F.coalesce(F.col(col), F.lit(0)) for _, col in PRODUCT_BY_TYPE},
-        **{col: F.col(col) for col, _ in CHANNEL_BY_PRIORITY},
+        **{col: F.coalesce(F.col(col), F.lit(0)) for col, _ in CHANNEL_BY_PRIORITY},
         "NumWebVisitsMonth": F.coalesce(F.col("views"), F.lit(0)),
-        **{col: F.col(col) for col, _ in CAMPAIGN_YEAR},
+        **{col: F.coalesce(F.col(col), F.lit(0)) for col, _ in CAMPAIGN_YEAR},
         "Complain": F.coalesce(F.col("errors"), F.lit(0)),
         "Z_CostContact": F.lit(Z_COST_CONTACT),
         "Z_Revenue": F.lit(Z_REVENUE),
@@ -191,9 +191,9 @@ def raw_campaign_sql() -> str:
         "Dt_Customer": "co.first_order",
         "Recency": "date_diff('day', co.last_order, (SELECT max(CAST(o_orderdate AS DATE)) FROM orders))",
         **{col: f"coalesce(co.{col}, 0)" for _, col in PRODUCT_BY_TYPE},
-        **{col: f"co.{col}" for col, _ in CHANNEL_BY_PRIORITY},
+        **{col: f"coalesce(co.{col}, 0)" for col, _ in CHANNEL_BY_PRIORITY},
         "NumWebVisitsMonth": "coalesce(ev.views, 0)",
-        **{col: f"co.{col}" for col, _ in CAMPAIGN_YEAR},
+        **{col: f"coalesce(co.{col}, 0)" for col, _ in CAMPAIGN_YEAR},
         "Complain": "coalesce(ev.errors, 0)",
         "Z_CostContact": str(Z_COST_CONTACT),
         "Z_Revenue": str(Z_REVENUE),
@@ -237,6 +237,6 @@ raw AS (
   {select_list}
   FROM customer c
   JOIN geo g ON c.c_nationkey = g.n_nationkey
-  JOIN cust_orders co ON c.c_custkey = co.o_custkey
+  LEFT JOIN cust_orders co ON c.c_custkey = co.o_custkey
   LEFT JOIN ev ON c.c_custkey = ev.user_id
 )"""
