@@ -192,8 +192,8 @@ class CampaignSchema:
     # The clustering runs until no centre changes; beyond this it raises.
     rfm_max_rounds: int = 100_000
     synthetic_seed: int = 42
-    # Dimension tables at most this many rows are broadcast; above it the
-    # operators fall back to a shuffle join.
+    # Generator parameters pass through the driver as a table of groups; more
+    # groups than this raise an error.
     broadcast_row_limit: int = 100_000
     rfm_components: tuple[tuple[str, str, bool], ...] = field(
         default=(

@@ -59,11 +59,12 @@ def constant_columns(df: DataFrame) -> DataFrame:
     """Zero-variance columns (a null counts as a value) and their value."""
     aggs = []
     for c in df.columns:
-        aggs += [(F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(f"k_{c}"),
-                 F.min(c).cast("string").alias(f"v_{c}")]
+        nulls = F.count(F.lit(1)) - F.count(c)
+        one = (nulls == 0) & F.min(c).eqNullSafe(F.max(c))  # equal, and no null beside it
+        aggs += [((one & (F.count(c) > 0)) | ((F.count(c) == 0) & (nulls > 0))).alias(f"k_{c}"), F.min(c).cast("string").alias(f"v_{c}")]
     wide = df.agg(*aggs)
     pairs = [(c, F.struct(F.col(f"k_{c}").alias("k"), F.col(f"v_{c}").alias("Value"))) for c in df.columns]
-    return _long(wide, pairs, "Column").where(F.col("k") == 1).select("Column", "Value")
+    return _long(wide, pairs, "Column").where("k").select("Column", "Value")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

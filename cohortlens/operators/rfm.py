@@ -234,7 +234,7 @@ def cluster_ranks(seg: DataFrame, cfg: CampaignSchema = DEFAULT) -> DataFrame:
     """Mean value per cluster and its rank (F, M ascending; R descending)."""
     parts = []
     for vc, cc, hib in cfg.rfm_components:
-        g = seg.groupBy(F.col(cc).alias("cluster")).agg(F.avg(vc).alias("mean"))
+        g = seg.where(F.col(cc).isNotNull()).groupBy(F.col(cc).alias("cluster")).agg(F.avg(vc).alias("mean"))
         w = Window.orderBy(F.col("mean").asc() if hib else F.col("mean").desc())
         parts.append(g.select(F.lit(vc).alias("component"), "cluster", "mean",
                               (F.row_number().over(w) - 1).cast("bigint").alias("score")))

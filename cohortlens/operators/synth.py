@@ -1,13 +1,12 @@
 """Synthetic expansion of the treated table (G1–G15) and its checks.
 
-Generation plan: ``spark.range(n)`` → ONE narrow projection. No shuffle, no
-``explode`` of per-group counts, no global sort:
+Generation plan: a table of groups → pieces of slots → one projection:
 
 * the reference's "concatenate groups, then permute" becomes an affine slot
   map ``slot = (a·i + b) mod n`` with ``gcd(a, n) = 1`` (a bijection on
-  0..n−1); the slot falls in the cumulative allocation range of one group;
-* per-group parameters (≤ one row per Marital × Education cell, size checked)
-  travel as literal arrays indexed by the group number;
+  0..n−1); each group owns a range of slots, and the inverse map gives the ID;
+* group parameters (one row per Marital × Education cell, their number is
+  checked) are columns of the group table, not literals of the plan;
 * every random draw is a uniform taken from md5(seed | ID | column), so the
   output is identical under any partitioning, any executor loss / retry and in
   any engine with md5 (the DuckDB oracle reproduces it).
@@ -18,7 +17,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 from datetime import date
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -126,7 +124,7 @@ def group_params_frame(treated: DataFrame, grouped_mean: DataFrame, grouped_std:
     counts = treated.groupBy(*GROUP_COLUMNS).agg(F.count(F.lit(1)).alias("cnt"), *[F.avg(c).alias(f"gp_{c}") for c in binary])
     gm = grouped_mean.select(*GROUP_COLUMNS, *[F.col(c).cast("double").alias(f"gm_{c}") for c in numeric])
     gs = grouped_std.select(*GROUP_COLUMNS, *[F.col(c).cast("double").alias(f"gs_{c}") for c in numeric])
-    j = counts.join(F.broadcast(gm), GROUP_COLUMNS, "left").join(F.broadcast(gs), GROUP_COLUMNS, "left")
+    j = counts.join(gm, GROUP_COLUMNS, "left").join(gs, GROUP_COLUMNS, "left")
     out = [*GROUP_COLUMNS, "cnt", (F.col("cnt") / glob["total"]).alias("proportion")]
     for c in numeric:
         s1 = F.coalesce(F.col(f"gs_{c}"), glob[f"s_{c}"])
@@ -216,62 +214,77 @@ def allocate_group_rows(groups: list[GroupParams], n_rows: int, total: int) -> l
     return base
 
 
-def _pick(values: list, idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), idx)
+def id_of_slot(slot: Column, multiplier: int, offset: int, n: int, wide: bool) -> Column:
+    """ID whose slot is (multiplier × (ID − 1) + offset) mod n. ``wide``
+    multiplies in decimals, for n² beyond 64 bits; both give the same."""
+    inverse = pow(multiplier, -1, n) if n > 1 else 0
+    back = F.pmod(slot - offset, F.lit(n))
+    if wide:
+        return ((back.cast("decimal(19,0)") * F.lit(inverse).cast("decimal(19,0)")) % F.lit(n).cast("decimal(19,0)")).cast("bigint") + 1
+    return (back * inverse) % n + 1
+
+
+#: Largest n whose products of two numbers below it fit in 64 bits.
+NARROW = 3_000_000_000
+#: Rows of a piece of a group that one task generates at a time.
+PIECE = 100_000
+
+
+def group_table(spark: SparkSession, metadata: GenerationMetadata, n_rows: int) -> DataFrame:
+    """One row per group that gets rows: its first slot, its number of rows
+    and its parameters as arrays (numeric columns, binary columns, and the
+    cumulative shares and values of the discrete ones)."""
+    numeric = list(metadata.bounds)
+    binary = [c for c in BINARY_COLUMNS if c in metadata.output_columns]
+    discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in metadata.output_columns]
+    rows, start = [], 0
+    for g, n in zip(metadata.groups, allocate_group_rows(metadata.groups, n_rows, metadata.total)):
+        if n > 0:
+            rows.append((*g.key, start, n, [g.means[c] for c in numeric], [g.stds[c] for c in numeric], [g.probs[c] for c in binary],
+                         [[float(p) for _, p in g.dists[c]] for c in discrete], [[int(v) for v, _ in g.dists[c]] for c in discrete]))
+            start += n
+    return spark.createDataFrame(rows, "Marital_Status string, Education string, __start long, __rows long, __mean array<double>, "
+                                       "__std array<double>, __p array<double>, __cum array<array<double>>, __val array<array<bigint>>")
 
 
 def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_rows: int = 1_000_000,
                        random_state: int = 42, noise_scale: float = 1.0, num_partitions: int | None = None) -> DataFrame:
-    """N synthetic customers as one narrow projection over a range."""
+    """N synthetic customers. The group table is cut into pieces of
+    slots, dealt to the tasks and expanded there; a row carries its group's
+    parameters as columns, so neither the plan nor the time per row grows with
+    the number of groups."""
     if n_rows <= 0:
         raise ValueError("n_rows must be greater than zero.")
     if noise_scale < 0:
         raise ValueError("noise_scale must be non-negative.")
     md = metadata
-    alloc = allocate_group_rows(md.groups, n_rows, md.total)
-    active = [(g, a) for g, a in zip(md.groups, alloc) if a > 0]
-    starts, acc = [], 0
-    for _, a in active:
-        starts.append(acc)
-        acc += a
-    a_mult, b_off = slot_multiplier(n_rows), random_state % n_rows
     parts = num_partitions or max(spark.sparkContext.defaultParallelism, n_rows // 2_000_000 + 1)
-    # renamed: "id" would resolve case-insensitively to the ID alias below
-    rng = spark.range(0, n_rows, 1, parts).withColumnRenamed("id", "__i")
-    i = F.col("__i")
-    if n_rows < 3_000_000_000:  # a·i < n² fits in 64 bits
-        slot = (F.lit(a_mult) * i + F.lit(b_off)) % F.lit(n_rows)
-    else:
-        slot = ((i.cast("decimal(38,0)") * a_mult + b_off) % n_rows).cast("bigint")
-    # group number = 1 + count of group starts ≤ slot (plain comparisons, codegen-friendly)
-    gidx = F.lit(1)
-    for st in starts[1:]:
-        gidx = gidx + F.when(slot >= F.lit(st), 1).otherwise(0)
+    params = ["Marital_Status", "Education", "__mean", "__std", "__p", "__cum", "__val"]
+    piece = max(1, min(PIECE, n_rows // (4 * parts)))
+    end = F.col("__start") + F.col("__rows")
+    pieces = group_table(spark, md, n_rows).select("*", F.explode(F.sequence(F.col("__start"), end - 1, F.lit(piece).cast("bigint"))).alias("__from"))
+    pieces = pieces.select(*params, "__from", F.least(F.col("__from") + piece, end).alias("__to")).repartition(parts, "__from")
+    slots = pieces.select(*params, F.explode(F.sequence(F.col("__from"), F.col("__to") - 1)).alias("__slot"))
+    rng = slots.select(*params, id_of_slot(F.col("__slot"), slot_multiplier(n_rows), random_state % n_rows, n_rows, n_rows >= NARROW).alias("ID"))
     # stage 1: each md5 once as a column; stage 2: its four 32-bit slices as
     # uniforms. The branchy output expressions then only read plain columns.
     draws = sorted({(nm, k) for nm, k0 in NORMAL_DRAWS.values() for k in (k0, k0 + 1)} | set(UNIFORM_DRAWS.values()))
     names = sorted({nm for nm, _ in draws})
-    hashed = rng.select((i + 1).alias("ID"), gidx.alias("__g")).select(
-        "ID", "__g", *[F.md5(F.concat_ws("|", F.lit(str(random_state)), F.col("ID").cast("string"), F.lit(nm))).alias(f"__h_{nm}")
+    hashed = rng.select(
+        "ID", *params, *[F.md5(F.concat_ws("|", F.lit(str(random_state)), F.col("ID").cast("string"), F.lit(nm))).alias(f"__h_{nm}")
                        for nm in names])
-    base = hashed.select("ID", "__g", *[
+    base = hashed.select("ID", *params, *[
         ((F.conv(F.substring(F.col(f"__h_{nm}"), 1 + 8 * k, 8), 16, 10).cast("bigint").cast("double") + 0.5) / 4294967296.0).alias(f"__u_{nm}_{k}")
         for nm, k in draws])
 
     def u_col(nm: str, k: int) -> Column:
         return F.col(f"__u_{nm}_{k}")
-    idx = F.col("__g")
-    ID = F.col("ID")
-    groups = [g for g, _ in active]
-    cols: dict[str, Column] = {
-        "ID": ID,
-        "Marital_Status": _pick([g.key[0] for g in groups], idx),
-        "Education": _pick([g.key[1] for g in groups], idx),
-    }
+    numeric = list(md.bounds)
+    cols: dict[str, Column] = {c: F.col(c) for c in ("ID", "Marital_Status", "Education")}
 
     def noisy(c: str) -> Column:
-        mean = _pick([g.means[c] for g in groups], idx)
-        std = _pick([g.stds[c] * noise_scale for g in groups], idx)
+        j = F.lit(numeric.index(c))
+        mean, std = F.get("__mean", j), F.get("__std", j) * noise_scale
         lo, hi = md.bounds[c]
         name, k = NORMAL_DRAWS[c]
         z = F.sqrt(-2.0 * F.log(u_col(name, k))) * F.cos(2.0 * math.pi * u_col(name, k + 1))
@@ -288,25 +301,17 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
     for c in INTEGER_NOISE_COLUMNS:
         if c in md.output_columns:
             cols[c] = F.rint(noisy(c)).cast("bigint")
-    for c in DISCRETE_EMPIRICAL_COLUMNS:
-        if c in md.output_columns:
-            # inverse CDF: first value whose cumulative share exceeds u, as
-            # L comparisons against the group's (padded) cumulative array
-            u = u_col(*UNIFORM_DRAWS[c])
-            width = max(len(g.dists[c]) for g in groups)
-            cums = [[float(p) for _, p in g.dists[c]] + [2.0] * (width - len(g.dists[c])) for g in groups]
-            vals = [[v for v, _ in g.dists[c]] + [g.dists[c][-1][0]] * (width - len(g.dists[c])) for g in groups]
-            cum_g = F.element_at(F.array(*[F.array(*[F.lit(x) for x in row]) for row in cums]), idx)
-            val_g = F.element_at(F.array(*[F.array(*[F.lit(x).cast("bigint") for x in row]) for row in vals]), idx)
-            below = F.lit(0)
-            for j in range(1, width + 1):
-                below = below + F.when(F.element_at(cum_g, j) <= u, 1).otherwise(0)
-            expr = F.element_at(val_g, (below + 1).cast("int"))
-            cols[c] = expr.cast("bigint")
-    for c in BINARY_COLUMNS:
-        if c in md.output_columns:
-            p = _pick([g.probs[c] for g in groups], idx)
-            cols[c] = F.when(u_col(*UNIFORM_DRAWS[c]) < p, 1).otherwise(0).cast("bigint")
+    discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in md.output_columns]
+    for j, c in enumerate(discrete):
+        # inverse CDF: the first value whose cumulative share exceeds u; places
+        # beyond a group's own values are null and don't count
+        u = u_col(*UNIFORM_DRAWS[c])
+        cum, val = F.get("__cum", F.lit(j)), F.get("__val", F.lit(j))
+        width = max(len(g.dists[c]) for g in md.groups)
+        below = sum((F.when(F.get(cum, F.lit(x)) <= u, 1).otherwise(0) for x in range(width)), F.lit(0))
+        cols[c] = F.get(val, F.least(below, F.size(val) - 1).cast("int"))
+    for j, c in enumerate(c for c in BINARY_COLUMNS if c in md.output_columns):
+        cols[c] = F.when(u_col(*UNIFORM_DRAWS[c]) < F.get("__p", F.lit(j)), 1).otherwise(0).cast("bigint")
     return base.select(*[cols[c].alias(c) for c in md.output_columns])
 
 
@@ -325,10 +330,9 @@ def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str
         with per_expression_codegen(df.sparkSession):
             w.parquet(output_path)
         back = df.sparkSession.read.parquet(output_path)
-    size = 0
-    p = Path(output_path.removeprefix("file://").removeprefix("file:"))
-    if p.exists():
-        size = sum(f.stat().st_size for f in p.rglob("*") if f.is_file())
+    # sizes as Spark lists the files, so any store works
+    listed = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(output_path)
+    size = listed.agg(F.sum("length")).first()[0] or 0
     return {"path": output_path, "rows": back.count(), "mb": round(size / 1024 / 1024, 2)}
 
 

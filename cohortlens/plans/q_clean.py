@@ -50,9 +50,8 @@ add("consolidate_marital", lambda s, d: clean.consolidate_marital(raw(s, d)).gro
 
 
 def noise_present(s, d):
-    """Which noise categories occur (semi join against the literal list)."""
-    noise = s.createDataFrame([(x,) for x in MARITAL_NOISE], "Marital_Status string")
-    return F.broadcast(noise).join(raw(s, d).select("Marital_Status"), "Marital_Status", "left_semi")
+    """Which noise categories occur."""
+    return raw(s, d).where(F.col("Marital_Status").isin(*MARITAL_NOISE)).select("Marital_Status").distinct()
 
 
 add("noise_present", noise_present, sel(

@@ -124,18 +124,18 @@ def segmented(cfg: CampaignSchema = DEFAULT) -> str:
     joins = []
     for vc, cc, _ in comps:
         a = cc.lower()
-        seg_cols.append(f"CAST({lab(a + '.', 't.' + vc)} AS BIGINT) AS {cc}")
+        seg_cols.append(f"CASE WHEN t.{vc} IS NOT NULL THEN CAST({lab(a + '.', 't.' + vc)} AS BIGINT) END AS {cc}")
         joins.append(f"(SELECT * FROM fin WHERE comp = {q(vc)}) {a}")
     rank_parts = []
     for vc, cc, hib in comps:
         order = "ASC" if hib else "DESC"
         rank_parts.append(
             f"SELECT {q(vc)} AS comp, {cc} AS cl, CAST(row_number() OVER (ORDER BY avg({vc}) {order}) - 1 AS BIGINT) AS score "
-            f"FROM seg0 GROUP BY {cc}"
+            f"FROM seg0 WHERE {cc} IS NOT NULL GROUP BY {cc}"
         )
     score_name = {"Cluster_Frequency": "Frequency_Score", "Cluster_Monetary": "Monetary_Score", "Cluster_Recency": "Recency_Score"}
     score_joins = " ".join(
-        f"JOIN ranks r{j} ON r{j}.comp = {q(vc)} AND r{j}.cl = s.{cc}" for j, (vc, cc, _) in enumerate(comps)
+        f"LEFT JOIN ranks r{j} ON r{j}.comp = {q(vc)} AND r{j}.cl = s.{cc}" for j, (vc, cc, _) in enumerate(comps)
     )
     idx = {cc: j for j, (_, cc, _) in enumerate(comps)}
     score_sel = ", ".join(
