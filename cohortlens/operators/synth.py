@@ -226,31 +226,32 @@ def id_of_slot(slot: Column, multiplier: int, offset: int, n: int, wide: bool) -
 
 #: Largest n whose products of two numbers below it fit in 64 bits.
 NARROW = 3_000_000_000
-#: Rows of a piece of a group that one task generates at a time.
-PIECE = 100_000
+#: Pieces of slots per task; a task generates its pieces one after the other.
+PIECES = 16
 
 
-def group_table(spark: SparkSession, metadata: GenerationMetadata, n_rows: int) -> DataFrame:
-    """One row per group that gets rows: its first slot, its number of rows
-    and its parameters as arrays (numeric columns, binary columns, and the
+def slot_pieces(spark: SparkSession, metadata: GenerationMetadata, n_rows: int, parts: int) -> DataFrame:
+    """The group table, one row per piece of a group's slots: first and last
+    slot and the group's parameters as arrays (numeric columns, binary columns,
     cumulative shares and values of the discrete ones)."""
     numeric = list(metadata.bounds)
     binary = [c for c in BINARY_COLUMNS if c in metadata.output_columns]
     discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in metadata.output_columns]
+    size = max(1, n_rows // (PIECES * parts))
     rows, start = [], 0
     for g, n in zip(metadata.groups, allocate_group_rows(metadata.groups, n_rows, metadata.total)):
-        if n > 0:
-            rows.append((*g.key, start, n, [g.means[c] for c in numeric], [g.stds[c] for c in numeric], [g.probs[c] for c in binary],
-                         [[float(p) for _, p in g.dists[c]] for c in discrete], [[int(v) for v, _ in g.dists[c]] for c in discrete]))
-            start += n
-    return spark.createDataFrame(rows, "Marital_Status string, Education string, __start long, __rows long, __mean array<double>, "
+        params = ([g.means[c] for c in numeric], [g.stds[c] for c in numeric], [g.probs[c] for c in binary],
+                  [[float(p) for _, p in g.dists[c]] for c in discrete], [[int(v) for v, _ in g.dists[c]] for c in discrete])
+        rows += [(*g.key, at, min(at + size, start + n) - 1, *params) for at in range(start, start + n, size)]
+        start += n
+    return spark.createDataFrame(rows, "Marital_Status string, Education string, __from long, __to long, __mean array<double>, "
                                        "__std array<double>, __p array<double>, __cum array<array<double>>, __val array<array<bigint>>")
 
 
 def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_rows: int = 1_000_000,
                        random_state: int = 42, noise_scale: float = 1.0, num_partitions: int | None = None) -> DataFrame:
-    """N synthetic customers. The group table is cut into pieces of
-    slots, dealt to the tasks and expanded there; a row carries its group's
+    """N synthetic customers. The group table, cut into pieces of
+    slots, is dealt to the tasks and expanded there without a shuffle; a row carries its group's
     parameters as columns, so neither the plan nor the time per row grows with
     the number of groups."""
     if n_rows <= 0:
@@ -260,11 +261,10 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
     md = metadata
     parts = num_partitions or max(spark.sparkContext.defaultParallelism, n_rows // 2_000_000 + 1)
     params = ["Marital_Status", "Education", "__mean", "__std", "__p", "__cum", "__val"]
-    piece = max(1, min(PIECE, n_rows // (4 * parts)))
-    end = F.col("__start") + F.col("__rows")
-    pieces = group_table(spark, md, n_rows).select("*", F.explode(F.sequence(F.col("__start"), end - 1, F.lit(piece).cast("bigint"))).alias("__from"))
-    pieces = pieces.select(*params, "__from", F.least(F.col("__from") + piece, end).alias("__to")).repartition(parts, "__from")
-    slots = pieces.select(*params, F.explode(F.sequence(F.col("__from"), F.col("__to") - 1)).alias("__slot"))
+    pieces = slot_pieces(spark, md, n_rows, parts)
+    if num_partitions:
+        pieces = pieces.coalesce(num_partitions)
+    slots = pieces.select(*params, F.explode(F.sequence("__from", "__to")).alias("__slot"))
     rng = slots.select(*params, id_of_slot(F.col("__slot"), slot_multiplier(n_rows), random_state % n_rows, n_rows, n_rows >= NARROW).alias("ID"))
     # stage 1: each md5 once as a column; stage 2: its four 32-bit slices as
     # uniforms. The branchy output expressions then only read plain columns.
