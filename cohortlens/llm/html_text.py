@@ -1,11 +1,12 @@
 """Main text of web pages by consensus host paths.
 
 First pass: every page is read into containers and blocks; each container is
-scored by its share of the page's running text, times the share of its own
-text that is running text (not links, menus, adverts and the like), and known
-by its generalised path: tags with their classes, digits replaced. The scores
-are votes, added up per host and path in Spark; the path with most votes wins
-the host. Second pass: each page is read again and the blocks below the
+scored by its share of the page's running text (in full from _WHOLE on), times
+the share of its own text that is running text (not links, menus, adverts and
+the like), and known by its generalised path: tags with their classes, digits
+replaced. A page votes with its best container's score, of equals the deepest;
+votes are added up per host and path in Spark, and the path with most votes
+wins the host. Second pass: each page is read again and the blocks below the
 winning path are its text. A page without that path keeps the container it
 scores best itself.
 """
@@ -45,8 +46,8 @@ _MARKS = frozenset(
     "newsletter subscribe signup login popup modal overlay widget toolbar pagination pager complementary contentinfo".split())
 #: Segments of a path, classes of a segment; least share of the text that makes a candidate.
 _DEEP, _CLASSES, _SHARE = 8, 2, 0.3
-#: A score of 1.
-_FULL = 1000
+#: Share of the text that counts as all of it; a score of 1.
+_WHOLE, _FULL = 0.95, 1000
 
 
 def _attribute(m: re.Match) -> str:
@@ -187,7 +188,7 @@ class Page:
         out = []
         for path, depth, _first, _last, running, total, _parent in self.nodes:
             if everything and running >= _SHARE * everything:
-                out.append((int(_FULL * (running / everything) * (running / max(1, total))), depth, ">".join(path)))
+                out.append((int(_FULL * min(1.0, running / everything / _WHOLE) * (running / max(1, total))), depth, ">".join(path)))
         return out
 
     def text(self, path: str | None) -> str:
@@ -205,21 +206,18 @@ class Page:
 
 def host_paths(pages: DataFrame, html_col: str = "html", host_col: str = "host") -> DataFrame:
     """host, path: the path with most votes of each host (of equals the
-    deepest, then the last in order). A page's votes for a path are the best
-    score a container of it has."""
+    deepest, then the last in order)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hosts, votes, depths, paths = [], [], [], []
             for host, source in zip(b.column(0), b.column(1)):
-                best: dict[tuple[int, str], int] = {}
-                for score, depth, path in Page(source.as_py() or "").scores():
-                    best[depth, path] = max(score, best.get((depth, path), 0))
-                for (depth, path), score in best.items():
+                best = max(Page(source.as_py() or "").scores(), default=None)
+                if best:
                     hosts.append(host.as_py())
-                    votes.append(score)
-                    depths.append(depth)
-                    paths.append(path)
+                    votes.append(best[0])
+                    depths.append(best[1])
+                    paths.append(best[2])
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(votes, pa.int64()), pa.array(depths, pa.int64()),
                                               pa.array(paths, pa.string())], names=["host", "votes", "depth", "path"])
 
