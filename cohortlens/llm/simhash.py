@@ -91,6 +91,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     most ``max_bits`` bits (up to 3)."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"two segments with one wildcard cover up to {MAX_BITS} bits")
+    # 64 variants for each: many tasks, however few the fingerprints' own bytes take
+    fps = cut(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     keys = fps.select("fp", F.explode(F.concat(_variants(_half(F.col("fp"), 0), 32, 0),
                                                _variants(_half(F.col("fp"), 1), 32, 1))).alias("key"))
     shared = cut(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
