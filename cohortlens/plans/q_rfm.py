@@ -23,7 +23,7 @@ add("rfm_clusters", lambda s, d: segmented(s, d).select("ID", "Cluster_Frequency
 add("cluster_ranks", lambda s, d: rfm.cluster_ranks(segmented(s, d)), sel(" UNION ALL ".join(
     f"SELECT {S.q(vc)} AS component, {cc} AS cluster, avg({vc}) AS mean, "
     f"CAST(row_number() OVER (ORDER BY avg({vc}) {'ASC' if hib else 'DESC'}) - 1 AS BIGINT) AS score "
-    f"FROM segmented GROUP BY {cc}"
+    f"FROM segmented WHERE {cc} IS NOT NULL GROUP BY {cc}"
     for vc, cc, hib in DEFAULT.rfm_components
 )))
 add("rfm_scores", lambda s, d: segmented(s, d).select("ID", "Frequency_Score", "Recency_Score", "Monetary_Score", "RMF_Score"),
