@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.config import SEGMENT_ORDER
 from cohortlens.operators import lookup, profile, reports, rfm, stats, synth
 from cohortlens.operators.synth import GenerationMetadata
 from cohortlens.sources import io
@@ -41,7 +42,10 @@ def generate_synthetic_campaign_data(treated_df: DataFrame, grouped_mean_df: Dat
                                     noise_scale=noise_scale)
 
 
-def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str = "parquet") -> dict:
+def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str = "parquet", index: bool = False) -> dict:
+    """``index`` would number the rows; distributed rows have no order to number, so only False is taken."""
+    if index:
+        raise ValueError("index=True is not supported: distributed rows have no order")
     return synth.write_synthetic_dataset(df, output_path, file_format=file_format)
 
 
@@ -149,8 +153,75 @@ def lookup_radar(df: DataFrame, customer_id: int) -> DataFrame:
     return lookup.lookup_radar(df).where(F.col("ID") == customer_id)
 
 
+def demo_age_hist(df: DataFrame) -> DataFrame:
+    return profile.histogram(df, "Age", 30)
+
+
+def demo_income_hist(df: DataFrame) -> DataFrame:
+    return profile.histogram(df, "Income", 40)
+
+
+def demo_education_donut(df: DataFrame) -> DataFrame:
+    return stats.frequency(df, "Education")
+
+
+def demo_marital_donut(df: DataFrame) -> DataFrame:
+    return stats.frequency(df, "Marital_Status")
+
+
+def demo_household_heatmap(df: DataFrame) -> DataFrame:
+    return stats.household_crosstab(df)
+
+
+def demo_acquisition_curve(df: DataFrame) -> DataFrame:
+    return reports.acquisition_curve(df)
+
+
+def spend_highest_breakdown(df: DataFrame) -> DataFrame:
+    return stats.highest_spent_counts(df)
+
+
+def spend_total_distribution(df: DataFrame) -> DataFrame:
+    return profile.histogram(df, "Total_Spent", 40)
+
+
+def spend_vs_income_scatter(df: DataFrame) -> DataFrame:
+    return df.select("ID", "Income", "Total_Spent", "Highest_Spent", "Age", "Total_Purchases")
+
+
+def channel_web_visits_vs_purchases(df: DataFrame) -> DataFrame:
+    return df.select("ID", "NumWebVisitsMonth", "NumWebPurchases", "Total_Spent", "Income")
+
+
+def campaign_recency_vs_response(df: DataFrame) -> DataFrame:
+    return profile.box_stats_by(df, "Recency", "Response")
+
+
+def cluster_3d_scatter(df: DataFrame) -> DataFrame:
+    return df.select("ID", "Recency", "Total_Purchases", "Total_Spent", "Segmentation")
+
+
+def cluster_pairwise_2d(df: DataFrame) -> DataFrame:
+    return cluster_3d_scatter(df)
+
+
+def segments_parallel_coords(df: DataFrame) -> DataFrame:
+    """Recency, purchases, spend and RMF_Score of each customer with the
+    number of its segment, lowest first."""
+    order = F.array(*[F.lit(x) for x in SEGMENT_ORDER])
+    return df.select("ID", "Recency", "Total_Purchases", "Total_Spent", "RMF_Score", "Segmentation",
+                     (F.array_position(order, F.col("Segmentation")) - 1).alias("segment_code"))
+
+
+def lookup_3d_highlight(df: DataFrame, customer_id: int) -> DataFrame:
+    """The points of all customers, the chosen one marked."""
+    reports.customer_row(df, customer_id)
+    return cluster_3d_scatter(df).withColumn("highlight", F.col("ID") == customer_id)
+
+
 # -- catalog -------------------------------------------------------------------
-def table_creation(json_file: str, dataset: str, spark) -> str:
+def table_creation(json_file: str, dataset: str, spark=None) -> str:
+    spark = spark or SparkSession.active()
     io.create_dataset(spark, dataset)
     return io.table_creation(spark, json_file, dataset)
 

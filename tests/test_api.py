@@ -24,3 +24,28 @@ def test_reference_style_entry_points(spark):
     assert sc["baseline_customers"] == seg.count()
     with pytest.raises(ValueError):
         api.generate_synthetic_campaign_data(t, stats.group_means(t), stats.group_stds(t), r, n_rows=0)
+
+
+def test_dashboard_names(spark):
+    t, seg = treated(spark, SF).cache(), segmented(spark, SF).cache()
+    n = t.count()
+    for f in (api.demo_age_hist, api.demo_income_hist, api.spend_total_distribution):
+        assert f(t).count() > 1
+    assert api.demo_education_donut(t).agg({"Frequency": "sum"}).first()[0] == n
+    assert api.demo_marital_donut(t).agg({"Frequency": "sum"}).first()[0] == n
+    heat = api.demo_household_heatmap(t).collect()
+    assert sum(sum(r[1:]) for r in heat) == n
+    assert api.demo_acquisition_curve(t).count() > 0
+    assert api.spend_highest_breakdown(t).count() > 0
+    for f in (api.spend_vs_income_scatter, api.channel_web_visits_vs_purchases):
+        assert f(t).count() == n
+    assert api.campaign_recency_vs_response(t).count() == t.select("Response").distinct().count()
+    for f in (api.cluster_3d_scatter, api.cluster_pairwise_2d, api.segments_parallel_coords):
+        assert f(seg).count() == n
+    cid = seg.first()["ID"]
+    assert api.lookup_3d_highlight(seg, cid).where("highlight").first()["ID"] == cid
+
+
+def test_signatures(spark, tmp_path):
+    with pytest.raises(ValueError):
+        api.write_synthetic_dataset(spark.range(1), str(tmp_path / "x"), index=True)

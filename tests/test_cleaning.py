@@ -81,3 +81,42 @@ def test_fixture_through_segmentation(spark):
     assert seg.count() == t.count()
     assert set(r[0] for r in seg.select("Segmentation").distinct().collect()) <= {
         "Inactive", "Occasional", "Moderate", "Loyal", "Premium"}
+
+
+def test_dates_are_decided_for_the_whole_column(spark):
+    import datetime
+    import pytest
+    from cohortlens.operators import clean
+
+    def parse(*texts):
+        df = spark.createDataFrame([(t,) for t in texts], "Dt_Customer string")
+        return [r[0] for r in clean.parse_customer_dates(df).collect()]
+
+    d = datetime.date
+    assert parse("2020-02-01", "2020-12-31") == [d(2020, 2, 1), d(2020, 12, 31)]
+    assert parse("01-02-2020", "31/12/2020") == [d(2020, 2, 1), d(2020, 12, 31)]
+    for bad in (("2020-02-01", "31-12-2020"), ("2020-02-01", None), ("x",)):
+        with pytest.raises(ValueError):
+            parse(*bad)
+
+
+def test_pivots_keep_every_value_and_round_half_even(spark):
+    from cohortlens.functions.exprs import half_even
+    from cohortlens.operators import stats
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(0, 3, "PhD", "YOLO", 5), (1, 0, "Basic", "Alone", 7), (1, 3, "New", "Single", 1)],
+                               "Kidhome int, Teenhome int, Education string, Marital_Status string, Total_Spent long")
+    assert {tuple(r) for r in stats.household_crosstab(df).collect()} == {(0, 0, 1), (1, 1, 1)}
+    assert stats.household_crosstab(df).columns == ["Kidhome", "teen_0", "teen_3"]
+    assert stats.crosstab(df).columns == ["Education", "Alone", "Single", "YOLO"]
+    assert sum(sum(r[1:]) for r in stats.crosstab(df).collect()) == 3
+    assert stats.crosstab_cells(df).count() == 3
+    assert stats.spend_pivot(df).columns == ["Marital_Status", "Basic", "New", "PhD"]
+    ties = spark.createDataFrame([(0.125,), (0.375,), (2.5,)], "x double")
+    assert [r[0] for r in ties.select(half_even(F.col("x"), 2)).collect()] == [0.12, 0.38, 2.5]
+
+
+def test_comment_with_an_apostrophe(spark):
+    from cohortlens.sources.io import _sql_string
+    text = "Customer's \\ id"
+    assert spark.sql(f"SELECT {_sql_string(text)} AS x").first().x == text

@@ -61,3 +61,12 @@ def test_proportions_close(spark, md):
     syn = synth.generate_synthetic(spark, md, n_rows=5000)
     comp = synth.proportion_comparison(treated(spark, SF), syn).collect()
     assert all(abs(r["difference"]) < 1 / 5000 + 1e-12 for r in comp)
+
+
+def test_wide_and_narrow_slot_maps_agree(spark):
+    from pyspark.sql import functions as F
+    for n in (1, 7, 1000, 2_999_999_999):
+        a, b = synth.slot_multiplier(n), 42 % n
+        df = spark.range(0, min(n, 1000)).select(*[synth.id_of_slot(F.col("id"), a, b, n, w).alias(str(w)) for w in (True, False)], "id")
+        for r in df.collect():
+            assert r["True"] == r["False"] and (a * (r["True"] - 1) + b) % n == r["id"]
