@@ -44,3 +44,20 @@ def test_column_profile_approx_close_to_exact(spark):
     approx = {x["Column"]: x["Unique_Values"] for x in profile.column_profile(r, approx=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[c] - exact[c]) <= max(2, 0.1 * exact[c]) for c in exact)
+
+
+def test_base_tables_are_parquet_read_in_part(spark):
+    from cohortlens.plans.registry import load_all
+    for name in ("segment_members", "customer_lookup", "kpi_scorecard"):
+        p = plan(load_all()[name][0](spark, SF))
+        assert "Scan parquet" in p or "FileScan parquet" in p, name
+        assert "ExistingRDD" not in p and "NumWebVisitsMonth" not in p.replace("lookup", ""), name
+
+
+def test_quantiles_exchange_counts_not_values(spark):
+    """The only exchanges are of partial aggregates and what comes after them."""
+    t = treated(spark, SF)
+    for df in (profile.describe_numeric(raw(spark, SF)), profile.box_stats_by(t, "Recency", "Response")):
+        lines = [x.strip(" :+-|") for x in plan(df).split("\n")]
+        assert not any("SortMergeJoin" in x and "__b_" in x for x in lines)
+        assert any("BroadcastHashJoin" in x and "__b_" in x for x in lines)
