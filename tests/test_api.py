@@ -27,7 +27,7 @@ def test_reference_style_entry_points(spark):
 
 
 def test_dashboard_names(spark):
-    t, seg = treated(spark, SF).cache(), segmented(spark, SF).cache()
+    t, seg = treated(spark, SF), segmented(spark, SF)
     n = t.count()
     for f in (api.demo_age_hist, api.demo_income_hist, api.spend_total_distribution):
         assert f(t).count() > 1
