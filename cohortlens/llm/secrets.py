@@ -2,20 +2,27 @@
 
 Long runs of letters, digits and + / _ - that no pattern covers are tested for
 randomness. The encoding is inferred from the characters present. The null
-hypothesis is an ordinary, structured name, and three tests must all reject it:
+hypothesis is an ordinary, structured name of that encoding; three tests look
+for departures from it:
 
 * uniformity: the chi-squared statistic over the encoding's alphabet is lower
   than symbols with the collision rate of ordinary names give;
 * runs: there are more changes between lower case, upper case, digits and
   signs than in ordinary names;
-* serial correlation of neighbouring symbols is lower than ordered or
-  repeating names show.
-
-The p-value is the largest of the three. Benjamini-Hochberg runs over all
-candidates of the corpus, separately by encoding and length, as a long string
-gives far more evidence than a short one. Its thresholds come from a histogram
-of p-values of bounded size. All in DataFrame functions; positions of matches
-are prefix sums inside the row.
+* serial correlation of neighbouring symbols is lower than in ordinary names.
+
+The three are combined as a weighted sum of their normal deviates (Stouffer).
+A test weighs by what it expects of uniform strings of the same encoding and
+length, so one with little to tell does not hold the others back, and unlike
+with Fisher's or Cauchy's combination a string that one test finds ordered
+(abc...xyz has no collisions) is not reported for the other's sake. The rates
+of ordinary names are constants, not counts over the candidates: where most
+candidates are secrets, those would be the rates of secrets.
+
+Benjamini-Hochberg runs over all candidates of the corpus, separately by
+encoding and length, as a long string gives far more evidence than a short
+one. Its thresholds come from a histogram of p-values of bounded size. All in
+DataFrame functions; positions of matches are prefix sums inside the row.
 """
 
 from __future__ import annotations
@@ -36,13 +43,15 @@ MIN_ASSIGN = 6
 MIN_LENGTH = 20
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Encodings, the first that has all characters is inferred; collision rate of ordinary names in it.
-ENCODINGS = (("hex", "^[0-9a-f]+$", _DIGITS + "abcdef", 0.12), ("upper hex", "^[0-9A-F]+$", _DIGITS + "ABCDEF", 0.12),
-             ("base32", "^[A-Z2-7]+$", _UPPER + "234567", 0.07), ("base36", "^[0-9a-z]+$", _DIGITS + _LOWER, 0.07),
-             ("upper base36", "^[0-9A-Z]+$", _DIGITS + _UPPER, 0.07), ("base62", "^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER, 0.07),
-             ("base64", "", _UPPER + _LOWER + _DIGITS + "+/-_", 0.07))
-#: Share of class changes and serial correlation of ordinary names.
-CHANGES, CORRELATION = 0.2, 0.9
+#: Encodings, the first that has all characters is inferred; collision rate and share of class changes of ordinary names in it.
+#: base62 and base64 are means over 5,202 names of 20 characters or more with a letter and a digit in Python sources; the
+#: one-case encodings had too few (175, many of them random) and are set by their medians and by hand.
+ENCODINGS = (("hex", "^[0-9a-f]+$", _DIGITS + "abcdef", 0.11, 0.17), ("upper hex", "^[0-9A-F]+$", _DIGITS + "ABCDEF", 0.11, 0.17),
+             ("base32", "^[A-Z2-7]+$", _UPPER + "234567", 0.08, 0.1), ("base36", "^[0-9a-z]+$", _DIGITS + _LOWER, 0.08, 0.1),
+             ("upper base36", "^[0-9A-Z]+$", _DIGITS + _UPPER, 0.08, 0.1), ("base62", "^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER, 0.045, 0.35),
+             ("base64", "", _UPPER + _LOWER + _DIGITS + "+/-_", 0.061, 0.3))
+#: Serial correlation of ordinary names (mean of the same names), and its weight: uniform strings differ little from them.
+CORRELATION, SERIAL_WEIGHT = 0.24, 1.0
 #: False discovery rate, bins per power of ten of p, powers of ten told apart.
 FDR, BINS, DEEPEST = 0.01, 20, 30
 #: Lengths are told apart up to these.
@@ -96,44 +105,65 @@ def _upper_tail(z: Column) -> Column:
     return F.greatest(F.lit(1e-30), F.when(z >= 0, tail).otherwise(1 - tail))
 
 
-def _alphabet(m: Column, what: int) -> Column:
+def _alphabet(m: Column, of) -> Column:
+    """``of`` the inferred encoding."""
     out = None
     for e in ENCODINGS:
-        out = (F.when(m.rlike(e[1]), F.lit(e[what])) if out is None else out.when(m.rlike(e[1]), F.lit(e[what])))
+        out = (F.when(m.rlike(e[1]), F.lit(of(e))) if out is None else out.when(m.rlike(e[1]), F.lit(of(e))))
     return out
 
 
+def _uniform_changes(encoding: tuple) -> float:
+    """Share of class changes of uniform strings."""
+    shares = [sum(c in kind for c in encoding[2]) / len(encoding[2]) for kind in (_DIGITS, _LOWER, _UPPER, "+/-_")]
+    return 1 - sum(x * x for x in shares)
+
+
 def _battery(m: Column) -> Column:
     """The p-value of a candidate."""
     n = F.length(m).cast("double")
     plus = lambda a, x: a + x
 
-    def uniform(alphabet: Column) -> Column:
-        k = F.length(alphabet).cast("double")
-        excess = k * _alphabet(m, 3) - 1
-        squares = F.aggregate(F.transform(F.split(alphabet, ""), lambda s: (F.length(m) - F.length(F.replace(m, s, F.lit("")))).cast("double")),
+    def uniform(e: Column) -> Column:
+        """Deviate, and what uniform strings give on average."""
+        k = F.length(e["alphabet"]).cast("double")
+        excess = k * e["collisions"] - 1
+        squares = F.aggregate(F.transform(F.split(e["alphabet"], ""), lambda s: (F.length(m) - F.length(F.replace(m, s, F.lit("")))).cast("double")),
                               F.lit(0.0), lambda a, c: a + c * c)
-        return (k - 1 + (n - 1) * excess - (k / n * squares - n)) / F.sqrt(2 * (k - 1) + 4 * (n - 1) * excess)
+        sd = F.sqrt(2 * (k - 1) + 4 * (n - 1) * excess)
+        return F.struct(((k - 1 + (n - 1) * excess - (k / n * squares - n)) / sd).alias("z"), ((n - 1) * excess / sd).alias("weight"))
+
+    def runs(e: Column) -> Column:
+        changes = F.regexp_count(m, F.lit("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[+/_-])[A-Za-z0-9]")).cast("double")
+        sd = F.sqrt((n - 1) * e["changes"] * (1 - e["changes"]))
+        return F.struct(((changes - 0.5 - (n - 1) * e["changes"]) / sd).alias("z"),
+                        ((n - 1) * (e["uniform_changes"] - e["changes"]) / sd).alias("weight"))
 
     def serial(v: Column) -> Column:
         mean = F.aggregate(v, F.lit(0.0), plus) / n
         var = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x) / n - mean * mean
         lagged = F.aggregate(F.zip_with(F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1), lambda x, y: x * y), F.lit(0.0), plus)
         r = F.when(var > 0, F.abs(F.try_divide(lagged / (n - 1) - mean * mean, var))).otherwise(F.lit(1.0))
-        return (CORRELATION - r) * F.sqrt(n)
+        return F.struct(((CORRELATION - r) * F.sqrt(n)).alias("z"), F.lit(SERIAL_WEIGHT).alias("weight"))
+
+    def tests(e: Column) -> Column:
+        values = F.transform(F.split(m, ""), lambda c: F.instr(e["alphabet"], c).cast("double"))
+        return F.array(uniform(e), runs(e), _let(values, serial))
+
+    def combined(t: Column) -> Column:
+        weight = F.sqrt(F.aggregate(t, F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
+        return F.aggregate(t, F.lit(0.0), lambda a, x: a + x["weight"] * x["z"]) / weight
 
-    changes = F.regexp_count(m, F.lit("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[+/_-])[A-Za-z0-9]")).cast("double")
-    runs = (changes - 0.5 - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES))
-    values = _let(_alphabet(m, 2), lambda al: F.transform(F.split(m, ""), lambda c: F.instr(al, c).cast("double")))
-    least = F.least(_let(_alphabet(m, 2), uniform), runs, _let(values, serial))
-    return _let(least, _upper_tail)  # the largest p belongs to the least z
+    encoding = F.struct(_alphabet(m, lambda e: e[2]).alias("alphabet"), _alphabet(m, lambda e: e[3]).alias("collisions"),
+                        _alphabet(m, lambda e: e[4]).alias("changes"), _alphabet(m, _uniform_changes).alias("uniform_changes"))
+    return _let(_let(_let(encoding, tests), combined), _upper_tail)
 
 
 def _stratum(m: Column) -> Column:
     band = F.lit(len(BANDS))
     for i, most in reversed(list(enumerate(BANDS))):
         band = F.when(F.length(m) < most, F.lit(i)).otherwise(band)
-    return F.concat(_alphabet(m, 0), F.lit(":"), band)
+    return F.concat(_alphabet(m, lambda e: e[0]), F.lit(":"), band)
 
 
 def thresholds(found: DataFrame) -> dict[str, int]:

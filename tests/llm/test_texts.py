@@ -57,6 +57,44 @@ def test_randomness_battery_adds_random_strings_only(spark):
     assert out[i].spans == f"random:4:{4 + len(random_ones[i])}" and out[i].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_battery_finds_short_strings_of_every_encoding(spark):
+    """Recall by encoding and length when each stratum holds secrets only, and when a tenth of it; names stay unreported."""
+    rng = random.Random(7)
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = {"hex": digits + "abcdef", "HEX": digits + "ABCDEF", "base32": upper + "234567", "base36": digits + lower,
+                 "base62": digits + lower + upper, "base64": digits + lower + upper + "+/"}
+    word = "index account value group report select customer number table update window result".split()
+
+    def name(kind, n):
+        if kind in ("hex", "HEX"):
+            out = "".join(rng.choice(["00000000", "2024", "dead", "beef", "1000", "1234", "ffff", "cafe", "abcdef", "1111"]) for _ in range(9)) + "00"
+        elif kind == "base64":
+            out = "_".join(rng.choice(word) for _ in range(12))[:n - 2] + rng.choice(["_2", "v3", "/4"])
+        elif kind == "base62":
+            out = "".join(rng.choice(word).title() for _ in range(12))[:n - 1] + "2"
+        else:
+            out = "".join(rng.choice(word) for _ in range(12))[:n - 2] + "27"
+        out = out[:n]
+        return out.upper() if kind in ("HEX", "base32") else out
+
+    cases = [(k, n) for k in alphabets for n in ((20, 22) if k == "hex" else (20, 22, 32, 40, 64))]
+    for names_per_secret, least in ((0, 0.5), (9, 0.2)):
+        data, kinds = [], []
+        for k, n in cases:
+            for _ in range(60):
+                kinds.append((k, n, True))
+                data.append("".join(rng.choices(alphabets[k], k=n)))
+                for _ in range(names_per_secret):
+                    kinds.append((k, n, False))
+                    data.append(name(k, n))
+        df = spark.createDataFrame([(i, f"see {t}, ok") for i, t in enumerate(data)], "doc_id long, text string")
+        found = {r.doc_id: r.n_random for r in secrets.scan(df).select("doc_id", "n_random").collect()}
+        share = {c: sum(found[i] for i, x in enumerate(kinds) if x == (*c, True)) / 60 for c in cases}
+        assert all(share[k, n] >= (0.9 if n >= 40 else least) for k, n in cases), share
+        names = [found[i] for i, x in enumerate(kinds) if not x[2]]
+        assert sum(names) <= 0.02 * sum(found.values()), sum(names)
+
+
 def test_prefix_sums_over_blocks(spark):
     n = 700
     df = spark.createDataFrame([(list(range(n)),)], "a array<long>").select(secrets._ends(secrets.F.col("a")).alias("s"))
