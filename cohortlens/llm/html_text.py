@@ -1,13 +1,15 @@
 """Main text of web pages by consensus host paths.
 
 First pass: every page is read into containers and blocks; each container is
-scored by its share of the page's running text (in full from _WHOLE on), times
-the share of its own text that is running text (not links, menus, adverts and
-the like), and known by its generalised path: tags with their classes, digits
-replaced. A page votes with its best container's score, of equals the deepest;
-votes are added up per host and path in Spark, and the path with most votes
-wins the host. Second pass: each page is read again and the blocks below the
-winning path are its text. A page without that path keeps the container it
+scored by its share of the page's running text, and less if most of its own
+text is links, and known by its generalised path: tags with their classes,
+digits replaced. Hidden parts (menus, adverts and the like) count for no
+container, as no text is taken from them. A page votes with its best
+container's score, of equals the deepest, so with the smallest one that holds
+all; a container inside an article or main element votes for that element as a
+whole. Votes are added up per host and path in Spark, and the path with most
+votes wins the host. Second pass: each page is read again and the blocks below
+the winning path are its text. A page without that path keeps the container it
 scores best itself.
 """
 
@@ -46,8 +48,8 @@ _MARKS = frozenset(
     "newsletter subscribe signup login popup modal overlay widget toolbar pagination pager complementary contentinfo".split())
 #: Segments of a path, classes of a segment; least share of the text that makes a candidate.
 _DEEP, _CLASSES, _SHARE = 8, 2, 0.3
-#: Share of the text that counts as all of it; a score of 1.
-_WHOLE, _FULL = 0.95, 1000
+#: Share of running text from which links don't count against a container; a score of 1.
+_PURE, _FULL = 0.5, 1_000_000
 
 
 def _attribute(m: re.Match) -> str:
@@ -56,7 +58,7 @@ def _attribute(m: re.Match) -> str:
 
 class Page:
     """Blocks and containers of one page. A container is [path, depth, first
-    block, last block, running text, all text, parent]."""
+    block, last block, running text, all visible text, parent]."""
 
     def __init__(self, source: str):
         self.blocks: list[str] = []
@@ -103,9 +105,7 @@ class Page:
             if tag is None:
                 piece = m[0]
                 if piece[0] != "<" or piece == "<":
-                    if hidden:
-                        nodes[node][5] += len(piece)
-                    else:
+                    if not hidden:
                         self._parts.append(piece)
                         if links:
                             self._links += len(piece)
@@ -182,22 +182,33 @@ class Page:
                     while len(stack) > at:
                         pop()
 
-    def scores(self) -> list[tuple[int, int, str]]:
-        """(score, depth, path) of the containers with enough of the text."""
+    def _whole(self, i: int) -> int:
+        """The article or main element that holds container i, else i."""
+        at = i
+        while at >= 0:
+            if self.nodes[at][0][-1].split(".")[0] in ("article", "main"):
+                return at
+            at = self.nodes[at][6]
+        return i
+
+    def best(self) -> tuple[int, int] | None:
+        """(score, container) of the container with the best score, of equals the deepest, then the last in order."""
         everything = self.nodes[0][4]
         out = []
-        for path, depth, _first, _last, running, total, _parent in self.nodes:
+        for i, (path, depth, _first, _last, running, total, _parent) in enumerate(self.nodes):
             if everything and running >= _SHARE * everything:
-                out.append((int(_FULL * min(1.0, running / everything / _WHOLE) * (running / max(1, total))), depth, ">".join(path)))
-        return out
+                out.append((int(_FULL * (running / everything) * min(1.0, running / max(1, total) / _PURE)), depth, ">".join(path), -i))
+        if not out:
+            return None
+        score, _depth, _path, i = max(out)
+        return score, self._whole(-i)
 
     def text(self, path: str | None) -> str:
         """Blocks below the containers with this path, else below the best one."""
-        wanted = [n for n in self.nodes if ">".join(n[0]) == path] if path else []
-        wanted = [n for n in wanted if n[3] > n[2]]
+        wanted = [self.nodes[self._whole(i)] for i, n in enumerate(self.nodes) if n[3] > n[2] and ">".join(n[0]) == path] if path else []
         if not wanted:
-            best = max(self.scores(), default=None)
-            wanted = [n for n in self.nodes if best and (n[1], ">".join(n[0])) == best[1:]][:1] or [self.nodes[0]]
+            best = self.best()
+            wanted = [self.nodes[best[1] if best else 0]]
         take = np.zeros(len(self.blocks), dtype=bool)
         for n in wanted:
             take[n[2]:n[3]] = True
@@ -212,12 +223,13 @@ def host_paths(pages: DataFrame, html_col: str = "html", host_col: str = "host")
         for b in batches:
             hosts, votes, depths, paths = [], [], [], []
             for host, source in zip(b.column(0), b.column(1)):
-                best = max(Page(source.as_py() or "").scores(), default=None)
+                page = Page(source.as_py() or "")
+                best = page.best()
                 if best:
                     hosts.append(host.as_py())
                     votes.append(best[0])
-                    depths.append(best[1])
-                    paths.append(best[2])
+                    depths.append(page.nodes[best[1]][1])
+                    paths.append(">".join(page.nodes[best[1]][0]))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(votes, pa.int64()), pa.array(depths, pa.int64()),
                                               pa.array(paths, pa.string())], names=["host", "votes", "depth", "path"])
 

@@ -206,3 +206,17 @@ def test_host_consensus_decides(spark, no_docs):
     assert by_id[8].text == "" and by_id[8].n_chars == 0
     assert all(r.n_chars == len(r.text) for r in out)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_headline_outside_the_body_div(spark):
+    """All of the article is kept, also if nearly all text is in one div of it, comments are hidden in it, or most pages of the host have that div only."""
+    body = "<div class='body'><p>" + "running text of the page, " * 40 + "</p></div>"
+    text = ("running text of the page, " * 40).strip()
+    full = "<h1>Title</h1><p>lead</p>" + body + "<p>The end.</p><div class='comments'>" + "me too! " * 60 + "</div>"
+    expected = f"Title\n\nlead\n\n{text}\n\nThe end."
+    pages = [(i, f"http://a.org/{i}", page(f"<article>{full if i < 2 else body}</article>")) for i in range(6)]
+    pages += [(10, "http://b.org/1", page(f"<div class='menu'>Menu</div><div class='post'>{full}<ul><li><a href='/t'>a tag</a></ul></div>"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert out[0] == out[1] == expected and out[5] == text
+    assert out[10] == expected + "\n\na tag"
