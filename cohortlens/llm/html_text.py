@@ -32,22 +32,25 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)
 _CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLASS_ONLY = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
-_WORD = re.compile(r"[a-z]+")
+_BETWEEN = re.compile(r"[-_0-9]+")
 #: Kinds of elements.
-_RAW = frozenset("script style noscript template textarea title iframe svg math object select option".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg select option".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CONTAINERS = frozenset("html body main article section div td center".split())
 _BLOCKS = _CONTAINERS | frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote table thead tbody tfoot tr th caption figure figcaption address details summary "
     "nav header footer aside form fieldset menu dialog hr head search".split())
 _NOT_TEXT = frozenset("nav footer aside form menu dialog head button search".split())
-#: Words in a class, id or role that mark what is not the article.
+#: Classes, ids or roles that mark what is not the article; also a name made of these only, as cookie-banner or ad_3.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent notice notices alert sidebar menu nav "
     "navbar navigation breadcrumb breadcrumbs footer masthead comment comments respond disqus share sharing social related recommended "
     "newsletter subscribe signup login popup modal overlay widget toolbar pagination pager complementary contentinfo".split())
 #: Segments of a path, classes of a segment; least share of the text that makes a candidate.
 _DEEP, _CLASSES, _SHARE = 8, 2, 0.3
+#: An element that is marked stays if it holds more than this share of the page's running text, or an article, while the
+#: articles that are not marked hold less than _ARTICLE of it.
+_MOST, _ARTICLE = 0.5, 0.1
 #: Share of running text from which links don't count against a container; a score of 1.
 _PURE, _FULL = 0.5, 1_000_000
 
@@ -56,6 +59,15 @@ def _attribute(m: re.Match) -> str:
     return (m[1] or m[2] or m[3] or "").lower()
 
 
+def _is_marked(attrs: str, marks: frozenset) -> bool:
+    for a in _CLASS.finditer(attrs):
+        for name in _attribute(a).split():
+            words = [w for w in _BETWEEN.split(name) if w]
+            if words and all(w in marks for w in words):
+                return True
+    return False
+
+
 class Page:
     """Blocks and containers of one page. A container is [path, depth, first
     block, last block, running text, all visible text, parent]."""
@@ -65,11 +77,37 @@ class Page:
         self.nodes: list[list] = [[("page",), 0, 0, 0, 0, 0, -1]]
         self._parts: list[str] = []
         self._links = 0
-        self._read(source, _MARKS)
+        #: marked elements in order, after the page itself: [element around it, running text, of that in an article, has an article, has a main].
+        self._marked: list[list] = [[-1, 0, 0, False, False]]
+        self._read(source, _MARKS, frozenset())
+        stay = self._marks_that_stay()
+        if stay:
+            self._again(source, _MARKS, stay)
         if not self.blocks:  # a page that is marked as a whole
-            self.nodes = self.nodes[:1]
-            self.nodes[0][2:6] = [0, 0, 0, 0]
-            self._read(source, frozenset())
+            self._again(source, frozenset(), frozenset())
+
+    def _again(self, source: str, marks: frozenset, stay: frozenset) -> None:
+        self.blocks, self.nodes, self._marked = [], self.nodes[:1], [[-1, 0, 0, False, False]]
+        self.nodes[0][2:6] = [0, 0, 0, 0]
+        self._read(source, marks, stay)
+
+    def _marks_that_stay(self) -> frozenset:
+        """Numbers of the marked elements that hold the article all the same: a
+        main element; or an article or most of the running text, while there
+        is no article to speak of outside."""
+        all_of = [list(m) for m in self._marked]
+        for m in reversed(all_of[1:]):  # children come after their parents
+            around = all_of[m[0]]
+            around[1] += m[1]
+            around[3] |= m[3]
+            around[4] |= m[4]
+        everything, article, stay = all_of[0][1], self._marked[0][2], {0}
+        for i in sorted(range(1, len(all_of)), key=lambda i: (-all_of[i][1], i)):  # parents come before their children
+            around, running, _own, has_article, has_main = all_of[i]
+            if around in stay and running and (has_main or (article < _ARTICLE * everything and (has_article or running > _MOST * everything))):
+                stay.add(i)
+                article += self._marked[i][2]
+        return frozenset(stay - {0})
 
     def _flush(self, node: int) -> None:
         if not self._parts:
@@ -81,18 +119,19 @@ class Page:
             self.nodes[node][5] += len(text)
         self._parts, self._links = [], 0
 
-    def _read(self, source: str, marks: frozenset) -> None:
-        # open elements: (tag, container before it, opens a part that is no text, is a link)
-        stack: list[tuple[str, int, bool, bool]] = []
+    def _read(self, source: str, marks: frozenset, stay: frozenset) -> None:
+        # open elements: (tag, container before it, opens a part that is no text, is such by its tag, marked element around it, is a link)
+        stack: list[tuple[str, int, bool, bool, int, bool]] = []
         opened: dict[str, int] = {}
-        node, hidden, links, pos, end = 0, 0, 0, 0, len(source)
-        nodes, match, raw_lower = self.nodes, _TOKEN.match, None
+        node, hidden, by_tag, mark, links, pos, end = 0, 0, 0, 0, 0, 0, len(source)
+        nodes, marked, match, raw_lower = self.nodes, self._marked, _TOKEN.match, None
 
         def pop() -> None:
-            nonlocal node, hidden, links
-            tag, before, hides, link = stack.pop()
+            nonlocal node, hidden, by_tag, mark, links
+            tag, before, hides, never, mark, link = stack.pop()
             opened[tag] -= 1
             hidden -= hides
+            by_tag -= never
             links -= link
             if before != node:
                 nodes[node][3] = len(self.blocks)
@@ -105,6 +144,11 @@ class Page:
             if tag is None:
                 piece = m[0]
                 if piece[0] != "<" or piece == "<":
+                    if not by_tag and not links:
+                        n = len(piece.strip())
+                        marked[mark][1] += n
+                        if opened.get("article") or opened.get("main"):
+                            marked[mark][2] += n
                     if not hidden:
                         self._parts.append(piece)
                         if links:
@@ -140,9 +184,15 @@ class Page:
             if tag in _BLOCKS:
                 self._flush(node)
                 self._imply(tag, stack, opened, pop)
-            hides = tag in _NOT_TEXT or (tag == "header" and not (opened.get("article") or opened.get("main")))
-            if not hides and attrs and tag not in ("html", "body", "article", "main"):
-                hides = any(w in marks for a in _CLASS.finditer(attrs) for w in _WORD.findall(_attribute(a)))
+            hides = never = tag in _NOT_TEXT or (tag == "header" and not (opened.get("article") or opened.get("main")))
+            around = mark
+            if tag in ("article", "main"):
+                if not by_tag:
+                    marked[mark][3 if tag == "article" else 4] = True
+            elif not hides and attrs and tag not in ("html", "body") and _is_marked(attrs, marks):
+                hides = len(marked) not in stay
+                mark = len(marked)
+                marked.append([around, 0, 0, False, False])
             before = node
             if tag in _CONTAINERS and not hides and not hidden:
                 c = _CLASS_ONLY.search(attrs) if attrs else None
@@ -150,9 +200,10 @@ class Page:
                 path = (*nodes[node][0][1 - _DEEP:], ".".join([tag, *classes]))
                 nodes.append([path, nodes[node][1] + 1, len(self.blocks), -1, 0, 0, node])
                 node = len(nodes) - 1
-            stack.append((tag, before, hides, tag == "a"))
+            stack.append((tag, before, hides, never, around, tag == "a"))
             opened[tag] = opened.get(tag, 0) + 1
             hidden += hides
+            by_tag += never
             links += tag == "a"
         self._flush(node)
         while stack:

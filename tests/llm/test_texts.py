@@ -220,3 +220,21 @@ def test_headline_outside_the_body_div(spark):
     out = {r.page_id: r.text for r in html_text.extract(df).collect()}
     assert out[0] == out[1] == expected and out[5] == text
     assert out[10] == expected + "\n\na tag"
+
+
+@pytest.mark.parametrize("source,text", [
+    ("<p>Stray.</p><div class='layout with-sidebar'><p>LONG</p></div>", "Stray.\n\nLONG"),
+    ("<p>Stray.</p><div class='content no-comments'><p>LONG</p></div>", "Stray.\n\nLONG"),
+    ("<p>Stray.</p><div class='elementor-widget elementor-widget-theme-post-content'><article><p>LONG</p></article></div>", "Stray.\n\nLONG"),
+    ("<p>Stray.</p><div id='page-social'><p>LONG</p></div>", "Stray.\n\nLONG"),
+    ("<p>Stray.</p><div class='widget'><p>LONG</p><div class='share'>Share</div></div>", "Stray.\n\nLONG"),
+    ("<p>LONG</p><p>Stray.</p><div class='overlay'><main><p>Main</p></main></div>", "LONG\n\nStray.\n\nMain"),
+    ("<p>Stray.</p><div class='modal'><div class='widget'><article><p>LONG</p><div class='comments'><article>LONG</article></div></article></div></div>",
+     "Stray.\n\nLONG"),
+    ("<article><p>LONG</p></article><div class='related'><article><p>Other</p></article></div><div class='comments'><p>LONG LONG</p></div>", "LONG"),
+    ("<article><p>LONG</p><div class='cookie-banner ad-3'>We</div><p id='ad_7'>Buy</p><p class='share'>Share</p></article>", "LONG"),
+    ("<article><p>A sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> of LONG</p><object data='x.swf'><p>Other form</p></object></article>",
+     "A sum x+1 of LONG\n\nOther form")])
+def test_marked_elements_that_hold_the_article(source, text):
+    long = ("running text of the page, " * 20).strip()
+    assert html_text.Page(page(source.replace("LONG", long))).text(None) == text.replace("LONG", long)
