@@ -8,7 +8,10 @@ run one after the other.
 
 The models are fitted on a bounded sample of the labelled rows (documented
 parameters below); features are counted in Spark, and only the chosen features
-of the sampled rows come to the driver. All documents are scored.
+of the sampled rows come to the driver. The threshold is set over all labelled
+rows: each is scored in Spark by the models of its fold, which have not seen
+it, and the best F1 is taken from a histogram of these scores. All documents
+are scored.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import cut, text_of
@@ -33,6 +36,8 @@ FOLDS = 4
 BEGINNINGS = (4, 5, 6)
 STEPS, RATE, RIDGE = 120, 0.15, 1e-3
 WORDS_KEPT = 200_000
+#: Width of a bin of log-odds in the histogram for the threshold, and its bounds.
+BIN, FARTHEST = 0.01, 30.0
 _WORD = re.compile(r"\w+")
 
 
@@ -48,13 +53,21 @@ def text_features(text: str) -> set[str]:
 @dataclass
 class Chain:
     """labels in order; feature -> place; per label: weights, intercept,
-    weights of the probabilities before it; threshold of the last label."""
+    weights of the probabilities before it; threshold of the last label; the
+    chains fitted without the rows of each fold."""
     labels: list[str]
     place: dict[str, int]
     weights: list[np.ndarray] = field(default_factory=list)
     bias: list[float] = field(default_factory=list)
     link: list[np.ndarray] = field(default_factory=list)
     threshold: float = 0.5
+    folds: list[Chain] = field(default_factory=list)
+
+    def add(self, weights: np.ndarray, bias: float, link: np.ndarray) -> None:
+        """The model of the next label."""
+        self.weights.append(weights)
+        self.bias.append(bias)
+        self.link.append(link)
 
     def probabilities(self, places: list[int]) -> list[float]:
         out: list[float] = []
@@ -88,48 +101,53 @@ def fit_chain(labels: list[str], place: dict[str, int], rows: np.ndarray, cols:
     """Fit the chain on the sample: presence pairs (rows, cols), 0/1 matrix y
     by label, fold of each row."""
     chain, n, k = Chain(labels, place), len(y), len(place)
+    chain.folds = [Chain(labels, place) for _ in range(FOLDS)]
     before = np.zeros((n, 0))
     for j in range(len(labels)):
         out = np.zeros(n)
+        whole = _fit(rows, cols, before, y[:, j], k)
         for f in range(FOLDS):
             inside = fold != f
-            if not inside.any() or inside.all():
-                continue
-            number = np.cumsum(inside) - 1
-            keep = inside[rows]
-            w, b, v = _fit(number[rows[keep]], cols[keep], before[inside], y[inside, j], k)
-            z = np.bincount(rows, weights=w[cols], minlength=n) + before @ v + b
-            out[~inside] = 1 / (1 + np.exp(-np.clip(z[~inside], -50, 50)))
-        w, b, v = _fit(rows, cols, before, y[:, j], k)
-        chain.weights.append(w)
-        chain.bias.append(b)
-        chain.link.append(v)
+            if inside.all():  # none of the fold's rows is in the sample
+                model = whole
+            elif not inside.any():
+                model = np.zeros(k), -50.0, np.zeros(j)
+            else:
+                number = np.cumsum(inside) - 1
+                keep = inside[rows]
+                model = w, b, v = _fit(number[rows[keep]], cols[keep], before[inside], y[inside, j], k)
+                z = np.bincount(rows, weights=w[cols], minlength=n) + before @ v + b
+                out[~inside] = 1 / (1 + np.exp(-np.clip(z[~inside], -50, 50)))
+            chain.folds[f].add(*model)
+        chain.add(*whole)
         before = np.column_stack([before, out])
-    chain.threshold = _threshold(before[:, -1], y[:, -1])
     return chain
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The cut with the best F1 on out-of-fold probabilities, half way between
-    the two values around it."""
-    if y.min() == y.max():
+def _threshold(bins: np.ndarray, n: np.ndarray, hits: np.ndarray) -> float:
+    """The cut with the best F1, as a probability, half way between the two
+    occupied bins around it; rows and rows with the label by bin."""
+    if not hits.sum() or hits.sum() == n.sum():
         return 0.5
-    order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    last = np.append(p[order][1:] != p[order][:-1], True)  # cuts between different values only
-    best = int(np.argmax(np.where(last, f1, -1)))
-    low = p[order][best + 1] if best + 1 < len(p) else 0.0
-    return float((p[order][best] + low) / 2)
+    order = np.argsort(-bins)
+    bins, n, hits = bins[order], n[order], hits[order]
+    best = int(np.argmax(2 * np.cumsum(hits) / (np.cumsum(n) + hits.sum())))
+    low = bins[best + 1] + 1 if best + 1 < len(bins) else bins[best]
+    return float(1 / (1 + np.exp(-(bins[best] + low) / 2 * BIN)))
+
+
+def _labelled(labels: DataFrame, names: list[str]) -> DataFrame:
+    """doc_id, y (array in the order of ``names``). Rows with a null label are
+    left out; of a repeated id one row counts."""
+    y = labels.select(F.col("doc_id"), F.array(*[F.col(c).cast("int") for c in names]).alias("y"))
+    return y.where(F.col("doc_id").isNotNull() & ~F.exists("y", lambda v: v.isNull())).groupBy("doc_id").agg(F.max("y").alias("y"))
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str, text_col: str) -> DataFrame:
     """doc_id, text, y (array in the order of ``names``) of a bounded sample:
     the first rows by a hash of the id, POSITIVE_ROWS with the last category
-    and OTHER_ROWS without. Rows with a null label are left out; of a repeated
-    id one row of labels counts."""
-    y = labels.select(F.col("doc_id"), F.array(*[F.col(c).cast("int") for c in names]).alias("y"))
-    y = y.where(F.col("doc_id").isNotNull() & ~F.exists("y", lambda v: v.isNull())).groupBy("doc_id").agg(F.max("y").alias("y"))
+    and OTHER_ROWS without."""
+    y = _labelled(labels, names)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = (y.where(F.element_at("y", -1) == 1).orderBy(*order).limit(POSITIVE_ROWS)
             .unionByName(y.where(F.element_at("y", -1) != 1).orderBy(*order).limit(OTHER_ROWS)))
@@ -169,11 +187,59 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "d
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32())), b.column(2)], names=["doc_id", "places", "y"])
 
     got = sample.mapInArrow(places, f"doc_id {kind}, places array<int>, y array<int>")
-    got = got.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS))).orderBy("doc_id", F.xxhash64("places")).collect()
+    got = got.withColumn("fold", _fold("doc_id")).orderBy("doc_id", F.xxhash64("places")).collect()
     rows = np.repeat(np.arange(len(got)), [len(r["places"]) for r in got])
     cols = np.array([p for r in got for p in r["places"]], dtype=np.int64)
     y = np.array([r["y"] for r in got], dtype=float).reshape(len(got), len(names))
-    return fit_chain(names, place, rows, cols, y, np.array([r["fold"] for r in got]))
+    chain = fit_chain(names, place, rows, cols, y, np.array([r["fold"] for r in got]))
+    chain.threshold = best_threshold(docs, labels, chain, id_col, text_col)
+    return chain
+
+
+def _fold(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(FOLDS))
+
+
+class _Reader:
+    """The places of a text's features, in order; words looked up before are kept."""
+
+    def __init__(self, place: dict[str, int]):
+        self.place, self.known = place, {}
+
+    def __call__(self, text: str) -> list[int]:
+        hits: set[int] = set()
+        for w in set(_WORD.findall(text.lower())):
+            got = self.known.get(w)
+            if got is None:
+                if len(self.known) >= WORDS_KEPT:
+                    self.known.clear()
+                got = tuple(self.place[f] for f in word_features(w) if f in self.place)
+                if len(w) <= 64:
+                    self.known[w] = got
+            if got:
+                hits.update(got)
+        return sorted(hits)
+
+
+def best_threshold(docs: DataFrame, labels: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> float:
+    """The cut with the best F1 over all labelled documents, each scored by the
+    chain of its fold. Documents are scored where they are, and only ids and
+    bins are joined with the labels."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = _Reader(chain.place)
+        for b in batches:
+            p = np.array([chain.folds[f].probabilities(places(t.as_py()))[-1] for t, f in zip(b.column(1), b.column(2).to_pylist())], dtype=float)
+            with np.errstate(divide="ignore"):
+                z = np.log(p) - np.log1p(-p)
+            bins = np.floor(np.clip(z, -FARTHEST, FARTHEST) / BIN).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bins)], names=["doc_id", "bin"])
+
+    src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).where(F.col("doc_id").isNotNull()).withColumn("fold", _fold("doc_id"))
+    scored = src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, bin int")
+    y = _labelled(labels, chain.labels).withColumnsRenamed({"doc_id": "label_id"})
+    hist = (scored.join(y, F.col("doc_id") == F.col("label_id")).groupBy("bin")
+            .agg(F.count("*").alias("n"), F.sum(F.when(F.element_at("y", -1) == 1, 1).otherwise(0)).alias("hits")).collect())  # 6,001 bins at most
+    return _threshold(*(np.array([r[c] for r in hist], dtype=float) for c in ("bin", "n", "hits")))
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,22 +253,9 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     fields = [*(f"p_{c}" for c in chain.labels), chain.labels[-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, known = chain.place, {}
+        places = _Reader(chain.place)
         for b in batches:
-            out = []
-            for t in b.column(1):
-                hits: set[int] = set()
-                for w in set(_WORD.findall(t.as_py().lower())):
-                    got = known.get(w)
-                    if got is None:
-                        if len(known) >= WORDS_KEPT:
-                            known.clear()
-                        got = tuple(place[f] for f in word_features(w) if f in place)
-                        if len(w) <= 64:
-                            known[w] = got
-                    if got:
-                        hits.update(got)
-                out.append(chain.probabilities(sorted(hits)))
+            out = [chain.probabilities(places(t.as_py())) for t in b.column(1)]
             p = np.array(out, dtype=float).reshape(-1, len(chain.labels))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(p[:, j]) for j in range(p.shape[1])), pa.array(p[:, -1] >= chain.threshold)],
                                              names=["doc_id", *fields])

@@ -218,6 +218,28 @@ def test_chain_held_out(spark):
     assert len(chain.link[0]) == 0 and len(chain.link[1]) == 1 and chain.link[1][0] != 0
 
 
+def test_threshold_is_that_of_all_labelled_rows(spark, monkeypatch):
+    """The cut keeps to the true share of the category when the bounds of the sample bind."""
+    monkeypatch.setattr(toxicity, "POSITIVE_ROWS", 100)
+    monkeypatch.setattr(toxicity, "OTHER_ROWS", 200)
+    rng = random.Random(3)
+    cues = ["scumbag", "idiots", "morons", "filthy", "vermin", "trash", "losers", "stupid", "hateful", "garbage"]
+    data, labels = [], []
+    for i in range(5000):
+        toxic = rng.random() < 0.04
+        data.append((i, " ".join([f"plain{rng.randrange(50)}", *(c for c in cues if rng.random() < (0.6 if toxic else 0.3))])))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    chain = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"), ["toxic"])
+    out = {r.doc_id: r for r in toxicity.score(df, chain).collect()}
+    p, y = np.array([out[i].p_toxic for i, _ in labels]), np.array([t for _, t in labels])
+
+    def f1(flag):
+        return 2 * (flag & (y == 1)).sum() / (flag.sum() + y.sum())
+
+    assert f1(np.array([out[i].toxic for i, _ in labels])) >= 0.9 * max(f1(p >= c) for c in np.unique(p))
+
+
 def test_toxicity_edges(spark, edge_docs, clashing_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = toxicity.judge(edge_docs, none)
