@@ -49,7 +49,7 @@ def test_pipeline_edges(spark, clashing_docs, no_docs):
 def test_registered():
     import __spark_entry__ as e
     q = e.queries()
-    assert "pipeline" in q and {x.split("_")[0] for x in entries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in q and {x.split("_")[0] for x in entries.queries()} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(entries.oracle_sql()))
