@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import centroids, exact_dedup, host_rules, html_text, mixing, packing, piece_bpe, secrets, simhash, toxicity, url_filter
+from cohortlens.llm import centroids, exact_dedup, host_rules, html_text, mixing, multiset_hash, packing, piece_bpe, secrets, simhash, toxicity, url_filter
 from cohortlens.llm.common import table
 
 
@@ -52,11 +52,15 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.compare(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {"op1_secrets": op1_secrets, "op2_toxicity": op2_toxicity, "op10_packing": op10_packing,
             "op3_html_text": op3_html_text, "op6_mixing": op6_mixing, "op9_url_filter": op9_url_filter,
             "op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash,
-            "op8_piece_bpe": op8_piece_bpe, "op11_centroids": op11_centroids}
+            "op8_piece_bpe": op8_piece_bpe, "op11_centroids": op11_centroids, "op12_multiset_hash": op12_multiset_hash}
 
 
 def oracle_sql() -> dict[str, str]:
