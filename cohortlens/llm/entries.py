@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import centroids, exact_dedup, host_rules, html_text, mixing, multiset_hash, packing, piece_bpe, secrets, simhash, toxicity, url_filter
+from cohortlens.llm import centroids, conversation_repair, exact_dedup, host_rules, html_text, mixing, multiset_hash, packing, piece_bpe, secrets, simhash, toxicity, url_filter
 from cohortlens.llm.common import table
 
 
@@ -56,11 +56,16 @@ def op12_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.compare(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audits(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict:
     return {"op1_secrets": op1_secrets, "op2_toxicity": op2_toxicity, "op10_packing": op10_packing,
             "op3_html_text": op3_html_text, "op6_mixing": op6_mixing, "op9_url_filter": op9_url_filter,
             "op4_host_rules": op4_host_rules, "op5_exact_dedup": op5_exact_dedup, "op7_simhash": op7_simhash,
-            "op8_piece_bpe": op8_piece_bpe, "op11_centroids": op11_centroids, "op12_multiset_hash": op12_multiset_hash}
+            "op8_piece_bpe": op8_piece_bpe, "op11_centroids": op11_centroids, "op12_multiset_hash": op12_multiset_hash,
+            "op13_conversation_repair": op13_conversation_repair}
 
 
 def oracle_sql() -> dict[str, str]:
