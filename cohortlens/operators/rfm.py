@@ -1,30 +1,25 @@
 """RFM scoring and segmentation.
 
 Clustering (R2b) is a deterministic one-dimensional Lloyd iteration, run until
-no centre changes. The customer table is reduced once to ``(component, value,
-weight)`` rows, written sorted as Parquet, and indexed: bins of neighbouring
-values with their cumulative weight and cumulative value × weight. A round
-needs those sums at the k−1 boundaries only, so it reads nothing but the bins
-that a boundary falls into, and those once; most rounds run no Spark job.
-The driver holds the index and the bins in use, both of bounded size. Labels
-are "number of adjacent-centre midpoints strictly below the value", so labels
-come out sorted by centre. Scores are the rank of the cluster mean (R3/R4) and
-are applied to the customer table with literal maps, so labelling and scoring
-are narrow projections without joins or shuffles.
+no centre changes, on the prefix sums of :mod:`cohortlens.operators.lloyd`: the
+customer table is reduced once to ``(component, value, weight)`` rows, and a
+round reads their running sums at the k−1 boundaries.
+Labels are "number of adjacent-centre midpoints strictly below the value", so
+labels come out sorted by centre. Scores are the rank of the cluster mean
+(R3/R4) and are applied to the customer table with literal maps, so labelling
+and scoring are narrow projections without joins or shuffles.
 """
 
 from __future__ import annotations
 
-import uuid
-from bisect import bisect_right
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.config import DEFAULT, SEGMENT_ORDER, CampaignSchema
+from cohortlens.config import DEFAULT, SEARCH_SEED, SEGMENT_ORDER, CampaignSchema
 from cohortlens.functions.exprs import segment_label
+from cohortlens.operators.lloyd import Fit, PrefixSums, best_of_starts, boundaries, even_start, run
 
 
 @dataclass
@@ -75,112 +70,6 @@ def value_histogram(df: DataFrame, cfg: CampaignSchema = DEFAULT) -> DataFrame:
     )
 
 
-#: Distinct values of a bin, and bins of the index (beyond it, bins grow).
-BIN_VALUES, MOST_BINS = 8192, 50_000
-
-
-@dataclass
-class SortedHistogram:
-    """A histogram ``(component, value, weight)`` in sorted Parquet files, with
-    its index of bins per component: first and last value, and the integer
-    sums of weight and value × weight up to each bin."""
-    table: DataFrame
-    first: dict[str, list[int]] = field(default_factory=dict)
-    last: dict[str, list[int]] = field(default_factory=dict)
-    weight: dict[str, list[int]] = field(default_factory=dict)
-    total: dict[str, list[int]] = field(default_factory=dict)
-    bins: dict[tuple[str, int], tuple] = field(default_factory=dict)
-
-    @classmethod
-    def build(cls, hist: DataFrame) -> SortedHistogram:
-        from cohortlens.sources.io import shared_path
-        path = shared_path(hist.sparkSession, "histogram", uuid.uuid4().hex)
-        (hist.repartitionByRange(F.col("component"), F.col("value")).sortWithinPartitions("component", "value")
-         .withColumn("part", F.spark_partition_id()).write.parquet(path))
-        table = hist.sparkSession.read.parquet(path)
-        size = max(BIN_VALUES, table.count() // MOST_BINS)
-        row = F.row_number().over(Window.partitionBy("part").orderBy("component", "value"))
-        index = (table.withColumn("bin", F.floor((row - 1) / size)).groupBy("component", "part", "bin")
-                 .agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("weight").alias("w"),
-                      F.sum(F.col("value").cast("decimal(38,0)") * F.col("weight")).alias("s")).orderBy("component", "first").collect())
-        out = cls(table)
-        for r in index:
-            c = r["component"]
-            out.first.setdefault(c, []).append(r["first"])
-            out.last.setdefault(c, []).append(r["last"])
-            w, t = out.weight.setdefault(c, [0]), out.total.setdefault(c, [0])
-            w.append(w[-1] + r["w"])
-            t.append(t[-1] + int(r["s"]))
-        return out
-
-    def _bin(self, component: str, bound: float) -> int | None:
-        """The bin that ``bound`` cuts, if it cuts one."""
-        i = bisect_right(self.first[component], bound) - 1
-        return i if i >= 0 and bound < self.last[component][i] else None
-
-    def load(self, bounds: list[tuple[str, float]]) -> None:
-        """Read the bins that the bounds cut and that were not read before."""
-        need = sorted({(c, i) for c, b in bounds if (i := self._bin(c, b)) is not None and (c, i) not in self.bins})
-        if not need:
-            return
-        if len(self.bins) + len(need) > 4 * len(bounds) + 256:
-            self.bins.clear()
-            need = sorted({(c, i) for c, b in bounds if (i := self._bin(c, b)) is not None})
-        where = None
-        for c, i in need:
-            one = (F.col("component") == c) & F.col("value").between(self.first[c][i], self.last[c][i])
-            where = one if where is None else where | one
-        got: dict[tuple[str, int], list] = {k: [] for k in need}
-        for r in self.table.where(where).select("component", "value", "weight").collect():
-            c = r["component"]
-            got[c, bisect_right(self.first[c], r["value"]) - 1].append((r["value"], r["weight"]))
-        for k, rows in got.items():
-            rows.sort()
-            v = [x for x, _ in rows]
-            w = np.array([y for _, y in rows], dtype=object)
-            self.bins[k] = (v, [0, *np.cumsum(w)], [0, *np.cumsum(w * np.array(v, dtype=object))])
-
-    def below(self, component: str, bound: float) -> tuple[int, int]:
-        """Sums of weight and value × weight over the values <= ``bound``."""
-        i = self._bin(component, bound)
-        if i is None:
-            n = bisect_right(self.first[component], bound)
-            return self.weight[component][n], self.total[component][n]
-        v, w, t = self.bins[component, i]
-        n = bisect_right(v, bound)
-        return self.weight[component][i] + w[n], self.total[component][i] + t[n]
-
-
-def lloyd(hist: DataFrame | SortedHistogram, ks: dict[str, int], max_rounds: int) -> tuple[dict[str, list[float]], dict[str, int], dict[str, list[int]]]:
-    """Deterministic 1-D Lloyd for many keyed fits at once over a keyed value
-    histogram. Start: lo + (hi − lo)(2i + 1)/2k; an empty cluster keeps its
-    centre; it ends when no centre changes, and raises after ``max_rounds``.
-    Returns centres, rounds and the non-empty clusters per key."""
-    h = hist if isinstance(hist, SortedHistogram) else SortedHistogram.build(hist)
-    centers = {}
-    for c in h.first:
-        lo, hi, k = h.first[c][0], h.last[c][-1], ks[c]
-        centers[c] = [lo + (hi - lo) * (2 * i + 1) / (2 * k) for i in range(k)]
-    rounds, nonempty, active = {c: 0 for c in centers}, {c: [] for c in centers}, set(centers)
-    while active:
-        bounds = {c: [(a + b) / 2 for a, b in zip(centers[c], centers[c][1:])] for c in active}
-        h.load([(c, m) for c, ms in bounds.items() for m in ms])
-        for c in sorted(active):
-            sums = [(0, 0), *(h.below(c, m) for m in bounds[c]), (h.weight[c][-1], h.total[c][-1])]
-            new, nonempty[c] = list(centers[c]), []
-            for i, ((w0, s0), (w1, s1)) in enumerate(zip(sums, sums[1:])):
-                if w1 > w0:
-                    new[i] = int(s1 - s0) / int(w1 - w0)
-                    nonempty[c].append(i)
-            rounds[c] += 1
-            if new == centers[c]:
-                active.discard(c)
-            elif rounds[c] >= max_rounds:
-                raise RuntimeError(f"the clustering of {c} still moved after {max_rounds} rounds")
-            centers[c] = new
-    return centers, rounds, nonempty
-
-
 def small_checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a derived table."""
     from cohortlens.session import ensure_checkpoint_dir
@@ -188,16 +77,29 @@ def small_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fit_rfm(df: DataFrame, cfg: CampaignSchema = DEFAULT, ks: dict[str, int] | None = None) -> dict[str, ComponentModel]:
+def fit_rfm(df: DataFrame, cfg: CampaignSchema = DEFAULT, params: dict[str, dict] | None = None) -> dict[str, ComponentModel]:
     """Fit the three component models; returns centres per component.
-    ``ks`` gives a number of clusters per component, as
-    :func:`cohortlens.operators.rfm_ml.best_parameters` finds it."""
-    comps = [vc for vc, _, _ in cfg.rfm_components]
-    centers, rounds, nonempty = lloyd(value_histogram(df, cfg), {c: (ks or {}).get(c, cfg.rfm_k) for c in comps}, cfg.rfm_max_rounds)
-    return {
-        vc: ComponentModel(vc, cc, hib, centers[vc], rounds[vc], nonempty[vc])
-        for vc, cc, hib in cfg.rfm_components if vc in centers
-    }
+
+    A component starts from evenly spaced centres and runs until no centre
+    changes; after ``rfm_max_rounds`` rounds it raises. ``params`` gives k,
+    init, n_init and max_iter of a component, as
+    :func:`cohortlens.operators.rfm_ml.best_parameters` finds them: then the
+    best of n_init drawn starts counts, of at most max_iter rounds each."""
+    sums = PrefixSums.build(value_histogram(df, cfg))
+    params = params or {}
+    drawn = [(vc, p["k"], p["init"], p["n_init"], p["max_iter"]) for vc, p in params.items() if vc in sums.span]
+    fits = {p[0]: Fit(p[0], c, 1) for p, c in zip(drawn, best_of_starts(sums, drawn, SEARCH_SEED))}
+    even = [Fit(vc, even_start(sums, vc, cfg.rfm_k), cfg.rfm_max_rounds) for vc, _, _ in cfg.rfm_components
+            if vc in sums.span and vc not in fits]
+    run(sums, even)
+    for f in even:
+        if not f.settled:
+            raise RuntimeError(f"the clustering of {f.component} still moved after {f.rounds} rounds")
+    fits |= {f.component: f for f in even}
+    sums.read({(f.component, b) for f in fits.values() for b in boundaries(f.centers)})
+    return {vc: ComponentModel(vc, cc, hib, fits[vc].centers, fits[vc].rounds,
+                               [i for i, (w, _, _) in enumerate(sums.clusters(vc, fits[vc].centers)) if w])
+            for vc, cc, hib in cfg.rfm_components if vc in fits}
 
 
 def apply_rfm(df: DataFrame, models: dict[str, ComponentModel]) -> DataFrame:

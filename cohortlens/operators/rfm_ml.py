@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import DEFAULT, SEARCH_GRID, SEARCH_SEED, CampaignSchema
 from cohortlens.operators.clean import engineer
-from cohortlens.operators.rfm import ComponentModel, apply_rfm, lloyd, small_checkpoint, value_histogram
+from cohortlens.operators.lloyd import PrefixSums, best_of_starts, boundaries
+from cohortlens.operators.rfm import ComponentModel, apply_rfm, small_checkpoint, value_histogram
 
 
 def sample_grid(n_points: int = 10, seed: int = SEARCH_SEED) -> list[tuple]:
@@ -20,57 +21,53 @@ def sample_grid(n_points: int = 10, seed: int = SEARCH_SEED) -> list[tuple]:
     return random.Random(seed).sample(grid, n_points)
 
 
-def _key(comp, fold, k) -> str:
-    return f"{comp}|{fold}|{k}"
-
-
-def parameter_search(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_points: int = 10, folds: int = 5) -> DataFrame:
-    """K-fold search per component. Folds come from a hash of ID (stable
-    under any partitioning); every (component, held-out fold, k) model is
-    fitted on the other folds' value histogram, all keys in the same Lloyd
-    rounds; the score is the held-out −Σ w·min(v − c)² (the estimator's own
-    score), averaged over folds. The deterministic start makes ``init`` and
-    ``n_init`` immaterial, and every fit runs until no centre changes, so they and
-    ``max_iter`` are reported without effect."""
-    points = sample_grid(n_points)
-    ks = sorted({p[0] for p in points})
-    comps = [vc for vc, _, _ in cfg.rfm_components]
+def parameter_search(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_points: int = 10, folds: int = 5,
+                     points: list[tuple] | None = None) -> DataFrame:
+    """K-fold search per component over a sample of the grid (or the given
+    ``points``: k, init, n_init, max_iter).
+
+    Folds come from a hash of ID (stable under any partitioning). A point is
+    fitted on the other folds' histogram: ``n_init`` starts drawn by ``init``,
+    each run for at most ``max_iter`` rounds, the one of least cost counts. Its
+    score is the held-out −Σ w·min(v − c)² (the estimator's own score),
+    averaged over folds; the best mean has rank 1. All fits of all components,
+    folds and points share their jobs, and both sides are read from prefix sums."""
+    points = points or sample_grid(n_points)
+    sums = PrefixSums.build(fold_histograms(treated, cfg, folds))
+    tasks = [(vc, f, *p) for vc, _, _ in cfg.rfm_components for f in range(folds) for p in points
+             if f"{vc}|{f}|train" in sums.span and f"{vc}|{f}|test" in sums.span]
+    fits = best_of_starts(sums, [(f"{vc}|{f}|train", *p) for vc, f, *p in tasks], SEARCH_SEED)
+    sums.read({(f"{vc}|{f}|test", b) for (vc, f, *_), centers in zip(tasks, fits) for b in boundaries(centers)})
+    scores: dict[tuple, list[float]] = {}
+    for (vc, f, *p), centers in zip(tasks, fits):
+        scores.setdefault((vc, *p), []).append(-float(sums.cost(f"{vc}|{f}|test", centers)))
+    mean = {key: sum(x) / len(x) for key, x in scores.items()}
+    rows = [(*key, m, 1 + sum(o > m for other, o in mean.items() if other[0] == key[0])) for key, m in mean.items()]
+    return treated.sparkSession.createDataFrame(  # a row per component and point
+        rows, "component string, k int, init string, n_init int, max_iter int, mean_test_score double, rank_test_score int")
+
+
+def fold_histograms(treated: DataFrame, cfg: CampaignSchema = DEFAULT, folds: int = 5) -> DataFrame:
+    """Histograms keyed ``component|fold|test`` (the fold's values) and
+    ``component|fold|train`` (those of the other folds)."""
     fold = F.pmod(F.xxhash64(F.col("ID")), F.lit(folds))
-    arr = F.array(*[F.struct(F.lit(vc).alias("c"), F.col(vc).cast("bigint").alias("v")) for vc in comps])
-    per = (treated.select(fold.alias("fold"), F.explode(arr).alias("x"))
-           .select("fold", F.col("x.c").alias("comp"), F.col("x.v").alias("value"))
-           .where(F.col("value").isNotNull())
-           .groupBy("comp", "fold", "value").agg(F.count(F.lit(1)).alias("weight")))
-    per = small_checkpoint(per)
-    # training histogram of held-out fold f = the other folds (bounded fan-out)
-    train = (per.select("comp", "value", "weight",
-                        F.explode(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold"))).alias("held"),
-                        F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
-             .groupBy(F.concat_ws("|", "comp", "held", "k").alias("component"), "value")
-             .agg(F.sum("weight").alias("weight")))
-    kmap = {_key(c, f, k): k for c in comps for f in range(folds) for k in ks}
-    centers, _, _ = lloyd(train, kmap, cfg.rfm_max_rounds)
-    test = per.select("comp", "fold", "value", "weight", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
-    key = F.concat_ws("|", "comp", "fold", "k")
-    dist = None
-    for kk, cs in centers.items():
-        d = F.least(*[F.pow(F.col("value") - F.lit(c), 2) for c in cs]) if len(cs) > 1 else F.pow(F.col("value") - F.lit(cs[0]), 2)
-        dist = F.when(key == kk, d) if dist is None else dist.when(key == kk, d)
-    fold_scores = test.groupBy("comp", "fold", "k").agg((-F.sum(F.col("weight") * dist)).alias("score"))
-    mean = fold_scores.groupBy("comp", "k").agg(F.avg("score").alias("mean_test_score"))
-    grid = treated.sparkSession.createDataFrame(points, "k int, init string, n_init int, max_iter int")
-    from pyspark.sql import Window
-    w = Window.partitionBy("comp").orderBy(F.desc("mean_test_score"), "k", "init", "n_init", "max_iter")
-    out = mean.join(F.broadcast(grid), "k")
-    return out.select(F.col("comp").alias("component"), "k", "init", "n_init", "max_iter", "mean_test_score",
-                      F.rank().over(w).alias("rank_test_score"))
-
-
-def best_parameters(search: DataFrame) -> dict[str, int]:
-    """k of the best-ranked point per component (of equals the smallest), for
-    ``fit_rfm(ks=...)``. One row per component reaches the driver."""
-    best = search.where("rank_test_score = 1").groupBy("component").agg(F.min("k").alias("k"))
-    return {r["component"]: r["k"] for r in best.collect()}
+    comps = F.array(*[F.struct(F.lit(vc).alias("c"), F.col(vc).cast("bigint").alias("v")) for vc, _, _ in cfg.rfm_components])
+    per = (treated.select(fold.alias("fold"), F.explode(comps).alias("x"))
+           .select("fold", F.col("x.c").alias("c"), F.col("x.v").alias("value")).where(F.col("value").isNotNull())
+           .groupBy("c", "fold", "value").agg(F.count(F.lit(1)).alias("weight")))
+    held = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("held")  # bounded fan-out
+    side = F.when(F.col("held") == F.col("fold"), "test").otherwise("train")
+    return (per.select("c", "fold", "value", "weight", held)
+            .groupBy(F.concat_ws("|", "c", "held", side).alias("component"), "value").agg(F.sum("weight").alias("weight")))
+
+
+def best_parameters(search: DataFrame) -> dict[str, dict]:
+    """k, init, n_init and max_iter of the best-ranked point per component (of
+    equals the smallest), for ``fit_rfm(params=...)``. One row per component
+    reaches the driver."""
+    point = F.struct("k", "init", "n_init", "max_iter")
+    best = search.where("rank_test_score = 1").groupBy("component").agg(F.min(point).alias("p"))
+    return {r["component"]: r["p"].asDict() for r in best.collect()}
 
 
 def mllib_kmeans(treated: DataFrame, cfg: CampaignSchema = DEFAULT, n_init: int = 3, max_iter: int = 300):

@@ -52,7 +52,7 @@ def _score_sql() -> str:
 
     def lab(a, v):
         return " + ".join(f"CASE WHEN {v} > ({a}.c{i} + {a}.c{i + 1}) / 2 THEN 1 ELSE 0 END" for i in range(k - 1))
-    labs = ", ".join(f"CAST({lab('f_' + cc.lower(), 'e.' + vc)} AS BIGINT) AS {cc}" for vc, cc, _ in comps)
+    labs = ", ".join(f"CASE WHEN e.{vc} IS NOT NULL THEN CAST({lab('f_' + cc.lower(), 'e.' + vc)} AS BIGINT) END AS {cc}" for vc, cc, _ in comps)
     fins = ", ".join(f"(SELECT * FROM fin WHERE comp = {S.q(vc)}) f_{cc.lower()}" for vc, cc, _ in comps)
     names = {"Cluster_Frequency": "Frequency_Score", "Cluster_Recency": "Recency_Score", "Cluster_Monetary": "Monetary_Score"}
     joins = " ".join(f"LEFT JOIN ranks r_{cc.lower()} ON r_{cc.lower()}.comp = {S.q(vc)} AND r_{cc.lower()}.cl = s.{cc}" for vc, cc, _ in comps)

@@ -49,39 +49,6 @@ def test_load_append_and_overwrite(spark):
     assert io.load_table(rows, table, mode="overwrite") == n
 
 
-def test_clustering_has_converged(spark):
-    """One more round changes no centre, also with the bins read piece by piece."""
-    from cohortlens.operators import rfm
-    from pyspark.sql import functions as F
-    h = (spark.range(20_000).select(F.lit("x").alias("component"), (F.col("id") * F.col("id") % 99_991).alias("value"))
-         .groupBy("component", "value").agg(F.count("*").alias("weight")))
-    rows = [(r.value, r.weight) for r in h.collect()]
-    whole, _, _ = rfm.lloyd(h, {"x": 4}, 100_000)
-    before = rfm.BIN_VALUES
-    try:
-        rfm.BIN_VALUES = 50
-        pieces, rounds, nonempty = rfm.lloyd(h, {"x": 4}, 100_000)
-    finally:
-        rfm.BIN_VALUES = before
-    assert pieces == whole and rounds["x"] > 1 and nonempty["x"] == [0, 1, 2, 3]
-    c = whole["x"]
-    mids = [(a + b) / 2 for a, b in zip(c, c[1:])]
-    sums = [[0, 0] for _ in c]
-    for v, w in rows:
-        i = sum(v > m for m in mids)
-        sums[i][0] += v * w
-        sums[i][1] += w
-    assert [s / w for s, w in sums] == c
-
-
-def test_clustering_raises_at_its_limit(spark):
-    import pytest
-    from cohortlens.operators import rfm
-    h = spark.createDataFrame([("x", v, 1) for v in (0, 1, 2, 3, 50, 51, 90, 100)], "component string, value long, weight long")
-    with pytest.raises(RuntimeError):
-        rfm.lloyd(h, {"x": 3}, 1)
-
-
 def test_null_value_has_no_cluster_or_score(spark):
     from cohortlens.operators.rfm import ComponentModel
     from pyspark.sql import functions as F
