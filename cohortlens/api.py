@@ -42,11 +42,10 @@ def generate_synthetic_campaign_data(treated_df: DataFrame, grouped_mean_df: Dat
                                     noise_scale=noise_scale)
 
 
-def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str = "parquet", index: bool = False) -> dict:
-    """``index`` would number the rows; distributed rows have no order to number, so only False is taken."""
-    if index:
-        raise ValueError("index=True is not supported: distributed rows have no order")
-    return synth.write_synthetic_dataset(df, output_path, file_format=file_format)
+def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str = "parquet", index: bool = False) -> str:
+    """Writes the rows and returns the path. ``index`` adds a column ``index``
+    that numbers them from 0 in the order of their ID, as the generator's are."""
+    return synth.write_synthetic_dataset(synth.with_index(df) if index else df, output_path, file_format=file_format)["path"]
 
 
 def validate_synthetic_campaign_data(synthetic_df: DataFrame, raw_df: DataFrame, *, expected_rows: int | None = None) -> dict:
@@ -185,8 +184,14 @@ def spend_total_distribution(df: DataFrame) -> DataFrame:
     return profile.histogram(df, "Total_Spent", 40)
 
 
-def spend_vs_income_scatter(df: DataFrame) -> DataFrame:
-    return df.select("ID", "Income", "Total_Spent", "Highest_Spent", "Age", "Total_Purchases")
+def _color(color_by: str):
+    """The colour column; cluster labels are categories, so text."""
+    c = F.col(color_by)
+    return (c.cast("string") if color_by.startswith("Cluster_") else c).alias("color")
+
+
+def spend_vs_income_scatter(df: DataFrame, color_by: str = "Highest_Spent") -> DataFrame:
+    return df.select("ID", "Income", "Total_Spent", "Highest_Spent", "Age", "Total_Purchases", _color(color_by))
 
 
 def channel_web_visits_vs_purchases(df: DataFrame) -> DataFrame:
@@ -197,12 +202,13 @@ def campaign_recency_vs_response(df: DataFrame) -> DataFrame:
     return profile.box_stats_by(df, "Recency", "Response")
 
 
-def cluster_3d_scatter(df: DataFrame) -> DataFrame:
-    return df.select("ID", "Recency", "Total_Purchases", "Total_Spent", "Segmentation")
+def cluster_3d_scatter(df: DataFrame, color_by: str = "Segmentation") -> DataFrame:
+    """Points in RFM space; ``color_by`` takes the segment or a cluster column."""
+    return df.select("ID", "Recency", "Total_Purchases", "Total_Spent", "Segmentation", _color(color_by))
 
 
-def cluster_pairwise_2d(df: DataFrame) -> DataFrame:
-    return cluster_3d_scatter(df)
+def cluster_pairwise_2d(df: DataFrame, x_dim: str, y_dim: str, color_by: str = "Segmentation") -> DataFrame:
+    return df.select("ID", F.col(x_dim).alias("x"), F.col(y_dim).alias("y"), _color(color_by))
 
 
 def segments_parallel_coords(df: DataFrame) -> DataFrame:
@@ -213,10 +219,10 @@ def segments_parallel_coords(df: DataFrame) -> DataFrame:
                      (F.array_position(order, F.col("Segmentation")) - 1).alias("segment_code"))
 
 
-def lookup_3d_highlight(df: DataFrame, customer_id: int) -> DataFrame:
+def lookup_3d_highlight(df: DataFrame, customer_id: int, color_by: str = "Segmentation") -> DataFrame:
     """The points of all customers, the chosen one marked."""
     reports.customer_row(df, customer_id)
-    return cluster_3d_scatter(df).withColumn("highlight", F.col("ID") == customer_id)
+    return cluster_3d_scatter(df, color_by).withColumn("highlight", F.col("ID") == customer_id)
 
 
 # -- catalog -------------------------------------------------------------------

@@ -2,11 +2,10 @@
 
 Generation plan: a table of groups → pieces of slots → one projection:
 
-* the reference's "concatenate groups, then permute" becomes an affine slot
-  map ``slot = (a·i + b) mod n`` with ``gcd(a, n) = 1`` (a bijection on
-  0..n−1); each group owns a range of slots, and the inverse map gives the ID;
-* group parameters (one row per Marital × Education cell, their number is
-  checked) are columns of the group table, not literals of the plan;
+* each group owns a range of slots (largest remainders, running sums), and a
+  keyed permutation of the slots gives the IDs, so every seed has its own order;
+* group parameters (one row per Marital × Education cell) are columns of the
+  group table, which is written and joined, never collected;
 * every random draw is a uniform taken from md5(seed | ID | column), so the
   output is identical under any partitioning, any executor loss / retry and in
   any engine with md5 (the DuckDB oracle reproduces it).
@@ -15,7 +14,7 @@ Generation plan: a table of groups → pieces of slots → one projection:
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,37 +25,16 @@ from cohortlens.config import (
     FLOAT_NOISE_COLUMNS, GROUP_COLUMNS, INTEGER_NOISE_COLUMNS, CampaignSchema,
 )
 from cohortlens.functions.exprs import half_even
+from cohortlens.functions.permutation import Permutation
+from cohortlens.operators.allocation import allocate, found_in, with_starts
 from cohortlens.operators.clean import parse_dates_expr
-
-GOLDEN = 0.6180339887498949
-
+from cohortlens.sources.io import shared_path
 
 def get_synthetic_output_columns(raw_columns) -> list[str]:
     """raw column order minus the constants and the derived columns."""
     return [c for c in raw_columns if c not in EXCLUDED_RAW_COLUMNS and c not in DERIVED_COLUMNS]
 
 
-def slot_multiplier(n: int) -> int:
-    """Smallest a ≥ ⌈0.618·n⌉ with gcd(a, n) = 1."""
-    a = max(1, math.ceil(GOLDEN * n))
-    while math.gcd(a, n) != 1:
-        a += 1
-    return a
-
-
-def uniform(seed: int, id_col: Column, name: str, k: int = 0) -> Column:
-    """k-th 32-bit slice (k = 0..3) of md5(seed|ID|name) mapped into (0, 1)."""
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), id_col.cast("string"), F.lit(name)))
-    n = F.conv(F.substring(h, 1 + 8 * k, 8), 16, 10).cast("bigint")
-    return (n.cast("double") + 0.5) / 4294967296.0
-
-
-def normal(seed: int, id_col: Column, name: str, k: int = 0) -> Column:
-    """Box–Muller standard normal from slices k and k + 1."""
-    u1, u2 = uniform(seed, id_col, name, k), uniform(seed, id_col, name, k + 1)
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
-
-
 # Draw layout: one md5 gives four 32-bit uniforms (slices 0..3).
 # Normal draws use two slices (k, k + 1); two numeric columns share one md5.
 _NUMERIC_ORDER = ["Age"] + FLOAT_NOISE_COLUMNS + INTEGER_NOISE_COLUMNS
@@ -68,21 +46,17 @@ UNIFORM_DRAWS = {
 }
 
 
-@dataclass
-class GroupParams:
-    key: tuple[str, str]
-    count: int
-    proportion: float
-    means: dict[str, float]
-    stds: dict[str, float]
-    probs: dict[str, float]
-    dists: dict[str, list[tuple[int, float]]]
-
-
 @dataclass
 class GenerationMetadata:
+    """What the generator needs. ``groups`` is a written table: the group keys,
+    cnt, proportion, mean / std (arrays over ``numeric``), p (over ``binary``),
+    cum / val (arrays over ``discrete`` of cumulative shares and values)."""
     output_columns: list[str]
-    groups: list[GroupParams]
+    groups: DataFrame
+    numeric: list[str]
+    binary: list[str]
+    discrete: list[str]
+    widths: dict[str, int]
     total: int
     bounds: dict[str, tuple[float, float]]
     global_means: dict[str, float]
@@ -91,7 +65,6 @@ class GenerationMetadata:
     date_max: date
     reference_year: int = 2026
     min_group_size: int = 10
-    extra: dict = field(default_factory=dict)
 
 
 def _pos_finite(x: Column) -> Column:
@@ -164,9 +137,8 @@ def discrete_distributions(treated: DataFrame, *, min_group_size: int = 10) -> D
 
 def prepare_generation_metadata(treated: DataFrame, grouped_mean: DataFrame, grouped_std: DataFrame, raw: DataFrame,
                                 *, min_group_size: int = 10, cfg: CampaignSchema = DEFAULT) -> GenerationMetadata:
-    """G1: everything the generator needs. The group frames hold one row per
-    Marital × Education cell; their size is checked before they are brought
-    to the driver as generator parameters."""
+    """G1: everything the generator needs. Group parameters and distributions
+    are joined and written as a table; scalars and array widths reach the driver."""
     output_columns = get_synthetic_output_columns(raw.columns)
     missing = set(output_columns) - set(treated.columns) - {"Dt_Customer"}
     if missing:
@@ -178,112 +150,102 @@ def prepare_generation_metadata(treated: DataFrame, grouped_mean: DataFrame, gro
     discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in output_columns]
     g = global_stats(treated)
     params = group_params_frame(treated, grouped_mean, grouped_std, min_group_size=min_group_size, global_row=g)
-    rows = params.orderBy(*GROUP_COLUMNS).limit(cfg.broadcast_row_limit + 1).collect()
-    if len(rows) > cfg.broadcast_row_limit:
-        raise ValueError(f"more than {cfg.broadcast_row_limit} group cells: too many for generator parameters")
-    dist_rows = discrete_distributions(treated, min_group_size=min_group_size).orderBy("column", *GROUP_COLUMNS, "v").collect()
-    dists: dict[tuple, dict[str, list]] = {}
-    for r in dist_rows:
-        dists.setdefault((r[GROUP_COLUMNS[0]], r[GROUP_COLUMNS[1]]), {}).setdefault(r["column"], []).append((int(r["v"]), r["cum"]))
+    listed = (discrete_distributions(treated, min_group_size=min_group_size).groupBy(*GROUP_COLUMNS, "column")
+              .agg(F.sort_array(F.collect_list(F.struct("v", "cum"))).alias("d"))  # an entry per distinct value
+              .groupBy(*[F.col(k).alias(f"__{k}") for k in GROUP_COLUMNS])
+              .agg(*[F.max(F.when(F.col("column") == c, F.col("d"))).alias(f"d_{c}") for c in discrete]))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in GROUP_COLUMNS]
+
+    def doubles(prefix: str, cols: list[str]) -> Column:
+        return F.array(*[F.col(f"{prefix}_{c}").cast("double") for c in cols])
+    path = shared_path(treated.sparkSession, "groups")
+    params.join(listed, same, "left").select(
+        *GROUP_COLUMNS, "cnt", "proportion", doubles("mean", numeric).alias("mean"), doubles("std", numeric).alias("std"),
+        doubles("p", binary).alias("p"), F.array(*[F.col(f"d_{c}.cum") for c in discrete]).alias("cum"),
+        F.array(*[F.col(f"d_{c}.v") for c in discrete]).alias("val")).write.parquet(path)
+    groups = treated.sparkSession.read.parquet(path)
+    widths = groups.agg(*[F.max(F.size(F.get("val", F.lit(j)))).alias(c) for j, c in enumerate(discrete)]).first().asDict()
     dts = raw.select(parse_dates_expr(raw, "Dt_Customer").alias("d")).agg(F.min("d").alias("a"), F.max("d").alias("b")).first()
-    groups = [
-        GroupParams(
-            (r[GROUP_COLUMNS[0]], r[GROUP_COLUMNS[1]]), int(r["cnt"]), r["proportion"],
-            {c: r[f"mean_{c}"] for c in numeric}, {c: r[f"std_{c}"] for c in numeric},
-            {c: r[f"p_{c}"] for c in binary},
-            {c: dists[(r[GROUP_COLUMNS[0]], r[GROUP_COLUMNS[1]])][c] for c in discrete},
-        )
-        for r in rows
-    ]
     return GenerationMetadata(
-        output_columns=output_columns, groups=groups, total=g["total"],
+        output_columns=output_columns, groups=groups, numeric=numeric, binary=binary, discrete=discrete, widths=widths, total=g["total"],
         bounds={c: (g[f"lo_{c}"], g[f"hi_{c}"]) for c in numeric},
         global_means={c: g[f"m_{c}"] for c in numeric}, global_stds={c: g[f"s_{c}"] for c in numeric},
         date_min=dts["a"], date_max=dts["b"], reference_year=cfg.reference_year, min_group_size=min_group_size,
     )
 
 
-def allocate_group_rows(groups: list[GroupParams], n_rows: int, total: int) -> list[int]:
+def allocate_group_rows(groups: DataFrame, n_rows: int, total: int) -> DataFrame:
     """Largest-remainder allocation in exact integers; ties in group order."""
-    base = [n_rows * g.count // total for g in groups]
-    rem = [n_rows * g.count % total for g in groups]
-    left = n_rows - sum(base)
-    order = sorted(range(len(groups)), key=lambda i: (-rem[i], groups[i].key))
-    for i in order[:left]:
-        base[i] += 1
-    return base
-
-
-def id_of_slot(slot: Column, multiplier: int, offset: int, n: int, wide: bool) -> Column:
-    """ID whose slot is (multiplier × (ID − 1) + offset) mod n. ``wide``
-    multiplies in decimals, for n² beyond 64 bits; both give the same."""
-    inverse = pow(multiplier, -1, n) if n > 1 else 0
-    back = F.pmod(slot - offset, F.lit(n))
-    if wide:
-        return ((back.cast("decimal(19,0)") * F.lit(inverse).cast("decimal(19,0)")) % F.lit(n).cast("decimal(19,0)")).cast("bigint") + 1
-    return (back * inverse) % n + 1
-
-
-#: Largest n whose products of two numbers below it fit in 64 bits.
-NARROW = 3_000_000_000
+    return allocate(groups, GROUP_COLUMNS, "cnt", n_rows, total)
+
+
 #: Pieces of slots per task; a task generates its pieces one after the other.
 PIECES = 16
 
 
-def slot_pieces(spark: SparkSession, metadata: GenerationMetadata, n_rows: int, parts: int) -> DataFrame:
-    """The group table, one row per piece of a group's slots: first and last
-    slot and the group's parameters as arrays (numeric columns, binary columns,
-    cumulative shares and values of the discrete ones)."""
-    numeric = list(metadata.bounds)
-    binary = [c for c in BINARY_COLUMNS if c in metadata.output_columns]
-    discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in metadata.output_columns]
+def slot_pieces(metadata: GenerationMetadata, n_rows: int, parts: int) -> DataFrame:
+    """The group table, one row per piece of a group's slots: the group's
+    parameters, first and last slot. Written in ``parts`` files, so that the
+    generator reads it without an exchange."""
     size = max(1, n_rows // (PIECES * parts))
-    rows, start = [], 0
-    for g, n in zip(metadata.groups, allocate_group_rows(metadata.groups, n_rows, metadata.total)):
-        params = ([g.means[c] for c in numeric], [g.stds[c] for c in numeric], [g.probs[c] for c in binary],
-                  [[float(p) for _, p in g.dists[c]] for c in discrete], [[int(v) for v, _ in g.dists[c]] for c in discrete])
-        rows += [(*g.key, at, min(at + size, start + n) - 1, *params) for at in range(start, start + n, size)]
-        start += n
-    return spark.createDataFrame(rows, "Marital_Status string, Education string, __from long, __to long, __mean array<double>, "
-                                       "__std array<double>, __p array<double>, __cum array<array<double>>, __val array<array<bigint>>")
+    owned = with_starts(allocate_group_rows(metadata.groups.select(*GROUP_COLUMNS, "cnt"), n_rows, metadata.total).drop("cnt"), GROUP_COLUMNS, "alloc")
+    owned = owned.where("alloc > 0").select(*[F.col(k).alias(f"__{k}") for k in GROUP_COLUMNS], "alloc", "start")
+    joined = metadata.groups.join(owned, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in GROUP_COLUMNS])
+    end = F.col("start") + F.col("alloc") - 1
+    cut = joined.select(*GROUP_COLUMNS, "mean", "std", "p", "cum", "val", end.alias("end"),
+                        F.explode(F.sequence("start", end, F.lit(size).cast("bigint"))).alias("from"))
+    path = shared_path(metadata.groups.sparkSession, "pieces")
+    (cut.withColumn("to", F.least(F.col("from") + size - 1, F.col("end"))).drop("end")
+     .repartition(parts, *GROUP_COLUMNS, "from").write.parquet(path))
+    return metadata.groups.sparkSession.read.parquet(path)
 
 
 def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_rows: int = 1_000_000,
                        random_state: int = 42, noise_scale: float = 1.0, num_partitions: int | None = None) -> DataFrame:
     """N synthetic customers. The group table, cut into pieces of
-    slots, is dealt to the tasks and expanded there without a shuffle; a row carries its group's
-    parameters as columns, so neither the plan nor the time per row grows with
-    the number of groups."""
+    slots, is expanded without a shuffle; a row carries its group's parameters
+    as columns, so neither the plan nor the time per row grows with the number
+    of groups. Discrete draws search their group's cumulative shares, so their
+    cost grows with the logarithm of the number of distinct values."""
     if n_rows <= 0:
         raise ValueError("n_rows must be greater than zero.")
     if noise_scale < 0:
         raise ValueError("noise_scale must be non-negative.")
     md = metadata
     parts = num_partitions or max(spark.sparkContext.defaultParallelism, n_rows // 2_000_000 + 1)
-    params = ["Marital_Status", "Education", "__mean", "__std", "__p", "__cum", "__val"]
-    pieces = slot_pieces(spark, md, n_rows, parts)
+    pieces = slot_pieces(md, n_rows, parts)
     if num_partitions:
         pieces = pieces.coalesce(num_partitions)
-    slots = pieces.select(*params, F.explode(F.sequence("__from", "__to")).alias("__slot"))
-    rng = slots.select(*params, id_of_slot(F.col("__slot"), slot_multiplier(n_rows), random_state % n_rows, n_rows, n_rows >= NARROW).alias("ID"))
+    params = [*GROUP_COLUMNS, "mean", "std", "p", "cum", "val"]
+    slots = pieces.select(*[F.col(c).alias(f"__{c}" if c not in GROUP_COLUMNS else c) for c in params],
+                          F.explode(F.sequence("from", "to")).alias("__slot"))
+    rng = Permutation(n_rows, random_state).add(slots, "__slot", "__id").withColumn("ID", F.col("__id") + 1)
+    params = [*GROUP_COLUMNS, "__mean", "__std", "__p"]
     # stage 1: each md5 once as a column; stage 2: its four 32-bit slices as
     # uniforms. The branchy output expressions then only read plain columns.
     draws = sorted({(nm, k) for nm, k0 in NORMAL_DRAWS.values() for k in (k0, k0 + 1)} | set(UNIFORM_DRAWS.values()))
     names = sorted({nm for nm, _ in draws})
-    hashed = rng.select(
-        "ID", *params, *[F.md5(F.concat_ws("|", F.lit(str(random_state)), F.col("ID").cast("string"), F.lit(nm))).alias(f"__h_{nm}")
-                       for nm in names])
-    base = hashed.select("ID", *params, *[
-        ((F.conv(F.substring(F.col(f"__h_{nm}"), 1 + 8 * k, 8), 16, 10).cast("bigint").cast("double") + 0.5) / 4294967296.0).alias(f"__u_{nm}_{k}")
-        for nm, k in draws])
+    def md5_of(nm: str) -> Column:
+        return F.md5(F.concat_ws("|", F.lit(str(random_state)), F.col("ID").cast("string"), F.lit(nm)))
+
+    def slice_of(h: Column, k: int) -> Column:
+        return (F.conv(F.substring(h, 1 + 8 * k, 8), 16, 10).cast("bigint").cast("double") + 0.5) / 4294967296.0
+
+    def drawn(c: str, j: int) -> Column:
+        """The first value whose cumulative share exceeds u. Drawn here, so that wide arrays go no further."""
+        name, k = UNIFORM_DRAWS[c]
+        val, below = F.get("__val", F.lit(j)), found_in(F.get("__cum", F.lit(j)), slice_of(md5_of(name), k), md.widths[c] or 1)
+        return F.get(val, F.least(below, F.size(val) - 1).cast("int"))
+    hashed = rng.select("ID", *params, *[md5_of(nm).alias(f"__h_{nm}") for nm in names],
+                        *[drawn(c, j).alias(c) for j, c in enumerate(md.discrete)])
+    base = hashed.select("ID", *params, *md.discrete, *[slice_of(F.col(f"__h_{nm}"), k).alias(f"__u_{nm}_{k}") for nm, k in draws])
 
     def u_col(nm: str, k: int) -> Column:
         return F.col(f"__u_{nm}_{k}")
-    numeric = list(md.bounds)
-    cols: dict[str, Column] = {c: F.col(c) for c in ("ID", "Marital_Status", "Education")}
+    cols: dict[str, Column] = {c: F.col(c) for c in ("ID", *GROUP_COLUMNS, *md.discrete)}
 
     def noisy(c: str) -> Column:
-        j = F.lit(numeric.index(c))
+        j = F.lit(md.numeric.index(c))
         mean, std = F.get("__mean", j), F.get("__std", j) * noise_scale
         lo, hi = md.bounds[c]
         name, k = NORMAL_DRAWS[c]
@@ -301,20 +263,18 @@ def generate_synthetic(spark: SparkSession, metadata: GenerationMetadata, *, n_r
     for c in INTEGER_NOISE_COLUMNS:
         if c in md.output_columns:
             cols[c] = F.rint(noisy(c)).cast("bigint")
-    discrete = [c for c in DISCRETE_EMPIRICAL_COLUMNS if c in md.output_columns]
-    for j, c in enumerate(discrete):
-        # inverse CDF: the first value whose cumulative share exceeds u; places
-        # beyond a group's own values are null and don't count
-        u = u_col(*UNIFORM_DRAWS[c])
-        cum, val = F.get("__cum", F.lit(j)), F.get("__val", F.lit(j))
-        width = max(len(g.dists[c]) for g in md.groups)
-        below = sum((F.when(F.get(cum, F.lit(x)) <= u, 1).otherwise(0) for x in range(width)), F.lit(0))
-        cols[c] = F.get(val, F.least(below, F.size(val) - 1).cast("int"))
-    for j, c in enumerate(c for c in BINARY_COLUMNS if c in md.output_columns):
+    for j, c in enumerate(md.binary):
         cols[c] = F.when(u_col(*UNIFORM_DRAWS[c]) < F.get("__p", F.lit(j)), 1).otherwise(0).cast("bigint")
     return base.select(*[cols[c].alias(c) for c in md.output_columns])
 
 
+def with_index(df: DataFrame) -> DataFrame:
+    """The rows numbered from 0 by ID in a first column ``index``."""
+    if "ID" not in df.columns:
+        raise ValueError("an index needs the column ID")
+    return with_starts(df.withColumn("__one", F.lit(1).cast("bigint")), ["ID"], "__one", "index").select("index", *df.columns)
+
+
 def write_synthetic_dataset(df: DataFrame, output_path: str, *, file_format: str = "parquet", mode: str = "overwrite") -> dict:
     """Write as parquet or csv (header); other formats → ValueError.
     Returns path, rows and size in MB (rows counted from the written files)."""

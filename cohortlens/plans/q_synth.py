@@ -8,6 +8,7 @@ from cohortlens.config import (
     BINARY_COLUMNS, DEFAULT, DISCRETE_EMPIRICAL_COLUMNS, FLOAT_NOISE_COLUMNS, GROUP_COLUMNS,
     INTEGER_NOISE_COLUMNS, METRIC_COMPARISON_COLUMNS, RAW_COLUMNS,
 )
+from cohortlens.functions.permutation import sql_pass
 from cohortlens.operators import stats, synth
 from cohortlens.plans import sql as S
 from cohortlens.plans.registry import add, materialized, raw, treated
@@ -117,16 +118,17 @@ def synth_ctes() -> list[str]:
         GL, GC, GP, *_dist_ctes(),
         "dts AS (SELECT min(Dt_Customer) AS dmin, max(Dt_Customer) AS dmax FROM raw)",
         f"nn AS (SELECT {EXPANSION} * count(*) AS n FROM treated)",
-        f"mult AS (SELECT min(x) AS a FROM (SELECT unnest(generate_series(CAST(ceil({synth.GOLDEN} * n) AS BIGINT), "
-        f"CAST(ceil({synth.GOLDEN} * n) AS BIGINT) + 1000)) AS x, n FROM nn) WHERE gcd(x, n) = 1)",
         "al AS (SELECT gc.Marital_Status, gc.Education, nn.n * gc.cnt // gl.total AS base_alloc, (nn.n * gc.cnt) % gl.total AS rem FROM gc, gl, nn)",
         "al2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, Marital_Status, Education) AS rn, "
         "(SELECT n FROM nn) - sum(base_alloc) OVER () AS left_over FROM al)",
         "alloc AS (SELECT Marital_Status, Education, CAST(base_alloc + CASE WHEN rn <= left_over THEN 1 ELSE 0 END AS BIGINT) AS alloc FROM al2)",
         "starts AS (SELECT a.Marital_Status, a.Education, a.alloc, sum(a.alloc) OVER (ORDER BY a.Marital_Status, a.Education "
         "ROWS UNBOUNDED PRECEDING) - a.alloc AS start FROM alloc a WHERE a.alloc > 0)",
-        "ids AS (SELECT CAST(unnest(generate_series(0, n - 1)) AS BIGINT) AS i FROM nn)",
-        f"slots AS (SELECT i + 1 AS ID, (m.a * i + {SEED} % nn.n) % nn.n AS slot FROM ids, mult m, nn)",
+        "sides AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM nn))",
+        "ids AS (SELECT CAST(unnest(generate_series(0, n - 1)) AS BIGINT) AS slot FROM nn)",
+        f"walk(slot, x) AS (SELECT slot, y FROM (SELECT slot, {sql_pass('slot', 'a', 'b', SEED)} FROM ids, sides) "
+        f"UNION ALL SELECT slot, y FROM (SELECT slot, {sql_pass('x', 'a', 'b', SEED)} FROM walk, sides WHERE x >= n))",
+        "slots AS (SELECT slot, x + 1 AS ID FROM walk, nn WHERE x < n)",
         "rws AS (SELECT s.ID, p.* FROM slots s JOIN starts st ON s.slot >= st.start AND s.slot < st.start + st.alloc "
         "JOIN gpar p ON p.Marital_Status = st.Marital_Status AND p.Education = st.Education)",
         f"syn AS (SELECT {', '.join(outs)} FROM rws r, gl, dts)",
@@ -154,17 +156,21 @@ add("noise_params", lambda s, d: params(s, d).select(*GROUP_COLUMNS, F.explode(F
     f"SELECT Marital_Status, Education, '{c}' AS \"column\", {R6(f'mean_{c}')} AS mean, {R6(f'std_{c}')} AS std FROM gpar" for c in NUMERIC)))
 
 
-def allocation(s, d):
-    md = metadata(s, d)
-    rows = [(g.key[0], g.key[1], g.count, a) for g, a in zip(md.groups, synth.allocate_group_rows(md.groups, EXPANSION * md.total, md.total))]
-    alloc = s.createDataFrame(rows, "Marital_Status string, Education string, cnt long, alloc long")
-    # joined back to the group counts so the result stays a function of the data
-    return synth.group_proportions(treated(s, d)).join(alloc.drop("cnt"), GROUP_COLUMNS).select(*GROUP_COLUMNS, "count", "alloc")
+def allocation(s, d, rows=lambda total: EXPANSION * total):
+    counts = synth.group_proportions(treated(s, d)).select(*GROUP_COLUMNS, F.col("count").alias("cnt"))
+    total = treated(s, d).count()
+    out = synth.allocate_group_rows(counts, rows(total), total)
+    return out.select(*GROUP_COLUMNS, F.col("cnt").alias("count"), "alloc")
 
 
 add("allocation", allocation, sel(
     "SELECT gc.Marital_Status, gc.Education, gc.cnt AS count, a.alloc FROM gc JOIN alloc a "
     "ON gc.Marital_Status = a.Marital_Status AND gc.Education = a.Education"))
+# 7/3 of the rows: most groups have a remainder, and some tie
+add("allocation_uneven", lambda s, d: allocation(s, d, lambda total: 7 * total // 3), sel(
+    "SELECT Marital_Status, Education, cnt AS count, CAST(base + CASE WHEN row_number() OVER (ORDER BY rem DESC, Marital_Status, Education) "
+    "<= m - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS alloc FROM (SELECT gc.Marital_Status, gc.Education, gc.cnt, m, "
+    "m * gc.cnt // total AS base, (m * gc.cnt) % total AS rem FROM gc, (SELECT total, 7 * total // 3 AS m FROM gl))"))
 add("synthetic", synthetic, sel("SELECT * FROM syn"))
 add("validate_synthetic", lambda s, d: synth.validate_synthetic(synthetic(s, d), raw(s, d), expected_rows=EXPANSION * treated(s, d).count()),
     sel(

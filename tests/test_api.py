@@ -40,12 +40,22 @@ def test_dashboard_names(spark):
     for f in (api.spend_vs_income_scatter, api.channel_web_visits_vs_purchases):
         assert f(t).count() == n
     assert api.campaign_recency_vs_response(t).count() == t.select("Response").distinct().count()
-    for f in (api.cluster_3d_scatter, api.cluster_pairwise_2d, api.segments_parallel_coords):
+    for f in (api.cluster_3d_scatter, api.segments_parallel_coords):
         assert f(seg).count() == n
     cid = seg.first()["ID"]
     assert api.lookup_3d_highlight(seg, cid).where("highlight").first()["ID"] == cid
 
 
-def test_signatures(spark, tmp_path):
-    with pytest.raises(ValueError):
-        api.write_synthetic_dataset(spark.range(1), str(tmp_path / "x"), index=True)
+def test_plot_arguments(spark):
+    seg = segmented(spark, SF)
+    first = seg.orderBy("ID").first()
+
+    def row(df):
+        return df.where(f"ID = {first.ID}").first()
+    assert row(api.spend_vs_income_scatter(seg)).color == first.Highest_Spent
+    assert row(api.spend_vs_income_scatter(seg, color_by="Education")).color == first.Education
+    assert row(api.cluster_3d_scatter(seg)).color == first.Segmentation
+    assert row(api.cluster_3d_scatter(seg, "Cluster_Recency")).color == str(first.Cluster_Recency)
+    two = row(api.cluster_pairwise_2d(seg, "Recency", "Total_Spent", color_by="Cluster_Monetary"))
+    assert (two.x, two.y, two.color) == (first.Recency, first.Total_Spent, str(first.Cluster_Monetary))
+    assert row(api.lookup_3d_highlight(seg, first.ID, color_by="Cluster_Frequency")).color == str(first.Cluster_Frequency)
