@@ -32,6 +32,8 @@ WIDE, SIGNS = 8, 256
 PHRASE_END, PHRASE_WORDS = ".,;:!?", 16
 #: Rows of an output batch.
 ROWS_OUT = 512
+#: Ranges of ids per shuffle partition; with several, partitions come out even.
+BUCKETS = 4
 #: Sums that a task of ``merged`` holds before it passes them on.
 GROUPS_HELD = 4096
 
@@ -159,7 +161,7 @@ def _in_order(src: DataFrame) -> DataFrame | None:
     Rows equal in id and text are one row with a count."""
     spark = src.sparkSession
     keys = cut(src.groupBy("doc_id", "h").agg(F.count("*").alias("n")))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     firsts = (keys.repartitionByRange(buckets, "doc_id", "h").groupBy(F.spark_partition_id().alias("p"))
               .agg(F.min(F.struct("doc_id", "h")).alias("first")).collect())  # a row per bucket
     bounds = sorted((r["first"]["doc_id"] is not None, r["first"]["doc_id"], r["first"]["h"]) for r in firsts)
