@@ -100,9 +100,23 @@ def segment_scorecard(segment_df: DataFrame, baseline_df: DataFrame) -> dict:
     return out
 
 
+_PROFILES: dict[tuple, DataFrame] = {}
+
+
+def _profile(df: DataFrame) -> DataFrame:
+    """The segment profile of a segmented table, written on the first lookup
+    in it; later lookups read its few rows."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    if key not in _PROFILES:
+        path = io.shared_path(df.sparkSession, "segment_profile")
+        lookup.segment_profile(df).write.parquet(path)
+        _PROFILES[key] = df.sparkSession.read.parquet(path)
+    return _PROFILES[key]
+
+
 def lookup_kpis(df: DataFrame, customer_id: int) -> dict:
-    reports.customer_row(df, customer_id)  # KeyError when absent
-    return lookup.lookup_kpis(df).where(F.col("id") == customer_id).first().asDict()
+    one = reports.customer_row(df, customer_id)  # KeyError when absent
+    return lookup.lookup_kpis(one, _profile(df)).first().asDict()
 
 
 def spend_product_share(df: DataFrame) -> DataFrame:
@@ -148,8 +162,7 @@ def lookup_channels_vs_segment(df: DataFrame, customer_id: int) -> DataFrame:
 
 
 def lookup_radar(df: DataFrame, customer_id: int) -> DataFrame:
-    reports.customer_row(df, customer_id)
-    return lookup.lookup_radar(df).where(F.col("ID") == customer_id)
+    return lookup.lookup_radar(reports.customer_row(df, customer_id), _profile(df))
 
 
 def demo_age_hist(df: DataFrame) -> DataFrame:

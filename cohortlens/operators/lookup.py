@@ -47,16 +47,34 @@ def _segment_and_population_medians(df: DataFrame, cols) -> DataFrame:
     return med.groupBy("__key").agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(c) for c in cols])
 
 
-def lookup_kpis(seg: DataFrame) -> DataFrame:
-    """L1: profile, scores and segment / population medians for every customer."""
-    cols = [c for _, c in MEDIAN_MEASURES]
-    both = _segment_and_population_medians(seg, cols)
-    seg_med = both.where(F.col("__key") != POPULATION).select(
-        F.col("__key").alias("Segmentation"), *[F.round(F.col(c), 6).alias(f"{k}_seg_median") for k, c in MEDIAN_MEASURES])
-    pop = both.where(F.col("__key") == POPULATION).select(
-        F.struct(*[F.round(F.col(c), 6).alias(k) for k, c in MEDIAN_MEASURES]).alias("s")).scalar()
-    max_dt = seg.select(F.max("Dt_Customer")).scalar()
-    j = seg.join(F.broadcast(seg_med), "Segmentation", "left")
+def segment_profile(seg: DataFrame) -> DataFrame:
+    """What the lookups compare a customer with: a row per segment and one for
+    the population (``__key``), with the medians of all lookup measures, and on
+    the population's row the latest enrollment and the bounds of the radar
+    features. Made once per segmented table and kept; lookups only read it."""
+    work = with_campaigns_accepted(seg)
+    cols = list(dict.fromkeys([*[c for _, c in MEDIAN_MEASURES], *RADAR_FEATURES]))
+    medians = _segment_and_population_medians(work, cols)
+    whole = work.agg(F.max("Dt_Customer").alias("max_dt"), *[F.min(F.col(f).cast("double")).alias(f"lo_{f}") for f in RADAR_FEATURES],
+                     *[F.max(F.col(f).cast("double")).alias(f"hi_{f}") for f in RADAR_FEATURES]).withColumn("__pop", F.lit(POPULATION))
+    return medians.join(whole, F.col("__key") == F.col("__pop"), "left").drop("__pop")
+
+
+def _population(profile: DataFrame) -> Column:
+    return profile.where(F.col("__key") == POPULATION).select(F.struct(*[c for c in profile.columns if c != "__key"]).alias("p")).scalar()
+
+
+def _of_segment(profile: DataFrame, cols) -> DataFrame:
+    """The segments' rows, at most one per segment name."""
+    return profile.where(F.col("__key") != POPULATION).select(F.col("__key").alias("Segmentation"), *[F.col(c).alias(f"sm_{c}") for c in cols])
+
+
+def lookup_kpis(seg: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    """L1: profile, scores and segment / population medians for every customer
+    of ``seg``; ``profile`` is that of the whole table (default: of ``seg``)."""
+    profile = segment_profile(seg) if profile is None else profile
+    pop, max_dt = _population(profile), _population(profile)["max_dt"]
+    j = seg.join(F.broadcast(_of_segment(profile, [c for _, c in MEDIAN_MEASURES])), "Segmentation", "left")
     return j.select(
         F.col("ID").alias("id"), F.col("Age").alias("age"), F.col("Income").alias("income"),
         F.col("Education").alias("education"), F.col("Marital_Status").alias("marital_status"),
@@ -69,8 +87,8 @@ def lookup_kpis(seg: DataFrame) -> DataFrame:
         F.col("Total_Spent").cast("double").alias("monetary"), F.col("Monetary_Score").alias("monetary_score"),
         F.col("RMF_Score").alias("rfm_score"), F.col("APV").alias("apv"),
         null_safe_sum(CAMPAIGN_COLUMNS).cast("bigint").alias("campaigns_accepted"),
-        *[F.col(f"{k}_seg_median") for k, _ in MEDIAN_MEASURES],
-        *[pop[k].alias(f"{k}_pop_median") for k, _ in MEDIAN_MEASURES],
+        *[F.col(f"sm_{c}").alias(f"{k}_seg_median") for k, c in MEDIAN_MEASURES],
+        *[pop[c].alias(f"{k}_pop_median") for k, c in MEDIAN_MEASURES],
     )
 
 
@@ -88,27 +106,21 @@ def campaign_flags(seg: DataFrame) -> DataFrame:
         "ID", "campaigns_accepted", "kv.*")
 
 
-def lookup_radar(seg: DataFrame) -> DataFrame:
+def lookup_radar(seg: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """L4: six radar features for each customer, their segment median and the
     population median, min–max scaled by the population (zero range → 1),
-    Recency inverted so that higher reads better."""
+    Recency inverted so that higher reads better. ``profile`` as in L1."""
     work = with_campaigns_accepted(seg)
-    both = _segment_and_population_medians(work, RADAR_FEATURES)
-    seg_med = both.where(F.col("__key") != POPULATION).withColumnRenamed("__key", "Segmentation")
-    pop_med = both.where(F.col("__key") == POPULATION).drop("__key")
-    bounds = work.agg(*[F.min(F.col(f).cast("double")).alias(f"lo_{f}") for f in RADAR_FEATURES],
-                      *[F.max(F.col(f).cast("double")).alias(f"hi_{f}") for f in RADAR_FEATURES])
-    stats = bounds.select(F.struct("*").alias("b")).scalar()
-    pop = pop_med.select(F.struct("*").alias("p")).scalar()
+    profile = segment_profile(seg) if profile is None else profile
+    pop = _population(profile)
 
     def norm(f: str, v: Column) -> Column:
-        lo, hi = stats[f"lo_{f}"], stats[f"hi_{f}"]
+        lo, hi = pop[f"lo_{f}"], pop[f"hi_{f}"]
         rng = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
         x = (v - lo) / rng
-        return F.round(1 - x if f == "Recency" else x, 6)
+        return 1 - x if f == "Recency" else x
 
-    sm = seg_med.select("Segmentation", *[F.col(f).alias(f"sm_{f}") for f in RADAR_FEATURES])
-    j = work.join(F.broadcast(sm), "Segmentation", "left")
+    j = work.join(F.broadcast(_of_segment(profile, RADAR_FEATURES)), "Segmentation", "left")
     pairs = [(f, F.struct(norm(f, F.col(f).cast("double")).alias("customer"),
                           norm(f, F.col(f"sm_{f}")).alias("segment_median"),
                           norm(f, pop[f]).alias("population_median"))) for f in RADAR_FEATURES]

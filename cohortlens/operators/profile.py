@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import half_even, unpivot_exprs
-from cohortlens.functions.quantiles import quantile_wide, quantiles_scalar
+from cohortlens.functions.quantiles import GROUPS, SALT, quantile_wide, quantiles_scalar
+from cohortlens.session import ensure_checkpoint_dir
 
 
 def _long(wide: DataFrame, pairs, key: str = "column") -> DataFrame:
@@ -28,18 +29,49 @@ def table_overview(df: DataFrame) -> DataFrame:
                   nulls.cast("bigint").alias("n_nulls"))
 
 
+#: Integer columns up to this range are counted in bitmaps (512 bitmaps of 4 KB).
+BITMAP_RANGE = 1 << 24
+
+
+def _distinct_counts(df: DataFrame, bitmaps: Sequence[str]) -> DataFrame:
+    """column, distinct (non-null values), for all columns in one pass.
+
+    Each row gives one (column, value) pair per column. Of the ``bitmaps``
+    columns, pairs are added up in bitmaps of 32,768 values before they are
+    exchanged; of the others, equal pairs are merged before they are exchanged
+    and dealt by column and value, so a large column is not one task's."""
+    rest = [c for c in df.columns if c not in bitmaps]
+    parts = []
+    if bitmaps:
+        pair = df.select(unpivot_exprs([(c, F.col(c).cast("bigint")) for c in bitmaps], "column", "v").alias("kv")).select("kv.*").where("v IS NOT NULL")
+        cells = pair.groupBy("column", F.bitmap_bucket_number("v").alias("b")).agg(
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("v"))).alias("n"))
+        parts.append(cells.groupBy("column").agg(F.sum("n").alias("distinct")))
+    if rest:
+        pair = df.select(unpivot_exprs([(c, F.col(c).cast("string")) for c in rest], "column", "v").alias("kv")).select("kv.*").where("v IS NOT NULL")
+        parts.append(pair.distinct().groupBy("column").agg(F.count("*").alias("distinct")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Type, distinct non-null values, nulls, % nulls (2 dp) per column.
     ``approx`` swaps the exact distinct count for HyperLogLog++ on very wide
     or high-cardinality tables."""
-    n = F.count(F.lit(1))
-    aggs = [n.alias("__n")]
-    for c in df.columns:
-        d = F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
-        aggs += [d.alias(f"d_{c}"), F.sum(F.col(c).isNull().cast("bigint")).alias(f"n_{c}")]
-    wide = df.agg(*aggs)
     types = dict(df.dtypes)
-    pairs = [(c, F.struct(F.lit(types[c]).alias("Type"), F.col(f"d_{c}").cast("bigint").alias("Unique_Values"),
+    whole = [] if approx else [c for c in df.columns if types[c] in ("bigint", "int", "smallint", "tinyint")]
+    aggs = [F.count(F.lit(1)).alias("__n"), *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"n_{c}") for c in df.columns],
+            *[F.approx_count_distinct(c).alias(f"d_{c}") for c in df.columns if approx],
+            *[(F.max(c).cast("decimal(20,0)") - F.min(c)).alias(f"r_{c}") for c in whole]]
+    wide = df.agg(*aggs)
+    if approx:
+        distinct = {c: F.col(f"d_{c}") for c in df.columns}
+    else:
+        one = wide.first()
+        wide = df.sparkSession.createDataFrame([one], wide.schema)
+        counts = _distinct_counts(df, [c for c in whole if one[f"r_{c}"] is not None and one[f"r_{c}"] < BITMAP_RANGE])
+        found = counts.agg(F.map_from_entries(F.collect_list(F.struct("column", "distinct"))).alias("m")).scalar()  # a row per column
+        distinct = {c: F.coalesce(found[c], F.lit(0)) for c in df.columns}
+    pairs = [(c, F.struct(F.lit(types[c]).alias("Type"), distinct[c].cast("bigint").alias("Unique_Values"),
                           F.col(f"n_{c}").alias("Nulls"),
                           half_even(F.col(f"n_{c}") * 100 / F.col("__n"), 2).alias("Pct_Nulls"))) for c in df.columns]
     return _long(wide, pairs, "Column")
@@ -130,15 +162,25 @@ def box_outliers(df: DataFrame, column: str, id_col: str = "ID") -> DataFrame:
 
 
 def box_stats_by(df: DataFrame, column: str, by: str) -> DataFrame:
-    """P7 per group (e.g. Recency by Response): group quartiles are joined
-    back as a broadcast of one row per group."""
+    """P7 per group (e.g. Recency by Response). The groups' quartiles are
+    counted; up to GROUPS groups are read as one map, so that no row is
+    exchanged, more are joined with both sides salted. A null group is left out."""
+    ensure_checkpoint_dir(df.sparkSession)
     q = quantile_wide(df, column, [0.25, 0.5, 0.75], [by], ["q1", "median", "q3"])
-    q = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
-                 (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
-    v = F.col(column).cast("double")
-    j = df.select(by, column).join(q, by)  # one row per group; AQE picks broadcast when small
+    names = ["q1", "median", "q3", "lower_fence", "upper_fence"]
+    q = q.select(F.col(by).alias("__by"), "q1", "median", "q3", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
+                 (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_fence")).where("__by IS NOT NULL").checkpoint()
+    rows = df.select(F.col(by), F.col(column).cast("double").alias("__v"))
+    if q.count() <= GROUPS:
+        entry = F.struct("__by", F.struct(*names).alias("q"))
+        fences = q.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+        j = rows.where(F.col(by).isNotNull()).withColumn("__q", fences[F.col(by)]).select(by, "__v", *[F.col(f"__q.{n}").alias(n) for n in names])
+    else:
+        q = q.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALT - 1).cast("bigint"))))
+        j = rows.withColumn("__s", F.pmod(F.xxhash64("__v"), F.lit(SALT))).join(q, (F.col(by) == F.col("__by")) & (F.col("__s") == F.col("__salt")))
+    v = F.col("__v")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    return j.groupBy(by, "q1", "median", "q3", "lower_fence", "upper_fence").agg(
+    return j.groupBy(by, *names).agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
         F.sum(F.when(~inside, 1).otherwise(0)).cast("bigint").alias("n_outliers"),
     )
@@ -172,23 +214,30 @@ def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
 
 
 KDE_POINTS = 64
+#: Bandwidths beyond which a kernel counts as 0: exp(-9.2²/2) < 1e-18.
+CUTOFF = 9.2
 
 
 def kde_grid(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
     """P10: Gaussian KDE evaluated on a fixed grid over [min, max]; Scott
-    bandwidth σ·n^(−1/5). Evaluated on the value histogram: each distinct
-    value fans out to the bounded grid, then one aggregate per grid point."""
+    bandwidth σ·n^(−1/5). Exact: every row adds to the points of the grid
+    within CUTOFF bandwidths (beyond it a kernel is below 1e-18 of its peak),
+    and the tasks' partial sums, ``points`` numbers each, are all that is
+    exchanged."""
     v = F.col(column).cast("double")
     st = df.where(v.isNotNull()).select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"),
                                                  F.stddev_samp(v).alias("sd"))).scalar()
     lo, hi, n, sd = st["lo"], st["hi"], st["n"], st["sd"]
     h = sd * F.pow(n, F.lit(-0.2))
-    hist = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    grid = F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint"))
-    ex = hist.select("v", "w", F.explode(grid).alias("point"))
+    step = (hi - lo) / (points - 1)
+    first = F.greatest(F.ceil((v - lo - CUTOFF * h) / step), F.lit(0).cast("bigint"))
+    last = F.least(F.floor((v - lo + CUTOFF * h) / step), F.lit(points - 1).cast("bigint"))
+    near = F.when(step > 0, F.when(first <= last, F.sequence(first, last))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint")))
+    ex = df.where(v.isNotNull()).select(v.alias("v"), F.explode(near).alias("point"))
     xj = lo + (hi - lo) * F.col("point") / (points - 1)
-    k = F.col("w") * F.exp(-0.5 * F.pow((xj - F.col("v")) / h, 2))
-    agg = ex.groupBy("point").agg(F.sum(k).alias("k"))
+    some = ex.groupBy("point").agg(F.sum(F.exp(-0.5 * F.pow((xj - F.col("v")) / h, 2))).alias("k"))
+    spine = df.sparkSession.range(points).select(F.col("id").alias("point"))  # points far from every value
+    agg = spine.join(some, "point", "left").select("point", F.coalesce("k", F.lit(0.0)).alias("k"))
     x = lo + (hi - lo) * F.col("point") / (points - 1)
     return agg.select(
         F.col("point").cast("bigint").alias("point"), x.alias("x"),

@@ -42,11 +42,11 @@ def filter_coverage(df: DataFrame, **kw) -> DataFrame:
 
 
 def customer_row(df: DataFrame, customer_id: int) -> DataFrame:
-    """one customer's row; ``KeyError`` when absent (one tiny action)."""
-    row = df.where(F.col("ID") == customer_id).limit(1)
-    if not row.take(1):
+    """one customer's row, read once; ``KeyError`` when absent."""
+    rows = df.where(F.col("ID") == customer_id).head(1)
+    if not rows:
         raise KeyError(f"Customer ID {customer_id} not found")
-    return row
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def eligible_ids(df: DataFrame, **kw) -> DataFrame:

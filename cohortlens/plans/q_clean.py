@@ -34,13 +34,15 @@ add("highest_spent", lambda s, d: eng(s, d).select("ID", "Highest_Spent"), sel("
 
 
 def parse_dates_roundtrip(s, d):
-    """Enrollment dates written as day-first text are parsed back, of
-    all customers that have one (a column with a null date can't be parsed)."""
-    text = raw(s, d).where(F.col("Dt_Customer").isNotNull()).withColumn("Dt_Customer", F.date_format("Dt_Customer", "dd-MM-yyyy"))
-    return clean.parse_customer_dates(text).select("ID", "Dt_Customer")
+    """Enrollment dates written as day-first text are parsed back. The
+    rule decides for the whole column of dates there are; a customer without
+    one (no order yet) keeps a null."""
+    text = raw(s, d).select("ID", F.date_format("Dt_Customer", "dd-MM-yyyy").alias("Dt_Customer"))
+    parsed = clean.parse_dates_expr(text.where(F.col("Dt_Customer").isNotNull()), "Dt_Customer")
+    return text.select("ID", F.when(F.col("Dt_Customer").isNotNull(), parsed).alias("Dt_Customer"))
 
 
-add("parse_dates", parse_dates_roundtrip, sel("SELECT ID, Dt_Customer FROM raw WHERE Dt_Customer IS NOT NULL"))
+add("parse_dates", parse_dates_roundtrip, sel("SELECT ID, Dt_Customer FROM raw"))
 add("age", lambda s, d: eng(s, d).select("ID", "Year_Birth", "Age"), sel("SELECT ID, Year_Birth, Age FROM eng"))
 add("treat_age", lambda s, d: aged(s, d).select("ID", "Age", "Total_Spent"), sel("SELECT ID, Age, Total_Spent FROM aged"))
 add("drop_income_outlier", lambda s, d: inc(s, d).select("ID", "Income"), sel("SELECT ID, Income FROM inc"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortlens.config import (
     ACTIONS, CAMPAIGN_COLUMNS, CAMPAIGN_LABELS, CHANNEL_COLUMNS, PERSONAS, PRODUCT_COLUMNS,
     RADAR_FEATURES, SEGMENT_ORDER, product_label,
 )
 from cohortlens.operators import lookup
 from cohortlens.plans import sql as S
-from cohortlens.plans.registry import add, segmented
+from cohortlens.plans.registry import add, segment_profile, segmented
 
 SB = S.seg_base()
 ACC = " + ".join(f"coalesce({c}, 0)" for c in CAMPAIGN_COLUMNS)
@@ -23,7 +25,17 @@ def U(parts) -> str:
 
 
 _med = lookup.MEDIAN_MEASURES
-add("lookup_kpis", lambda s, d: lookup.lookup_kpis(segmented(s, d)), sel(
+def lookup_kpis(s, d):
+    out = lookup.lookup_kpis(segmented(s, d), segment_profile(s, d))
+    return out.select(*[F.round(c, 6).alias(c) if c.endswith("_median") else c for c in out.columns])
+
+
+def lookup_radar(s, d):
+    out = lookup.lookup_radar(segmented(s, d), segment_profile(s, d))
+    return out.select("ID", "Segmentation", "feature", *[F.round(c, 6).alias(c) for c in out.columns[3:]])
+
+
+add("lookup_kpis", lookup_kpis, sel(
     "SELECT s.ID AS id, s.Age AS age, s.Income AS income, s.Education AS education, s.Marital_Status AS marital_status, "
     "s.Kidhome AS kidhome, s.Teenhome AS teenhome, s.Kidhome + s.Teenhome AS total_kids, s.Dt_Customer AS dt_customer, "
     "date_diff('day', s.Dt_Customer, (SELECT max(Dt_Customer) FROM segmented)) / 365.25 AS tenure_years, "
@@ -66,7 +78,7 @@ def _radar_sql() -> str:
     )
 
 
-add("lookup_radar", lambda s, d: lookup.lookup_radar(segmented(s, d)), _radar_sql())
+add("lookup_radar", lookup_radar, _radar_sql())
 
 
 def _vs_sql(cols, labels) -> str:

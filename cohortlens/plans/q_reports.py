@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import reports
 from cohortlens.plans import sql as S
-from cohortlens.plans.registry import add, segmented, treated
+from cohortlens.plans.registry import add, segmented, segmented_by_id, treated
 
 # A fixed, representative filter selection (the dashboard's multi-selects).
 EDU = ["Graduation", "PhD", "Master"]
@@ -33,10 +33,10 @@ add("filter_coverage", lambda s, d: reports.filter_coverage(treated(s, d), **FIL
 
 
 def customer_lookup(spark, sf_dir):
-    """the row of one customer (the smallest id present)."""
-    seg = segmented(spark, sf_dir)
-    first_id = seg.agg(F.min("ID")).first()[0]
-    return reports.customer_row(seg, first_id).select("ID", "Segmentation", "RMF_Score", "Total_Spent", "Recency")
+    """the row of one customer (the smallest id present), from its bucket."""
+    seg = segmented_by_id(spark, sf_dir)
+    first_id = treated(spark, sf_dir).agg(F.min("ID")).first()[0]
+    return seg.where(F.col("ID") == first_id).select("ID", "Segmentation", "RMF_Score", "Total_Spent", "Recency")
 
 
 add("customer_lookup", customer_lookup, ssel(

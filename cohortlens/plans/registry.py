@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -74,6 +75,30 @@ def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rfm(treated(spark, sf_dir), rfm_models(spark, sf_dir))
 
 
+def segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians and bounds that the lookups compare with, made once."""
+    from cohortlens.operators import lookup
+    return materialized(spark, sf_dir, "segment_profile", lambda: lookup.segment_profile(segmented(spark, sf_dir)))
+
+
+#: Customers per bucket of the lookup table.
+BUCKET_ROWS = 1_000_000
+
+
+def segmented_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segmented table bucketed and sorted by ID, so that a point lookup
+    reads one bucket, and of it the row groups around the ID."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "segmented_by_id")
+    if key not in _MEMO:
+        seg = segmented(spark, sf_dir)
+        buckets = max(8, seg.count() // BUCKET_ROWS)
+        name = f"cohortlens_segmented_{uuid.uuid4().hex}"
+        (seg.repartition(buckets, "ID").write.bucketBy(buckets, "ID").sortBy("ID")
+         .option("path", shared_path(spark, "base", "segmented_by_id")).saveAsTable(name))
+        _MEMO[key] = spark.table(name)
+    return _MEMO[key]
+
+
 @lru_cache(maxsize=1)
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the modules fills REGISTRY

@@ -1,6 +1,7 @@
 """Plan-shape checks: the properties the design relies on at scale."""
 
 from cohortlens.config import DEFAULT
+from cohortlens.functions.quantiles import quantile_wide
 from cohortlens.operators import clean, lookup, profile, stats, synth
 from cohortlens.plans.registry import raw, segmented, treated
 from cohortlens.sources.mart import raw_campaign
@@ -57,7 +58,73 @@ def test_base_tables_are_parquet_read_in_part(spark):
 def test_quantiles_exchange_counts_not_values(spark):
     """The only exchanges are of partial aggregates and what comes after them."""
     t = treated(spark, SF)
-    for df in (profile.describe_numeric(raw(spark, SF)), profile.box_stats_by(t, "Recency", "Response")):
+    for df in (profile.describe_numeric(raw(spark, SF)), quantile_wide(t, "Recency", [0.25, 0.5, 0.75], ["Response"])):
         lines = [x.strip(" :+-|") for x in plan(df).split("\n")]
         assert not any("SortMergeJoin" in x and "__b_" in x for x in lines)
         assert any("BroadcastHashJoin" in x and "__b_" in x for x in lines)
+
+
+def test_box_statistics_exchange_no_rows(spark):
+    """Groups' fences are read as a map: only partial aggregates are exchanged."""
+    t = treated(spark, SF)
+    for df in (profile.box_stats_by(t, "Recency", "Response"), profile.box_stats(t, ["Age", "Income"])):
+        p = plan(df)
+        assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p and "ShuffledHashJoin" not in p
+
+
+def test_box_statistics_beyond_the_map(spark, monkeypatch):
+    monkeypatch.setattr(profile, "GROUPS", 1)
+    t = treated(spark, SF)
+    many = profile.box_stats_by(t, "Recency", "Response")
+    assert "Join" in plan(many)
+    monkeypatch.undo()
+    assert many.exceptAll(profile.box_stats_by(t, "Recency", "Response")).count() == 0
+
+
+def test_distinct_counts_without_expand(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(5000).select(
+        F.col("id"), (F.col("id") % 7 - 3).alias("neg"), (F.col("id") * 10**15).alias("wide"), F.when(F.col("id") % 2 == 0, F.col("id") % 40_000).alias("some"),
+        F.lit(None).cast("bigint").alias("none"), (F.col("id") % 11 / 2).alias("real"), F.concat(F.lit("s"), F.col("id") % 13).alias("text"),
+        F.expr("date'2020-01-01' + int(id % 17)").alias("day"), (F.col("id") % 2 == 0).alias("flag"))
+    out = profile.column_profile(df)
+    assert {r.Column: r.Unique_Values for r in out.collect()} == {c: df.agg(F.count_distinct(c)).first()[0] for c in df.columns}
+    assert "Expand" not in plan(out) and "Expand" not in plan(profile._distinct_counts(df, ["id", "neg", "some"]))
+
+
+def test_kernel_density_is_exact_and_exchanges_no_values(spark):
+    import math
+    from pyspark.sql import functions as F
+    df = spark.range(300).select((F.col("id") * F.col("id") % 97 + F.when(F.col("id") == 0, 4000).otherwise(0)).cast("double").alias("v"))
+    xs = [r.v for r in df.collect()]
+    out = profile.kde_grid(df, "v").orderBy("point").collect()
+    n, mean = len(xs), sum(xs) / len(xs)
+    h = math.sqrt(sum((x - mean) ** 2 for x in xs) / (n - 1)) * n ** -0.2
+    for r in out:
+        at = min(xs) + (max(xs) - min(xs)) * r.point / 63
+        exact = sum(math.exp(-0.5 * ((at - x) / h) ** 2) for x in xs)
+        assert abs(r.kernel_sum - exact) <= 5.1e-7 + n * 1e-18
+    assert len(out) == 64 and "hashpartitioning(v" not in plan(profile.kde_grid(df, "v"))
+    same = spark.range(5).select(F.lit(2.0).alias("v"))
+    assert profile.kde_grid(same, "v").count() == 64
+
+
+def test_lookup_reads_one_bucket(spark):
+    from cohortlens.plans.registry import segmented_by_id
+    seg = segmented_by_id(spark, SF)
+    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"  # the plan names the buckets only without it
+    before = spark.conf.get(auto)
+    spark.conf.set(auto, "false")
+    try:
+        p = seg.where("ID = 5")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set(auto, before)
+    assert "SelectedBucketsCount: 1 out of 8" in p
+    assert seg.count() == segmented(spark, SF).count()
+
+
+def test_lookups_compute_no_medians(spark):
+    from cohortlens.plans.registry import load_all
+    for name in ("lookup_kpis", "lookup_radar"):
+        p = plan(load_all()[name][0](spark, SF))
+        assert "percentile" not in p and "Window" not in p, name
