@@ -53,7 +53,7 @@ def parse_dates_expr(df: DataFrame, column: str = "Dt_Customer") -> Column:
     All texts ISO → ISO, otherwise day first; if a value is left null, the
     whole column is tried again with the default parser; if one is still null
     (a null among them), ValueError. The decision is one aggregate. A streaming
-    source has no whole column to look at, so its dates must be typed.
+    source has no whole column to look at: :func:`split_by_date` takes its batches.
     """
     c = F.col(column)
     if dict(df.dtypes)[column] == "date":
@@ -75,6 +75,23 @@ def parse_dates_expr(df: DataFrame, column: str = "Dt_Customer") -> Column:
     raise ValueError(UNPARSED)
 
 
+def split_by_date(df: DataFrame, column: str = "Dt_Customer") -> tuple[DataFrame, DataFrame]:
+    """C6 for one batch of a stream: the rows with their dates parsed by the
+    whole-batch rule, and the rows for the dead-letter sink. Those are the rows
+    without a date that any format can read; and all rows of a batch whose
+    dates no single format can read."""
+    if dict(df.dtypes)[column] in ("date", "timestamp"):
+        return df.withColumn(column, F.to_date(column)), df.where("false")
+    text = F.col(column).cast("string")
+    known = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "d-M-yyyy"), F.try_to_date(text, "d/M/yyyy"),
+                       F.try_to_date(text)).isNotNull()
+    good = df.where(known)
+    try:
+        return good.withColumn(column, parse_dates_expr(good, column)), df.where(~known)
+    except ValueError:
+        return good.withColumn(column, F.lit(None).cast("date")).where("false"), df
+
+
 def parse_customer_dates(df: DataFrame, column: str = "Dt_Customer") -> DataFrame:
     """Enrollment date as DATE (day-first text in the raw file)."""
     return df.withColumn(column, parse_dates_expr(df, column))

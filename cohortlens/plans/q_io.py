@@ -48,6 +48,18 @@ def load_table_count(s, d):
     return t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("raw_data").alias("table"), "rows")
 
 
+def repeated_load(s, d):
+    """Customers loaded in two loads, the first of them twice as after a
+    failure; rows per load."""
+    io.create_dataset(s, DATASET + "_loads")
+    table = io.table_creation(s, SCHEMA_JSON, DATASET + "_loads", by_load=True)
+    rows = raw(s, d).select(*synth.get_synthetic_output_columns(RAW_COLUMNS))
+    io.load_table(rows.where("false"), table, mode="overwrite", load_id="none")
+    for load, part in (("even", 0), ("odd", 1), ("even", 0)):
+        io.load_table(rows.where(F.col("ID") % 2 == part), table, load_id=load)
+    return s.table(table).groupBy(F.col(io.LOAD_ID).alias("load")).agg(F.count("*").alias("rows"), F.count_distinct("ID").alias("customers"))
+
+
 def schema_type_counts(s, d):
     """Declared columns and loaded non-null values per declared type."""
     decl = io.schema_frame(s, SCHEMA_JSON)
@@ -70,6 +82,8 @@ add("csv_roundtrip", csv_roundtrip, S.with_ctes(*S.base(), select="SELECT * FROM
 add("parquet_roundtrip", parquet_roundtrip, S.with_ctes(*S.seg_base(), select="SELECT * FROM segmented"))
 add("synthetic_write", synthetic_write, SYN)
 add("schema_table", warehouse_table, SYN)
+add("repeated_load", repeated_load, S.with_ctes(S.mart(), select=
+    "SELECT CASE WHEN ID % 2 = 0 THEN 'even' ELSE 'odd' END AS load, count(*) AS rows, count(DISTINCT ID) AS customers FROM raw GROUP BY 1"))
 add("load_table_count", load_table_count,
     S.with_ctes(*S.base(), *q_synth.synth_ctes(), select="SELECT 'raw_data' AS \"table\", count(*) AS rows FROM syn"))
 _decl = {f["name"]: f["type"] for f in io.load_schema_fields(SCHEMA_JSON)}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortlens.config import DEFAULT
 from cohortlens.operators import rfm_ml
 from cohortlens.plans import sql as S
 from cohortlens.plans.registry import add, materialized, raw, rfm_models, treated
 from cohortlens.sources import io
-from cohortlens.streaming.scoring import run_scoring_stream
+from cohortlens.streaming.scoring import run_dated_scoring_stream, run_scoring_stream
 
 
 def rfm_search(s, d):
@@ -46,6 +48,16 @@ def score_new_stream(s, d):
     return s.read.parquet(sink)
 
 
+def score_stream_dates(s, d):
+    """C6 / R11 on a stream whose dates are day-first text; customers without
+    a date end in the dead-letter sink."""
+    r = raw(s, d).withColumn("Dt_Customer", F.date_format("Dt_Customer", "dd-MM-yyyy"))
+    src = io.write_parquet(r, io.shared_path(s, "incoming_text"))
+    sink, dead = io.shared_path(s, "scored_dates"), io.shared_path(s, "dead_letters")
+    run_dated_scoring_stream(s, src, r.schema, saved_models(s, d), sink, dead, io.shared_path(s, "stream_ckpt"))
+    return s.read.parquet(sink).select("ID", "RMF_Score", "Segmentation", "Dt_Customer")
+
+
 def _score_sql() -> str:
     comps = DEFAULT.rfm_components
     k = DEFAULT.rfm_k
@@ -71,3 +83,6 @@ add("rfm_kmeans_ml", rfm_kmeans_ml)
 add("model_roundtrip", model_roundtrip)
 add("score_new", score_new, _score_sql())
 add("score_new_stream", score_new_stream, _score_sql())
+add("score_stream_dates", score_stream_dates, _score_sql().replace("SELECT s.ID,", "SELECT * EXCLUDE (Cluster_Frequency, Cluster_Monetary, "
+    "Cluster_Recency, Frequency_Score, Recency_Score, Monetary_Score) FROM (SELECT r.Dt_Customer, s.ID,").replace(
+    " FROM sc0 s ", " FROM sc0 s JOIN raw r ON r.ID = s.ID AND r.Dt_Customer IS NOT NULL ") + ")")

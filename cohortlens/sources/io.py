@@ -2,7 +2,7 @@
 
 Everything written lands under a shared location: the session's
 ``spark.checkpoint.dir`` (the cluster's shared folder) unless the caller names
-a path. No machine-local temporary folders are used.
+a path. Only a local master without that setting gets a temporary folder.
 """
 
 from __future__ import annotations
@@ -85,9 +85,14 @@ def _sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def table_creation(spark: SparkSession, json_file: str | Path, dataset: str, location: str | None = None) -> str:
+#: Partition column of a table that keeps its loads apart.
+LOAD_ID = "_load_id"
+
+
+def table_creation(spark: SparkSession, json_file: str | Path, dataset: str, location: str | None = None, by_load: bool = False) -> str:
     """Create ``dataset.<file stem>`` from the JSON schema when absent;
-    an existing table is left as it is. Errors propagate."""
+    an existing table is left as it is. Errors propagate. ``by_load`` adds the
+    partition column that :func:`load_table` needs for repeatable loads."""
     name = Path(json_file).stem
     full = f"`{dataset}`.`{name}`"
     if spark.catalog.tableExists(f"{dataset}.{name}"):
@@ -99,21 +104,39 @@ def table_creation(spark: SparkSession, json_file: str | Path, dataset: str, loc
         for f in schema.fields
     )
     loc = location or shared_path(spark, "warehouse", dataset, name)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet LOCATION '{loc}'")
+    part = f", `{LOAD_ID}` STRING) USING parquet PARTITIONED BY (`{LOAD_ID}`)" if by_load else ") USING parquet"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}{part} LOCATION '{loc}'")
     return full
 
 
-def load_table(df: DataFrame, table: str, mode: str = "append") -> int:
+def load_table(df: DataFrame, table: str, mode: str = "append", load_id: str | None = None) -> int:
     """Cast to the table's declared schema (timestamps → dates) and
-    append (the service default) or overwrite; returns the table row count."""
+    append (the service default) or overwrite; returns the table row count.
+
+    An append that is run again after a failure would leave its rows twice. A
+    table created ``by_load`` takes a ``load_id``: the rows go to that load's
+    partition and replace what an earlier run of the same load left there,
+    while other loads stay (``append``) or go (``overwrite``)."""
     spark = df.sparkSession
     target = spark.table(table).schema
+    if (load_id is not None) != (LOAD_ID in target.names):
+        raise ValueError(f"{table} {'needs' if load_id is None else 'takes no'} load_id")
     cols = []
     for f in target.fields:
+        if f.name == LOAD_ID:
+            cols.append(F.lit(load_id).alias(LOAD_ID))
+            continue
         c = F.col(f.name)
         if isinstance(f.dataType, T.DateType):
             c = F.to_date(c)
         cols.append(c.cast(f.dataType).alias(f.name))
-    df.select(*cols).write.insertInto(table, overwrite=(mode == "overwrite"))
+    rows = df.select(*cols)
+    if load_id is not None and mode == "append":
+        view = f"load_{uuid.uuid4().hex}"
+        rows.drop(LOAD_ID).createOrReplaceTempView(view)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{LOAD_ID}` = {_sql_string(load_id)}) SELECT * FROM {view}")
+        spark.catalog.dropTempView(view)
+    else:
+        rows.write.insertInto(table, overwrite=(mode == "overwrite"))
     spark.catalog.refreshTable(table)
     return spark.table(table).count()

@@ -55,3 +55,19 @@ def test_null_value_has_no_cluster_or_score(spark):
     m = ComponentModel("Recency", "Cluster_Recency", False, [1.0, 5.0], 1, [0, 1])
     df = spark.createDataFrame([(None,), (0,), (9,)], "Recency long").select(m.label(F.col("Recency")).alias("l"))
     assert [tuple(r) for r in df.select("l", m.score(F.col("l"))).collect()] == [(None, None), (0, 1), (1, 0)]
+
+
+def test_a_load_run_twice_leaves_one_copy(spark):
+    from cohortlens.plans.registry import raw
+    from cohortlens.operators import synth
+    io.create_dataset(spark, "t_loads")
+    table = io.table_creation(spark, io.SCHEMA_DIR / "raw_data.json", "t_loads", by_load=True)
+    rows = raw(spark, SF).select(*synth.get_synthetic_output_columns(raw(spark, SF).columns))
+    n, half = rows.count(), rows.where("ID % 2 = 0").count()
+    assert io.load_table(rows, table, mode="overwrite", load_id="a") == n
+    assert io.load_table(rows.where("ID % 2 = 0"), table, load_id="b") == n + half
+    assert io.load_table(rows.where("ID % 2 = 0"), table, load_id="b") == n + half
+    assert io.load_table(rows, table, load_id="c") == 2 * n + half  # another load appends
+    assert io.load_table(rows, table, mode="overwrite", load_id="d") == n
+    with pytest.raises(ValueError):
+        io.load_table(rows, table)
