@@ -1,13 +1,14 @@
 """Exact de-duplication: tree-merge of sorted digest runs.
 
 Documents are dealt to R runs by a hash of their id. A run is the list of its
-distinct digests, each with its smallest id and its number of rows. In every
-round the runs whose numbers share all but the last four bits come together
-(one exchange on run // 16 and digest, a sort-merge aggregate over 16 runs),
-until one run per digest is left. The result goes down the same tree: each
-level takes the winner from the level above, so no key of a join ever has
-more rows than 16 runs, or one run's share of a digest, can hold. A group
-with a third of all rows is spread over all R runs.
+distinct digests in order, each with its smallest id and its number of rows. In
+every round the runs whose numbers share all but the last four bits come
+together: one exchange on run // 16 and digest, a sort by digest, in which the
+entries of the 16 runs merge, and one pass over neighbours that keeps the
+smallest id of each digest. It ends with one run per digest. The result goes
+down the same tree: each level takes the winner from the level above, so no key
+of a join ever has more rows than 16 runs, or one run's share of a digest, can
+hold. A group with a third of all rows is spread over all R runs.
 
 A digest is verified at each level: entries merge only if the SHA-256, an
 independent 64-bit hash and the length of the normalised text all agree.
@@ -15,7 +16,7 @@ independent 64-bit hash and the length of the normalised text all agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import SPACE, cut, keep_rows, row_keys, same, text_of
@@ -34,6 +35,15 @@ def _levels(docs: DataFrame) -> int:
     return rounds
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """One sorted run per ``run`` of its entries: rows sorted by digest and id,
+    of neighbours with the same digest the first stays, with the sum of their sizes."""
+    order = Window.partitionBy("run", *KEY).orderBy(F.col("keep").asc_nulls_last())
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (rows.select(*KEY, "run", "keep", F.sum("size").over(whole).alias("size"), F.row_number().over(order).alias("place"))
+            .where("place = 1").drop("place"))
+
+
 def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept,
     text_sha256, text_hash (smallest xxhash64 of the raw texts of that id).
@@ -52,10 +62,9 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     run = F.pmod(F.xxhash64("doc_id"), F.lit(1 << (FAN_BITS * rounds)))
     base = cut(base.groupBy("doc_id", *KEY).agg(F.count("*").alias("m"), F.min("text_hash").alias("text_hash")).withColumn("run", run))
 
-    levels = [cut(base.groupBy(*KEY, "run").agg(F.min("doc_id").alias("keep"), F.sum("m").alias("size")))]
+    levels = [cut(_merged(base.select(*KEY, "run", F.col("doc_id").alias("keep"), F.col("m").alias("size"))))]
     for _ in range(rounds):  # up: binomial rounds, 16 runs into one
-        up = levels[-1].withColumn("run", F.shiftrightunsigned("run", FAN_BITS))
-        levels.append(cut(up.groupBy(*KEY, "run").agg(F.min("keep").alias("keep"), F.sum("size").alias("size"))))
+        levels.append(cut(_merged(levels[-1].withColumn("run", F.shiftrightunsigned("run", FAN_BITS)))))
     won = levels.pop()
     while levels:  # down: each run learns the winner
         won = _from_above(levels.pop().select(*KEY, "run"), won, FAN_BITS)

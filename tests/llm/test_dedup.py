@@ -46,6 +46,20 @@ def test_exact_dedup_hot_group(spark):
     assert out.where("group_size = 1000 AND keep_id = 0").count() == 1000
 
 
+def test_runs_are_merged_in_digest_order(spark):
+    """A round sorts the entries of its runs and passes over neighbours; no hash aggregate."""
+    rng = random.Random(3)
+    data = [(f"{rng.randrange(40):02}", 1, 1, rng.randrange(4), rng.choice([None, *range(100)]), rng.randrange(1, 5)) for _ in range(500)]
+    out = exact_dedup._merged(spark.createDataFrame(data, "sha string, chk long, len int, run long, keep long, size long"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [run" in plan and "Window" in plan and "HashAggregate" not in plan
+    expected = {}
+    for sha, _, _, run, keep, size in data:
+        k, n = expected.get((run, sha), (None, 0))
+        expected[run, sha] = (min(x for x in (k, keep) if x is not None) if (k, keep) != (None, None) else None, n + size)
+    assert {(r.run, r.sha): (r.keep, r["size"]) for r in out.collect()} == expected
+
+
 def brute_components(fps, ids):
     """Smallest id reachable, by comparing all pairs."""
     f = np.array(fps, dtype=np.uint64)
