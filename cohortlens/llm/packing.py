@@ -28,7 +28,7 @@ SHARD_BYTES = 8 << 20
 #: The id after each document; the rank files leave it free.
 END_ID = 50256
 SCHEMA = ("shard long, row long, n_tokens int, doc_ids array<{id}>, parts array<int>, cu_seqlens array<int>, "
-          "ids binary, positions binary")
+          "ids binary, positions binary, text_hashes array<long>")
 
 
 class Room:
@@ -137,7 +137,7 @@ def pack(docs: DataFrame, ranks: bytes | None = None, row: int = ROW, end_id: in
     """One row per packed row: shard, row, n_tokens (without padding),
     doc_ids and parts of its segments, cu_seqlens (0, then the end of each
     segment), ids (``row`` ids, padded with ``pad_id``), positions (4 bytes
-    each as ids with ``wide``, else 2).
+    each as ids with ``wide``, else 2), text_hashes of its segments.
 
     Nothing is dropped: a null or empty text is its end mark; every part of a
     long text is a segment, and parts by number join to the whole. Ids of
@@ -151,18 +151,18 @@ def pack(docs: DataFrame, ranks: bytes | None = None, row: int = ROW, end_id: in
     shards = int(size // shard_bytes) + 1
     parts = token_parts(docs, ranks, row, end_id, wide, id_col, text_col)
     parts = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash", "part"), F.lit(shards).cast("long")))
-    parts = parts.repartition(shards, "shard").sortWithinPartitions("shard", F.desc("n"), "doc_id", "text_hash", "part")
-    parts = parts.select("shard", "doc_id", "part", "n", "ids")
+    # as many reducers as the session has shuffle partitions, each with some shards
+    parts = parts.repartition("shard").sortWithinPartitions("shard", F.desc("n"), "doc_id", "text_hash", "part")
+    parts = parts.select("shard", "doc_id", "part", "n", "ids", "text_hash")
     id_type = parts.schema["doc_id"].dataType
-    arrow_id = pa.string() if id_type.simpleString() == "string" else pa.int32() if id_type.simpleString() == "int" else pa.int64()
     kind = "<u4" if wide else "<u2"
-    names = ["shard", "row", "n_tokens", "doc_ids", "parts", "cu_seqlens", "ids", "positions"]
+    names = ["shard", "row", "n_tokens", "doc_ids", "parts", "cu_seqlens", "ids", "positions", "text_hashes"]
 
-    def packed(shard: int, items: list[tuple]) -> pa.RecordBatch:
+    def packed(shard: int, items: list[tuple], arrow_id: pa.DataType) -> pa.RecordBatch:
         rows: dict[int, list[tuple]] = {}
         for item, r in zip(items, best_fit([x[2] for x in items], row)):
             rows.setdefault(r, []).append(item)
-        total, doc_ids, numbers, ends, ids, positions = [], [], [], [], [], []
+        total, doc_ids, numbers, ends, ids, positions, hashes = [], [], [], [], [], [], []
         pad = np.array([pad_id], dtype=kind).tobytes()
         for segments in rows.values():
             lengths = [x[2] for x in segments]
@@ -171,6 +171,7 @@ def pack(docs: DataFrame, ranks: bytes | None = None, row: int = ROW, end_id: in
             total.append(n)
             doc_ids.append([x[0] for x in segments])
             numbers.append([x[1] for x in segments])
+            hashes.append([x[4] for x in segments])
             ends.append(cu.tolist())
             ids.append(b"".join(x[3] for x in segments) + pad * (row - n))
             place = np.arange(row)
@@ -180,20 +181,21 @@ def pack(docs: DataFrame, ranks: bytes | None = None, row: int = ROW, end_id: in
         k = len(total)
         return pa.RecordBatch.from_arrays(
             [pa.array([shard] * k, pa.int64()), pa.array(list(rows), pa.int64()), pa.array(total, pa.int32()), pa.array(doc_ids, pa.list_(arrow_id)),
-             pa.array(numbers, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())), pa.array(ids, pa.binary()), pa.array(positions, pa.binary())],
-            names=names)
+             pa.array(numbers, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())), pa.array(ids, pa.binary()), pa.array(positions, pa.binary()),
+             pa.array(hashes, pa.list_(pa.int64()))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, items = None, []
+        shard, items, arrow_id = None, [], None
         for b in batches:
+            arrow_id = b.schema.field("doc_id").type
             for s, *item in zip(*(c.to_pylist() for c in b.columns)):
                 if s != shard:
                     if items:
-                        yield packed(shard, items)
+                        yield packed(shard, items, arrow_id)
                     shard, items = s, []
                 items.append(tuple(item))
         if items:
-            yield packed(shard, items)
+            yield packed(shard, items, arrow_id)
 
     return parts.mapInArrow(run, SCHEMA.format(id=id_type.simpleString()))
 
@@ -206,21 +208,29 @@ def write_packed(docs: DataFrame, path: str, **options) -> DataFrame:
 
 
 def unpack(rows: DataFrame, wide: bool = False) -> DataFrame:
-    """doc_id, ids (array): the documents back from packed rows, with end marks."""
+    """doc_id, text_hash, ids (array): the documents back from packed rows,
+    with end marks; a row per input row, also for ids that repeat or are null.
+    Rows that repeat an id and its text are equal in every part, so a part found
+    n times belongs to n of them."""
     kind, unit = ("<u4", 4) if wide else ("<u2", 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = ([], [], [])
-            for doc_ids, parts, cu, ids in zip(*(c.to_pylist() for c in b.columns)):
-                for d, p, s, e in zip(doc_ids, parts, cu, cu[1:]):
+            out = ([], [], [], [])
+            for doc_ids, parts, cu, ids, hashes in zip(*(c.to_pylist() for c in b.columns)):
+                for d, h, p, s, e in zip(doc_ids, hashes, parts, cu, cu[1:]):
                     out[0].append(d)
-                    out[1].append(p)
-                    out[2].append(np.frombuffer(ids[s * unit:e * unit], dtype=kind).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], b.column(0).type.value_type), pa.array(out[1], pa.int32()),
-                                              pa.array(out[2], pa.list_(pa.int32()))], names=["doc_id", "part", "ids"])
+                    out[1].append(h)
+                    out[2].append(p)
+                    out[3].append(np.frombuffer(ids[s * unit:e * unit], dtype=kind).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], b.column(0).type.value_type), pa.array(out[1], pa.int64()),
+                                              pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int32()))],
+                                             names=["doc_id", "text_hash", "part", "ids"])
 
     id_type = rows.schema["doc_ids"].dataType.elementType.simpleString()
-    segments = rows.select("doc_ids", "parts", "cu_seqlens", "ids").mapInArrow(run, f"doc_id {id_type}, part int, ids array<int>")
-    whole = segments.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("p"))
-    return whole.select("doc_id", F.flatten(F.col("p.ids")).alias("ids"))
+    segments = rows.select("doc_ids", "parts", "cu_seqlens", "ids", "text_hashes").mapInArrow(
+        run, f"doc_id {id_type}, text_hash long, part int, ids array<int>")
+    parts = segments.groupBy("doc_id", "text_hash", "part").agg(F.first("ids").alias("ids"), F.count("*").alias("n"))
+    whole = parts.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("p"), F.max("n").alias("n"))
+    return whole.select("doc_id", "text_hash", F.flatten(F.col("p.ids")).alias("ids"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i")).drop("i")

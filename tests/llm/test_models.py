@@ -81,6 +81,55 @@ def test_mix_edges(spark, edge_docs, clashing_docs, no_docs):
     assert all(r.taken == 0 for r in mixing.mix(empty).collect())
 
 
+def plain_copies(cells):
+    """One source's cells (size, n, rate): ranges of sizes from 0 carry, the last one with what the others are short of."""
+    def round_down(part, carry):
+        out = {}
+        for size, n, r in sorted(part, reverse=True):
+            want = carry + n * r * size
+            out[size] = 0 if size == 0 else max(0, min(2 * n, math.floor(want / size + 0.5)))
+            carry = want - out[size] * size
+        return out, carry
+    ranges = sorted({s // mixing.RANGE for s, _, _ in cells})
+    copies, short = {}, 0.0
+    for x in ranges[:0:-1]:
+        got, carry = round_down([c for c in cells if c[0] // mixing.RANGE == x], 0.0)
+        copies |= got
+        short += round(carry, 6)
+    return copies | round_down([c for c in cells if c[0] // mixing.RANGE == ranges[0]], short)[0]
+
+
+def sized_cells(spark, n):
+    rng = random.Random(n)
+    cells = [("a", s, rng.randrange(1, 4)) for s in rng.sample(range(3 * n), n)]
+    words = sum(s * k for _, s, k in cells)
+    solved = spark.createDataFrame([("a", words, 0.8 * words, False, -0.3 / (3 * n) * 1000)], "key string, source_size long, target double, full boolean, lam double")
+    return cells, spark.createDataFrame(cells, "key string, size long, n long"), solved
+
+
+def test_rounding_in_ranges(spark):
+    cells, df, solved = sized_cells(spark, 1500)
+    lam = solved.first().lam
+    rated = [(s, k, min(2.0, math.exp(lam * s / mixing.UNIT))) for _, s, k in cells]
+    got = {r["size"]: (r.copies, r.extra) for r in mixing._rounded(df, solved).collect()}
+    n_of = {s: k for _, s, k in cells}
+    assert {s: c * n_of[s] + e for s, (c, e) in got.items()} == plain_copies(rated)
+    words = sum(s * k * r for s, k, r in rated)
+    assert abs(sum(s * (c * n_of[s] + e) for s, (c, e) in got.items()) - words) <= 20  # of 5.5 million
+
+
+def test_rounding_takes_linear_time(spark):
+    import time
+    took = []
+    for n in (20_000, 40_000):
+        _, df, solved = sized_cells(spark, n)
+        mixing._rounded(df, solved).count()
+        t = time.perf_counter()
+        mixing._rounded(df, solved).agg({"copies": "sum"}).collect()
+        took.append(time.perf_counter() - t)
+    assert took[1] < 2 * took[0] + 1
+
+
 # ---- packing
 
 def test_best_fit_takes_the_least_room():
@@ -101,9 +150,8 @@ def test_best_fit_takes_the_least_room():
 
 def test_packing_round_trip(spark, edge_docs, clashing_docs, no_docs, tmp_path):
     enc = packing._encoding(packing.default_ranks())
-    docs = edge_docs.dropDuplicates(["doc_id"]).where("doc_id IS NOT NULL")
-    expected = {r.doc_id: enc.encode_ordinary(r.text or "") + [packing.END_ID] for r in docs.collect()}
-    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    docs = edge_docs.union(edge_docs.limit(3))  # all edges: null ids, repeated ids, repeated rows
+    expected = sorted(((r.doc_id, enc.encode_ordinary(r.text or "") + [packing.END_ID]) for r in docs.collect()), key=repr)
     for wide, row in ((False, 64), (True, 2048)):
         packed = packing.write_packed(docs, str(tmp_path / f"p{row}"), row=row, wide=wide, shard_bytes=1 << 16)
         kind = "<u4" if wide else "<u2"
@@ -112,7 +160,9 @@ def test_packing_round_trip(spark, edge_docs, clashing_docs, no_docs, tmp_path):
             ids, place = np.frombuffer(r.ids, kind), np.frombuffer(r.positions, kind)
             assert len(ids) == len(place) == row and cu[0] == 0 and cu[-1] == r.n_tokens and (ids[cu[-1]:] == packing.END_ID).all()
             assert all((place[s:e] == np.arange(e - s)).all() for s, e in zip(cu, cu[1:])) and (place[cu[-1]:] == 0).all()
-        assert {r.doc_id: r.ids for r in packing.unpack(packed, wide).collect()} == expected
+        assert rows(packing.unpack(packed, wide), "doc_id", "ids") == expected
+    days = spark.createDataFrame([(1, "a b"), (2, "c")], "d int, text string").selectExpr("date'2020-01-01' + d AS doc_id", "text")
+    assert packing.unpack(packing.pack(days)).select("doc_id").exceptAll(days.select("doc_id")).count() == 0
     assert rows(packing.pack(clashing_docs, row=64)) == rows(packing.pack(edge_docs, row=64))
     assert packing.pack(no_docs).count() == 0
     with pytest.raises(ValueError):
