@@ -9,8 +9,9 @@ sources at once: a step is one join and one aggregate over the histogram
 are decimals, so reruns on other partitions give the same rates.
 
 Rates become whole copies from the largest size down; what a size rounds away
-is carried to the next smaller one, so a source ends within about half its
-smallest document of its target.
+is carried to the next smaller one. Ranges of sizes do so side by side, and what
+they are left short of goes to the source's smallest sizes, so a source ends
+within about half its smallest document of its target.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ WEIGHTS = (3, 1, 2)
 #: Words of the mix, as a share of all words.
 SHARE = 1.5
 MAX_COPIES = 2
+#: Sizes of a range that is rounded in one list.
+RANGE = 256
 #: Slices of a (source, size) cell when its documents are ranked.
 SLICES = 256
 #: Rounds after which the solver gives up with an error (bisection alone ends far earlier).
@@ -107,11 +110,16 @@ def solve(cells: DataFrame, goal: DataFrame) -> DataFrame:
 
 def _rounded(cells: DataFrame, solved: DataFrame) -> DataFrame:
     """key, size, copies (for every document of the cell), extra (documents
-    that get one more). A source's list has one entry per distinct size."""
+    that get one more).
+
+    Cells are rounded in order of falling size, each with the words that the
+    ones before it were short. Ranges of RANGE sizes do that side by side, a
+    list of at most RANGE cells each; what they are left short is added up and
+    goes to the source's range of smallest sizes, which is rounded last."""
     c = cells.withColumnRenamed("key", "k").join(solved, F.col("k") == F.col("key"))
     c = c.select("key", "source_size", "target", "size", "n", _rate(F.col("lam"), F.col("size"), F.col("full")).alias("r"))
-    per = c.groupBy("key", "source_size", "target").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("neg"), "n", "r"))).alias("list"))
+    per = cut(c.groupBy("key", "source_size", "target", F.expr(f"size div {RANGE}").alias("range")).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("neg"), "n", "r"))).alias("list")))
 
     def add(acc: Column, x: Column) -> Column:
         size = -x["neg"]
@@ -120,9 +128,16 @@ def _rounded(cells: DataFrame, solved: DataFrame) -> DataFrame:
             F.greatest(F.lit(0).cast("long"), F.least(x["n"] * MAX_COPIES, F.floor(F.try_divide(want, size) + 0.5).cast("long"))))
         return F.struct((want - k * size).alias("carry"), F.concat(acc["ks"], F.array(k)).alias("ks"))
 
-    start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<bigint>").alias("ks"))
-    ks = F.aggregate("list", start, add, lambda a: a["ks"])
-    cell = per.select("key", "source_size", "target", F.explode(F.arrays_zip(F.col("list"), ks.alias("ks"))).alias("c"))
+    def run(df: DataFrame, carry: Column) -> DataFrame:
+        start = F.struct(carry.alias("carry"), F.array().cast("array<bigint>").alias("ks"))
+        return df.withColumn("done", F.aggregate("list", start, add)).select("key", "source_size", "target", "list", "done")
+
+    last = per.groupBy(F.col("key").alias("lk")).agg(F.min("range").alias("lr"))
+    marked = per.join(last, F.col("key") == F.col("lk"))
+    most = cut(run(marked.where("range > lr"), F.lit(0.0)))
+    short = most.groupBy(F.col("key").alias("sk")).agg(F.sum(F.round("done.carry", 6).cast("decimal(32,6)")).cast("double").alias("short"))
+    rest = run(marked.where("range = lr").join(short, F.col("key") == F.col("sk"), "left"), F.coalesce("short", F.lit(0.0)))
+    cell = most.unionByName(rest).select("key", "source_size", "target", F.explode(F.arrays_zip(F.col("list"), F.col("done.ks").alias("ks"))).alias("c"))
     n = F.col("c.list.n")
     return cell.select("key", "source_size", "target", (-F.col("c.list.neg")).alias("size"),
                        F.floor(F.col("c.ks") / n).cast("long").alias("copies"), (F.col("c.ks") % n).alias("extra"))
