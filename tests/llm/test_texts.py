@@ -107,7 +107,7 @@ def plain_counts(t):
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
     covered = {i + d for i, w in enumerate(windows) if windows.count(w) > 1 for d in range(8)}
     lines = [x for x in t.split("\n") if re.search(f"[^{WS[1:]}", x)]
-    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered), len(lines))
 
 
 def test_host_counts_brute_force(edge_docs, clashing_docs, no_docs):
@@ -138,6 +138,63 @@ def test_host_verdict_and_prior(spark):
     assert kept == {i for i, r in out.items() if r.kept}
 
 
+def plain_host_verdicts(rows):
+    """Hosts that fail, from (host, counts): the rules, prior and limit in plain Python."""
+    hosts = {}
+    for host, (words, _chars, symbols, dups, repeats, lines) in rows:
+        fails = (words < 20, 100 * repeats > 30 * words, 100 * symbols > 10 * words, 100 * dups > 30 * lines)
+        hosts.setdefault(host, []).append(fails)
+    bad = set()
+    for j in range(4):
+        kn = {h: (sum(f[j] for f in fs), len(fs)) for h, fs in hosts.items()}
+        rates, size = [k / n for k, n in kn.values()], sum(n for _, n in kn.values()) / len(kn)
+        mean, chance = sum(rates) / len(rates), sum(1 / n for _, n in kn.values()) / len(kn)
+        weight, centre = size, sum(k for k, _ in kn.values()) / sum(n for _, n in kn.values())
+        if len(rates) > 1 and chance < 1:
+            var = sum((r - mean) ** 2 for r in rates) / (len(rates) - 1)
+            between = (var - mean * (1 - mean) * chance) / (1 - chance)
+            if 0 < between < mean * (1 - mean):
+                weight, centre = mean * (1 - mean) / between - 1, mean
+        for h, (k, n) in kn.items():
+            r = (k + weight * centre) / (n + weight)
+            if r - 2 * (r * (1 - r) / (n + weight + 1)) ** 0.5 > max(4 * centre / (1 + 3 * centre), 0.2):
+                bad.add(h)
+    return bad
+
+
+def test_host_bad_in_one_failure(spark):
+    """A host bad only in symbols, or only in repeated lines, goes with its clean documents; few failures or few documents don't condemn one."""
+    words = [f"w{i}" for i in range(40)]
+    texts = {"clean": " ".join(words), "symbols": " # $ ".join(words), "lines": "\n".join([*words[:30], *words[:20]]), "short": "too short"}
+    plan = {f"h{i}": {"clean": 45, "symbols": 2, "lines": 2, "short": 1} for i in range(12)}
+    plan |= {"hash": {"clean": 10, "symbols": 40}, "echo": {"clean": 10, "lines": 40}, "some": {"clean": 40, "symbols": 10}, "one": {"symbols": 1, "clean": 1},
+             None: {"clean": 3, "lines": 30}}
+    data = [(texts[t] + f" {h}{i}", h) for h, parts in plan.items() for t, n in parts.items() for i in range(n)]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(data)], "doc_id long, text string, source string")
+    out = host_rules.judge(df).collect()
+    assert {data[r.doc_id][1] for r in out if r.host_failed} == {"hash", "echo", None}
+    assert all(r.kept == (not r.base_failed and not r.host_failed) for r in out)
+    assert {r.doc_id for r in host_rules.filter_documents(df).collect()} == {r.doc_id for r in out if r.kept}
+    assert not any(r.host_failed for r in host_rules.judge(df.where("source = 'hash'")).collect())  # alone, it is the corpus
+
+
+def test_host_verdicts_brute_force(spark):
+    """Random hosts of all sizes against the plain form."""
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(30)]
+    data = []
+    for h in range(60):
+        shares = [rng.choice([0.02, 0.05, 0.1, 0.5, 0.9]) for _ in range(3)]
+        for _ in range(rng.choice([1, 2, 5, 20, 60])):
+            symbols, lines, short = (rng.random() < x for x in shares)
+            w = words[:5] if short else words
+            data.append((("\n" if lines else " ").join(w + w[:len(w) // 2 if lines else 0]) + (" # % &" * 4 if symbols else ""), f"h{h}" if h else None))
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(data)], "doc_id long, text string, source string")
+    expected = plain_host_verdicts([(h, plain_counts(t)) for t, h in data])
+    got = {data[r.doc_id][1] for r in host_rules.judge(df).where("host_failed").collect()}
+    assert got == expected and 0 < len(expected) < 60
+
+
 @pytest.fixture(scope="module")
 def enc():
     return piece_bpe.PrefixEncoder(piece_bpe.default_model())
