@@ -3,15 +3,16 @@
 The categories come in a fixed order. Each has a logistic regression over the
 words and word beginnings present in a text, and the probabilities of the
 categories before it. For training, those are out-of-fold: the rows of a fold
-get them from a model that has not seen the fold. When scoring, the models
-run one after the other.
+get them from a model whose features were chosen, and whose weights were
+fitted, without the fold. When scoring, the models run one after the other.
 
 The models are fitted on a bounded sample of the labelled rows (documented
-parameters below); features are counted in Spark, and only the chosen features
-of the sampled rows come to the driver. The threshold is set over all labelled
-rows: each is scored in Spark by the models of its fold, which have not seen
-it, and the best F1 is taken from a histogram of these scores. All documents
-are scored.
+parameters below); features are counted in Spark by fold, and only the chosen
+features of the sampled rows come to the driver. The threshold is set over all
+labelled rows, each scored by the chain of its fold: its features and weights
+come from the other folds, only the earlier category's probabilities in their
+training rows come from models that saw the fold. The best F1 is taken from a
+histogram of these scores. All documents are scored, once.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def text_features(text: str) -> set[str]:
 class Chain:
     """labels in order; feature -> place; per label: weights, intercept,
     weights of the probabilities before it; threshold of the last label; the
-    chains fitted without the rows of each fold."""
+    chains fitted without the rows of each fold, on the same places."""
     labels: list[str]
     place: dict[str, int]
     weights: list[np.ndarray] = field(default_factory=list)
@@ -69,12 +70,17 @@ class Chain:
         self.bias.append(bias)
         self.link.append(link)
 
-    def probabilities(self, places: list[int]) -> list[float]:
-        out: list[float] = []
-        for w, b, v in zip(self.weights, self.bias, self.link):
-            z = b + float(w[places].sum()) + sum(x * p for x, p in zip(v, out))
-            out.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
-        return out
+    def log_odds(self, rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
+        """n rows by labels, from the presence pairs (rows, cols)."""
+        z, before = np.zeros((n, len(self.labels))), np.zeros((n, 0))
+        for j, (w, b, v) in enumerate(zip(self.weights, self.bias, self.link)):
+            z[:, j] = b + np.bincount(rows, weights=w[cols], minlength=n) + before @ v
+            before = np.column_stack([before, _probability(z[:, j])])
+        return z
+
+
+def _probability(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
 def _fit(rows: np.ndarray, cols: np.ndarray, extra: np.ndarray, y: np.ndarray, n_features: int) -> tuple[np.ndarray, float, np.ndarray]:
@@ -89,7 +95,7 @@ def _fit(rows: np.ndarray, cols: np.ndarray, extra: np.ndarray, y: np.ndarray, n
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, STEPS + 1):
         z = np.bincount(rows, weights=theta[cols], minlength=n) + extra @ theta[n_features:-1] + theta[-1]
-        g = importance * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
+        g = importance * (_probability(z) - y)
         grad = np.concatenate([np.bincount(cols, weights=g[rows], minlength=n_features), extra.T @ g, [g.sum()]])
         grad[:-1] += RIDGE * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
@@ -97,15 +103,18 @@ def _fit(rows: np.ndarray, cols: np.ndarray, extra: np.ndarray, y: np.ndarray, n
     return theta[:n_features], float(theta[-1]), theta[n_features:-1]
 
 
-def fit_chain(labels: list[str], place: dict[str, int], rows: np.ndarray, cols: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Chain:
+def fit_chain(labels: list[str], place: dict[str, int], rows: np.ndarray, cols: np.ndarray, y: np.ndarray, fold: np.ndarray,
+              allowed: np.ndarray) -> Chain:
     """Fit the chain on the sample: presence pairs (rows, cols), 0/1 matrix y
-    by label, fold of each row."""
+    by label, fold of each row, and the features (matrix FOLDS + 1 by places)
+    that the chain of each fold, and last the whole chain, may use."""
     chain, n, k = Chain(labels, place), len(y), len(place)
     chain.folds = [Chain(labels, place) for _ in range(FOLDS)]
     before = np.zeros((n, 0))
     for j in range(len(labels)):
         out = np.zeros(n)
-        whole = _fit(rows, cols, before, y[:, j], k)
+        mine = allowed[FOLDS][cols]
+        whole = _fit(rows[mine], cols[mine], before, y[:, j], k)
         for f in range(FOLDS):
             inside = fold != f
             if inside.all():  # none of the fold's rows is in the sample
@@ -114,10 +123,10 @@ def fit_chain(labels: list[str], place: dict[str, int], rows: np.ndarray, cols:
                 model = np.zeros(k), -50.0, np.zeros(j)
             else:
                 number = np.cumsum(inside) - 1
-                keep = inside[rows]
+                keep = inside[rows] & allowed[f][cols]
                 model = w, b, v = _fit(number[rows[keep]], cols[keep], before[inside], y[inside, j], k)
                 z = np.bincount(rows, weights=w[cols], minlength=n) + before @ v + b
-                out[~inside] = 1 / (1 + np.exp(-np.clip(z[~inside], -50, 50)))
+                out[~inside] = _probability(z[~inside])
             chain.folds[f].add(*model)
         chain.add(*whole)
         before = np.column_stack([before, out])
@@ -145,19 +154,20 @@ def _labelled(labels: DataFrame, names: list[str]) -> DataFrame:
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str, text_col: str) -> DataFrame:
     """doc_id, text, y (array in the order of ``names``) of a bounded sample:
-    the first rows by a hash of the id, POSITIVE_ROWS with the last category
-    and OTHER_ROWS without."""
+    the first ids by a hash, POSITIVE_ROWS with the last category and
+    OTHER_ROWS without. Of documents that repeat an id, the least text counts."""
     y = _labelled(labels, names)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = (y.where(F.element_at("y", -1) == 1).orderBy(*order).limit(POSITIVE_ROWS)
             .unionByName(y.where(F.element_at("y", -1) != 1).orderBy(*order).limit(OTHER_ROWS)))
     some = some.withColumnsRenamed({"doc_id": "label_id"})
     text = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return text.join(F.broadcast(some), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y")  # 6,000 rows at most
+    both = text.join(F.broadcast(some), F.col("doc_id") == F.col("label_id"))  # 6,000 rows at most on the right
+    return both.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
-def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text") -> Chain:
-    """The chain for the 0/1 columns ``names`` of ``labels`` (doc_id, ...)."""
+def fit_sample(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text") -> Chain:
+    """The chain without its threshold."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([list(text_features(t)) for t in b.column(1).to_pylist()], pa.list_(pa.string())),
@@ -165,19 +175,28 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "d
 
     sample = sample_labelled(docs, labels, names, id_col, text_col)
     kind = sample.schema["doc_id"].dataType.simpleString()
-    sample = cut(sample.mapInArrow(sets, f"doc_id {kind}, features array<string>, y array<int>"))
-    total = sample.agg(F.count("*").alias("n"), *[F.sum(F.get("y", F.lit(j))).alias(f"p{j}") for j in range(len(names))]).first()
-    if not total["n"]:
-        return fit_chain(names, {}, np.zeros(0, int), np.zeros(0, int), np.zeros((1, len(names))), np.zeros(1, int))
-    counts = (sample.select(F.explode("features").alias("f"), "y").groupBy("f")
-              .agg(F.count("*").alias("n"), *[F.sum(F.get("y", F.lit(j))).alias(f"p{j}") for j in range(len(names))]))
-    counts = cut(counts.where(F.col("n") >= LEAST_TEXTS))
-    chosen: set[str] = set()
-    for j in range(len(names)):
-        # how far the share of the category among texts with the feature is from the share among all
-        share = (total[f"p{j}"] + 0.5) / (total["n"] + 1)
-        z = F.abs(F.col(f"p{j}") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-        chosen |= {r["f"] for r in counts.orderBy(z.desc(), "f").limit(FEATURES).collect()}
+    sample = cut(sample.mapInArrow(sets, f"doc_id {kind}, features array<string>, y array<int>").withColumn("fold", _fold("doc_id")))
+    if sample.isEmpty():
+        return fit_chain(names, {}, np.zeros(0, int), np.zeros(0, int), np.zeros((1, len(names))), np.zeros(1, int), np.ones((FOLDS + 1, 0), bool))
+    parts = range(FOLDS + 1)  # the rows outside each fold, and last all rows
+
+    def sums() -> list[Column]:
+        """Rows, and rows with each category, outside each fold and in all."""
+        outside = [F.when(F.col("fold") != f, 1).otherwise(0) for f in range(FOLDS)] + [F.lit(1)]
+        return [F.sum(o * c).alias(f"{x}{f}") for f, o in enumerate(outside)
+                for x, c in [("n", F.lit(1)), *((f"p{j}_", F.get("y", F.lit(j))) for j in range(len(names)))]]
+
+    total = sample.agg(*sums()).first()
+    counts = cut(sample.select(F.explode("features").alias("f"), "y", "fold").groupBy("f").agg(*sums()).where(F.col(f"n{FOLDS}") >= LEAST_TEXTS))
+    picked: list[set[str]] = []
+    for f in parts:
+        picked.append(set())
+        for j in range(len(names)):
+            # how far the share of the category among texts with the feature is from the share among all
+            share, n = (total[f"p{j}_{f}"] + 0.5) / (total[f"n{f}"] + 1), F.col(f"n{f}")
+            z = F.abs(F.col(f"p{j}_{f}") - n * share) / F.sqrt(n * share * (1 - share))
+            picked[f] |= {r["f"] for r in counts.where(n >= LEAST_TEXTS).orderBy(z.desc(), "f").limit(FEATURES).collect()}
+    chosen = set().union(*picked)
     names_of = sorted(chosen)
     place = {f: i for i, f in enumerate(names_of)}
 
@@ -186,13 +205,20 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "d
             got = [sorted(place[f] for f in fs if f in place) for fs in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32())), b.column(2)], names=["doc_id", "places", "y"])
 
-    got = sample.mapInArrow(places, f"doc_id {kind}, places array<int>, y array<int>")
-    got = got.withColumn("fold", _fold("doc_id")).orderBy("doc_id", F.xxhash64("places")).collect()
+    allowed = np.array([[f in picked[i] for f in names_of] for i in parts], dtype=bool).reshape(FOLDS + 1, len(names_of))
+    got = sample.select("doc_id", "features", "y").mapInArrow(places, f"doc_id {kind}, places array<int>, y array<int>")
+    got = got.withColumn("fold", _fold("doc_id")).orderBy("doc_id").collect()
     rows = np.repeat(np.arange(len(got)), [len(r["places"]) for r in got])
     cols = np.array([p for r in got for p in r["places"]], dtype=np.int64)
     y = np.array([r["y"] for r in got], dtype=float).reshape(len(got), len(names))
-    chain = fit_chain(names, place, rows, cols, y, np.array([r["fold"] for r in got]))
-    chain.threshold = best_threshold(docs, labels, chain, id_col, text_col)
+    return fit_chain(names, place, rows, cols, y, np.array([r["fold"] for r in got]), allowed)
+
+
+def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text") -> Chain:
+    """The chain for the 0/1 columns ``names`` of ``labels`` (doc_id, ...),
+    with its threshold."""
+    chain = fit_sample(docs, labels, names, id_col, text_col)
+    chain.threshold = best_threshold(_scored(docs, chain, id_col, text_col), labels, chain)
     return chain
 
 
@@ -221,27 +247,46 @@ class _Reader:
         return sorted(hits)
 
 
-def best_threshold(docs: DataFrame, labels: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> float:
-    """The cut with the best F1 over all labelled documents, each scored by the
-    chain of its fold. Documents are scored where they are, and only ids and
-    bins are joined with the labels."""
+def _scored(docs: DataFrame, chain: Chain, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, p_<category> by the chain, and bin: the log-odds of the last
+    category by the chain of the row's fold. A batch is one sparse product."""
+    fields = [f"p_{c}" for c in chain.labels]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Reader(chain.place)
         for b in batches:
-            p = np.array([chain.folds[f].probabilities(places(t.as_py()))[-1] for t, f in zip(b.column(1), b.column(2).to_pylist())], dtype=float)
-            with np.errstate(divide="ignore"):
-                z = np.log(p) - np.log1p(-p)
-            bins = np.floor(np.clip(z, -FARTHEST, FARTHEST) / BIN).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bins)], names=["doc_id", "bin"])
-
-    src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).where(F.col("doc_id").isNotNull()).withColumn("fold", _fold("doc_id"))
-    scored = src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, bin int")
+            n, found = b.num_rows, [places(t.as_py()) for t in b.column(1)]
+            rows = np.repeat(np.arange(n), np.array([len(x) for x in found], dtype=np.int64))
+            cols = np.array([x for xs in found for x in xs], dtype=np.int64)
+            p = _probability(chain.log_odds(rows, cols, n))
+            fold, last = b.column(2).to_numpy(), np.zeros(n)
+            for f, part in enumerate(chain.folds):
+                here = fold == f
+                mine = here[rows]
+                last[here] = part.log_odds((np.cumsum(here) - 1)[rows[mine]], cols[mine], int(here.sum()))[:, -1]
+            bins = np.floor(np.clip(last, -FARTHEST, FARTHEST) / BIN).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(p[:, j]) for j in range(len(fields))), pa.array(bins)],
+                                             names=["doc_id", *fields, "bin"])
+
+    src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("fold", _fold("doc_id"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(run, ", ".join([f"doc_id {kind}", *(f"{c} double" for c in fields), "bin int"]))
+
+
+def best_threshold(scored: DataFrame, labels: DataFrame, chain: Chain) -> float:
+    """The cut with the best F1 over all labelled documents, each by the chain
+    of its fold. Only ids and bins are joined with the labels."""
     y = _labelled(labels, chain.labels).withColumnsRenamed({"doc_id": "label_id"})
-    hist = (scored.join(y, F.col("doc_id") == F.col("label_id")).groupBy("bin")
+    hist = (scored.select("doc_id", "bin").join(y, F.col("doc_id") == F.col("label_id")).groupBy("bin")
             .agg(F.count("*").alias("n"), F.sum(F.when(F.element_at("y", -1) == 1, 1).otherwise(0)).alias("hits")).collect())  # 6,001 bins at most
     return _threshold(*(np.array([r[c] for r in hist], dtype=float) for c in ("bin", "n", "hits")))
 
 
+def _decided(scored: DataFrame, chain: Chain) -> DataFrame:
+    last = chain.labels[-1]
+    return scored.drop("bin").withColumn(last, F.col(f"p_{last}") >= chain.threshold)
+
+
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, p_<category> for each, and a boolean with
     the name of the last category.
@@ -249,22 +294,15 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     A null text is empty; ids may be null or repeat; other columns are
     ignored. Without labelled rows all probabilities are those of an absent
     category. An empty table gives an empty result."""
-    src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    fields = [*(f"p_{c}" for c in chain.labels), chain.labels[-1]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _Reader(chain.place)
-        for b in batches:
-            out = [chain.probabilities(places(t.as_py())) for t in b.column(1)]
-            p = np.array(out, dtype=float).reshape(-1, len(chain.labels))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(p[:, j]) for j in range(p.shape[1])), pa.array(p[:, -1] >= chain.threshold)],
-                                             names=["doc_id", *fields])
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, ", ".join([f"doc_id {kind}", *(f"{c} double" for c in fields[:-1]), f"{fields[-1]} boolean"]))
+    return _decided(_scored(docs, chain, id_col, text_col), chain)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Chain of low quality, then toxicity, from ``labels`` (doc_id, quality, toxic)."""
+    """Chain of low quality, then toxicity, from ``labels`` (doc_id, quality,
+    toxic). The scores are written, so that the threshold and the verdicts
+    come from one reading of the texts."""
     y = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    return score(docs, train(docs, y, ["low_quality", "toxic"]))
+    chain = fit_sample(docs, y, ["low_quality", "toxic"])
+    scored = cut(_scored(docs, chain, "doc_id", "text"))
+    chain.threshold = best_threshold(scored, y, chain)
+    return _decided(scored, chain)
