@@ -45,7 +45,7 @@ def join_small(left: DataFrame, small: DataFrame, keys: list[str], spread: Colum
         cond = [same(left[k], s[n]) for k, n in zip(keys, names)]
         return left.join(F.broadcast(s), cond, how).drop(*names)
     left = left.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALT)))
-    s = s.withColumn("__salt_s", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("long"))
+    s = s.withColumn("__salt_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
     cond = [same(left[k], s[n]) for k, n in zip(keys, names)] + [left["__salt"] == s["__salt_s"]]
     return left.join(s, cond, how).drop("__salt", "__salt_s", *names)
 
