@@ -13,7 +13,8 @@ wildcard variants of the other half, after which at most 18 bits are free.
 No bucket is capped. A fingerprint has a bounded number of others within the
 distance, so the links never grow with the square of a group.
 
-Components come from alternating large-star and small-star rounds.
+Components come from alternating large-star and small-star rounds. Nodes,
+roots and fingerprints of very many rows are counted and joined apart.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import cut, keep_rows, same, text_of
+from cohortlens.llm.common import cut, join_small, keep_rows, same, text_of
 
 SEED = 42
 #: Distance the two-segment, one-wildcard scheme covers.
 MAX_BITS = 3
 #: Buckets with more distinct fingerprints are refined before pairs are made.
 BUCKET = 32
+#: Keys of more rows than this are joined by broadcast or salt, not in one task.
+HOT = 500_000
 #: Shingle hashes turned into bits at a time.
 BLOCK = 1 << 15
 
@@ -118,23 +121,34 @@ def _join_equal(rows: DataFrame, keys: list[str], max_bits: int) -> DataFrame:
     return a.join(b, cond).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
 
+def _join_hot(rows: DataFrame, side: DataFrame, key: str, spread: Column) -> DataFrame:
+    """``rows`` with the columns of ``side``: one row per ``key``, with ``n``,
+    how many of ``rows`` have it. Keys of more than HOT rows are broadcast or
+    salted by ``spread``; the rest are joined by a shuffle."""
+    hot = side.where(F.col("n") > HOT).drop("n").withColumn("__hot", F.lit(True))
+    if hot.isEmpty():
+        return rows.join(side.drop("n"), key)
+    found = join_small(rows, cut(hot), [key], spread)
+    rest = found.where("__hot IS NULL").select(*rows.columns).join(side.where(F.col("n") <= HOT).drop("n"), key)
+    return found.where("__hot").drop("__hot").unionByName(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node reachable) of the pairs (a, b), by large-star
-    and small-star rounds until nothing changes; each round is written to the
-    checkpoint folder."""
+    and small-star rounds until the edges are stars around the smallest nodes,
+    which neither step changes; each step is written to the checkpoint folder."""
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))  # large star
-        large = (both.join(least, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))  # small star
-        small = large.join(least, "u")
-        after = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-                    .where("u <> v").distinct())
-        if edges.exceptAll(after).isEmpty() and after.exceptAll(edges).isEmpty():
-            return after.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        edges = after
+        down = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        near = cut(edges.union(down).groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n"),
+                                                      F.count_if(F.col("v") < F.col("u")).alias("below")))
+        if near.where("below > 1 OR (below = 1 AND n > 0)").isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        large = _join_hot(down, near.where("n > 0").drop("below"), "u", F.col("v"))
+        large = cut(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        near = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        small = _join_hot(large, near, "u", F.col("v"))
+        edges = cut(small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id",
@@ -147,12 +161,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, i
     null ids only has a null component_id. Rows may repeat. Other columns of
     the input are ignored. An empty table gives an empty result."""
     rows = cut(fingerprints(docs, words, id_col, text_col))
-    least = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    least = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
     root = components(links(least.select("fp"), max_bits))
-    labelled = least.join(root, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    comp = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = labelled.join(comp, "root").select(F.col("fp").alias("f"), "component_id")
-    return (rows.join(label, F.col("fp") == F.col("f"))
+    labelled = cut(least.join(root, F.col("fp") == F.col("node"), "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")))
+    comp = cut(labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    label = cut(_join_hot(labelled.select("fp", "rows", "root"), comp, "root", F.col("fp")).select("fp", "component_id", F.col("rows").alias("n")))
+    return (_join_hot(rows, label, "fp", F.xxhash64("doc_id", "text_hash"))
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash"))
 
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from cohortlens.llm import exact_dedup, simhash
+from cohortlens.llm import common, exact_dedup, simhash
 from llm_rows import rows
 
 
@@ -135,6 +135,51 @@ def test_long_chain_is_one_component(spark):
     assert all(out[i] == 0 for i in range(1, 201)) and out[501] == 500
 
 
+def plain_roots(pairs):
+    """Smallest node reachable, by relabelling until nothing changes."""
+    root = {x: x for p in pairs for x in p}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
+@pytest.mark.parametrize("broadcast_rows", [20_000, 0])
+def test_components_with_hot_nodes(spark, monkeypatch, broadcast_rows):
+    """Stars around the smallest, a middle and the largest node, chains and random pairs, with the limits set low."""
+    monkeypatch.setattr(simhash, "HOT", 5)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    rng = random.Random(11)
+    pairs = [(0, i) for i in range(1, 40)] + [(150, i) for i in range(100, 200) if i != 150] + [(i, 399) for i in range(300, 399)]
+    pairs += [(i, i + 1) for i in range(500, 512)] + [(rng.randrange(600, 700), rng.randrange(700, 800)) for _ in range(60)] + [(39, 150)]
+    expected = plain_roots(pairs)
+    shuffled = [p if rng.random() < 0.5 else p[::-1] for p in pairs]
+    out = simhash.components(spark.createDataFrame(shuffled + shuffled[:9], "a long, b long")).collect()
+    assert len(out) == len({r.node for r in out})
+    assert {r.node: r.root for r in out} == {x: m for x, m in expected.items() if x != m}
+
+
+def test_components_of_no_pairs(spark):
+    assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_rows", [20_000, 0])
+def test_near_duplicates_with_hot_fingerprints(spark, monkeypatch, edge_docs, broadcast_rows):
+    """A third of all rows has one fingerprint; null and repeated ids among them."""
+    crowd = spark.createDataFrame([(i if i % 7 else None, None if i % 2 else " ") for i in range(5000, 5040)], "doc_id long, text string")
+    docs = edge_docs.select("doc_id", "text").unionByName(crowd)
+    whole = rows(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id")
+    monkeypatch.setattr(simhash, "HOT", 5)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    data = [(r.doc_id, simhash.fingerprint(r.text or "")) for r in docs.collect()]
+    expected = sorted(((i, f"{f:016x}", c) for (i, f), c in zip(data, brute_components([f for _, f in data], [i for i, _ in data]))), key=repr)
+    assert rows(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == expected == whole
+
+
 def test_near_dedup_keeps_one_per_group(clashing_docs, no_docs):
     out = simhash.deduplicate(clashing_docs)
     assert out.columns == clashing_docs.columns
