@@ -85,7 +85,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
             joined = base.join(F.broadcast(brackets), cond)
         else:
             salt = F.pmod(F.xxhash64("__v"), F.lit(SALT))
-            brackets = brackets.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("long"))
+            brackets = brackets.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
             joined = base.withColumn("__s", salt).join(brackets, cond + [F.col("__s") == F.col("__salt")])
         joined = joined.select(*g, "__v", "__n", F.explode("brs").alias("br")).select(*g, "__v", "__n", "br.*")
     else:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from cohortlens.functions import quantiles
 from cohortlens.functions.quantiles import exact_quantiles, quantile_wide
 
 
@@ -29,3 +30,15 @@ def test_hot_value_skew(spark):
     want = np.percentile([v for _, v in rows], [50, 99])
     assert [x["quantile"] for x in r] == list(want)
     assert df.select(F.median("v")).first()[0] == want[0]
+
+
+def test_more_groups_than_are_broadcast(spark, monkeypatch):
+    """Beyond GROUPS the brackets are joined with a salt; the result is the same."""
+    rnd = random.Random(9)
+    rows = [(rnd.choice([0, 0, 0, *range(1, 25)]), rnd.choice([1.5, rnd.random() * 100])) for _ in range(900)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    monkeypatch.setattr(quantiles, "GROUPS", 3)
+    got = {r["g"]: (r["q0"], r["q1"]) for r in quantile_wide(df, "v", [0.25, 0.9], ["g"]).collect()}
+    assert set(got) == {g for g, _ in rows}
+    for g, q in got.items():
+        assert np.allclose(q, np.percentile([v for h, v in rows if h == g], [25, 90]), rtol=0, atol=1e-9)
