@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from cohortlens.config import SEGMENT_LOWER_BOUNDS, SEGMENT_ORDER, product_label
 
 
-def col_or_name(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def null_safe_sum(cols: Sequence[str]) -> Column:
     """Row-wise sum that skips nulls like pandas ``sum(axis=1)``."""
     expr = None
@@ -57,22 +53,6 @@ def segment_code(seg: Column) -> Column:
     return (F.array_position(F.array(*[F.lit(s) for s in SEGMENT_ORDER]), seg) - 1).cast("bigint")
 
 
-def hash_uniform(seed: int, id_col: Column, name: str) -> Column:
-    """Deterministic uniform in (0, 1) from md5 of ``seed|id|name``; the same
-    bits come out of any engine with md5, so draws do not depend on the
-    partitioning (unlike ``rand``)."""
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), id_col.cast("string"), F.lit(name)))
-    n = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
-    return (n.cast("double") + 0.5) / 4294967296.0
-
-
-def std_normal(seed: int, id_col: Column, name: str) -> Column:
-    """Box–Muller standard normal from two hash uniforms."""
-    u1 = hash_uniform(seed, id_col, name + "#1")
-    u2 = hash_uniform(seed, id_col, name + "#2")
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
-
-
 def unpivot_exprs(pairs: Sequence[tuple[str, Column]], key: str, value: str) -> Column:
     """``explode(array(struct(k, v), ...))`` — a narrow, shuffle-free unpivot
     that keeps a per-key expression (used where ``DataFrame.unpivot`` cannot

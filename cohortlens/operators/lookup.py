@@ -133,8 +133,8 @@ def _vs_segment(seg: DataFrame, cols, labels) -> DataFrame:
     pop = seg.select(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("p")).scalar()
     j = seg.join(F.broadcast(seg_mean), "Segmentation", "left")
     pairs = [(labels[c], F.struct(F.col(c).cast("double").alias("customer"),
-                                  F.round(F.col(f"sm_{c}"), 6).alias("segment_mean"),
-                                  F.round(pop[c], 6).alias("population_mean"))) for c in cols]
+                                  F.col(f"sm_{c}").alias("segment_mean"),
+                                  pop[c].alias("population_mean"))) for c in cols]
     return j.select("ID", "Segmentation", unpivot_exprs(pairs, "category", "v").alias("kv")).select(
         "ID", "Segmentation", "kv.category", "kv.v.*")
 
@@ -161,8 +161,7 @@ def segment_scorecard(seg: DataFrame) -> DataFrame:
         F.avg("Response").alias("response_rate"))
     out = [F.col("Segmentation"), F.col("customers"), base["n"].alias("baseline_customers")]
     for k, _ in measures:
-        rnd = (lambda x: F.round(x, 6)) if k == "apv" else (lambda x: x)
-        out += [rnd(F.col(f"avg_{k}")).alias(f"avg_{k}"), rnd(base[k]).alias(f"avg_{k}_baseline")]
+        out += [F.col(f"avg_{k}"), base[k].alias(f"avg_{k}_baseline")]
     out += [F.col("response_rate"), base["response"].alias("response_rate_baseline")]
     return g.select(*out)
 

@@ -118,12 +118,11 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
                  F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
     wide = df.agg(*aggs)
     pairs = [(c, F.struct(
-        F.col(f"n_{c}").alias("count"), F.round(F.col(f"m_{c}"), 4).alias("mean"), F.round(F.col(f"s_{c}"), 4).alias("std"),
+        F.col(f"n_{c}").alias("count"), F.col(f"m_{c}").alias("mean"), F.col(f"s_{c}").alias("std"),
         F.col(f"lo_{c}").alias("min"), F.col(f"hi_{c}").alias("max"))) for c in cols]
     quart = quantile_wide(_melt(df, cols), "value", [0.25, 0.5, 0.75], ["column"], ["q25", "q50", "q75"])
     return _long(wide, pairs).join(F.broadcast(quart), "column", "left").select(
-        "column", "count", "mean", "std", "min", F.round("q25", 4).alias("q25"), F.round("q50", 4).alias("q50"),
-        F.round("q75", 4).alias("q75"), "max")
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def scalar_stats(df: DataFrame, columns: Sequence[str] = ("Age", "Income")) -> DataFrame:
@@ -133,12 +132,12 @@ def scalar_stats(df: DataFrame, columns: Sequence[str] = ("Age", "Income")) -> D
         aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"),
                  F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
     wide = df.agg(*aggs)
-    pairs = [(c, F.struct(F.round(F.col(f"m_{c}"), 4).alias("mean"),
-                          F.round(F.col(f"s_{c}"), 4).alias("std"), F.col(f"lo_{c}").alias("min"),
+    pairs = [(c, F.struct(F.col(f"m_{c}").alias("mean"),
+                          F.col(f"s_{c}").alias("std"), F.col(f"lo_{c}").alias("min"),
                           F.col(f"hi_{c}").alias("max"))) for c in columns]
     med = quantile_wide(_melt(df, columns), "value", [0.5], ["column"], ["median"])
     return _long(wide, pairs).join(F.broadcast(med), "column", "left").select(
-        "column", "mean", F.round("median", 4).alias("median"), "std", "min", "max")
+        "column", "mean", "median", "std", "min", "max")
 
 
 def _fences(df: DataFrame, c: str):
@@ -241,15 +240,15 @@ def kde_grid(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
     x = lo + (hi - lo) * F.col("point") / (points - 1)
     return agg.select(
         F.col("point").cast("bigint").alias("point"), x.alias("x"),
-        F.round(F.col("k"), 6).alias("kernel_sum"),
-        F.round(F.col("k") / (n * h * F.sqrt(F.lit(2 * 3.141592653589793))), 12).alias("density"),
+        F.col("k").alias("kernel_sum"),
+        (F.col("k") / (n * h * F.sqrt(F.lit(2 * 3.141592653589793)))).alias("density"),
     )
 
 
 def regression(df: DataFrame, y: str = "Age", x: str = "Income") -> DataFrame:
     """Least-squares line y ~ x, Pearson r and R²."""
     return df.agg(
-        F.round(F.regr_slope(y, x), 10).alias("slope"), F.round(F.regr_intercept(y, x), 4).alias("intercept"),
-        F.round(F.corr(y, x), 6).alias("corr"), F.round(F.regr_r2(y, x), 6).alias("r2"),
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
+        F.corr(y, x).alias("corr"), F.regr_r2(y, x).alias("r2"),
         F.regr_count(y, x).alias("n"),
     )

@@ -200,8 +200,8 @@ def top_decile_profile(df: DataFrame, features: Sequence[str] = TOP_DECILE_FEATU
     for f in features:
         rng = F.coalesce(F.nullif(F.col(f"hi_{f}") - F.col(f"lo_{f}"), F.lit(0)), F.lit(1))
         pairs.append((f, F.struct(
-            F.round((F.col(f"t_{f}") - F.col(f"lo_{f}")) / rng, 6).alias("top"),
-            F.round((F.col(f"r_{f}") - F.col(f"lo_{f}")) / rng, 6).alias("rest"),
+            ((F.col(f"t_{f}") - F.col(f"lo_{f}")) / rng).alias("top"),
+            ((F.col(f"r_{f}") - F.col(f"lo_{f}")) / rng).alias("rest"),
         )))
     return wide.select(unpivot_exprs(pairs, "feature", "v").alias("kv")).select("kv.feature", "kv.v.top", "kv.v.rest")
 
@@ -218,6 +218,6 @@ def global_bounds(df: DataFrame) -> DataFrame:
         aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"),
                  F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
     wide = df.agg(*aggs)
-    pairs = [(c, F.struct(F.round(F.col(f"m_{c}"), 4).alias("mean"), F.round(F.col(f"s_{c}"), 4).alias("std"),
+    pairs = [(c, F.struct(F.col(f"m_{c}").alias("mean"), F.col(f"s_{c}").alias("std"),
                           F.col(f"lo_{c}").alias("min"), F.col(f"hi_{c}").alias("max"))) for c in cols]
     return wide.select(unpivot_exprs(pairs, "column", "v").alias("kv")).select("kv.column", "kv.v.*")

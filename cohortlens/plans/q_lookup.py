@@ -10,7 +10,7 @@ from cohortlens.config import (
 )
 from cohortlens.operators import lookup
 from cohortlens.plans import sql as S
-from cohortlens.plans.registry import add, segment_profile, segmented
+from cohortlens.plans.registry import add, rounded, segment_profile, segmented
 
 SB = S.seg_base()
 ACC = " + ".join(f"coalesce({c}, 0)" for c in CAMPAIGN_COLUMNS)
@@ -95,12 +95,13 @@ def _vs_sql(cols, labels) -> str:
     )
 
 
-add("lookup_spend", lambda s, d: lookup.lookup_spend(segmented(s, d)),
+add("lookup_spend", rounded(lambda s, d: lookup.lookup_spend(segmented(s, d)), segment_mean=6, population_mean=6),
     _vs_sql(PRODUCT_COLUMNS, {c: product_label(c) for c in PRODUCT_COLUMNS}))
-add("lookup_channels", lambda s, d: lookup.lookup_channels(segmented(s, d)), _vs_sql(list(CHANNEL_COLUMNS), CHANNEL_COLUMNS))
+add("lookup_channels", rounded(lambda s, d: lookup.lookup_channels(segmented(s, d)), segment_mean=6, population_mean=6),
+    _vs_sql(list(CHANNEL_COLUMNS), CHANNEL_COLUMNS))
 
 _sc = [("rfm", "RMF_Score"), ("total_spent", "Total_Spent"), ("total_purchases", "Total_Purchases"), ("recency", "Recency"), ("apv", "APV")]
-add("segment_scorecard", lambda s, d: lookup.segment_scorecard(segmented(s, d)), sel(
+add("segment_scorecard", rounded(lambda s, d: lookup.segment_scorecard(segmented(s, d)), avg_apv=6, avg_apv_baseline=6), sel(
     "SELECT Segmentation, count(*) AS customers, (SELECT count(*) FROM segmented) AS baseline_customers, "
     + ", ".join(
         (f"round(avg({c}), 6) AS avg_{k}, round((SELECT avg({c}) FROM segmented), 6) AS avg_{k}_baseline" if k == "apv"

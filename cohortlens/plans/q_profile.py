@@ -5,7 +5,7 @@ from __future__ import annotations
 from cohortlens.config import RAW_COLUMNS
 from cohortlens.operators import clean, profile
 from cohortlens.plans import sql as S
-from cohortlens.plans.registry import add, raw, treated
+from cohortlens.plans.registry import add, raw, rounded, treated
 
 RAW_TYPES = {c: ("string" if c in ("Education", "Marital_Status") else "double" if c == "Income"
                  else "date" if c == "Dt_Customer" else "bigint") for c in RAW_COLUMNS}
@@ -41,13 +41,13 @@ add("constant_columns", lambda s, d: profile.constant_columns(raw(s, d)), sel(
         f"CAST(min({c}) AS VARCHAR) AS Value FROM raw" for c in RAW_COLUMNS
     ) + ") WHERE k = 1"
 ))
-add("describe_numeric", lambda s, d: profile.describe_numeric(raw(s, d), NUMERIC_RAW), sel(U(
+add("describe_numeric", rounded(lambda s, d: profile.describe_numeric(raw(s, d), NUMERIC_RAW), mean=4, std=4, q25=4, q50=4, q75=4), sel(U(
     f"SELECT {S.q(c)} AS \"column\", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
     f"CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50, "
     f"round(quantile_cont({c}, 0.75), 4) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM raw"
     for c in NUMERIC_RAW
 )))
-add("scalar_stats", lambda s, d: profile.scalar_stats(treated(s, d)), sel(U(
+add("scalar_stats", rounded(lambda s, d: profile.scalar_stats(treated(s, d)), mean=4, median=4, std=4), sel(U(
     f"SELECT {S.q(c)} AS \"column\", round(avg({c}), 4) AS mean, round(median({c}), 4) AS median, "
     f"round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM treated"
     for c in ("Age", "Income")
@@ -125,14 +125,14 @@ def _kde_sql(src: str, c: str, points: int = profile.KDE_POINTS) -> str:
     )
 
 
-add("kde_grid", lambda s, d: profile.kde_grid(treated(s, d), "Age"), sel(_kde_sql("treated", "Age")))
-add("kde_income", lambda s, d: profile.kde_grid(treated(s, d), "Income"), sel(_kde_sql("treated", "Income")))
-add("income_age_regression", lambda s, d: profile.regression(treated(s, d)), sel(
+add("kde_grid", rounded(lambda s, d: profile.kde_grid(treated(s, d), "Age"), kernel_sum=6, density=12), sel(_kde_sql("treated", "Age")))
+add("kde_income", rounded(lambda s, d: profile.kde_grid(treated(s, d), "Income"), kernel_sum=6, density=12), sel(_kde_sql("treated", "Income")))
+add("income_age_regression", rounded(lambda s, d: profile.regression(treated(s, d)), slope=10, intercept=4, corr=6, r2=6), sel(
     "SELECT round(regr_slope(Age, Income), 10) AS slope, round(regr_intercept(Age, Income), 4) AS intercept, "
     "round(corr(Age, Income), 6) AS corr, round(regr_r2(Age, Income), 6) AS r2, CAST(regr_count(Age, Income) AS BIGINT) AS n FROM treated"
 ))
 MARKER_COLUMNS = ("Age", "Income", "Total_Spent")
-add("hist_markers", lambda s, d: profile.scalar_stats(treated(s, d), MARKER_COLUMNS), sel(U(
+add("hist_markers", rounded(lambda s, d: profile.scalar_stats(treated(s, d), MARKER_COLUMNS), mean=4, median=4, std=4), sel(U(
     f"SELECT {S.q(c)} AS \"column\", round(avg({c}), 4) AS mean, round(median({c}), 4) AS median, "
     f"round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM treated"
     for c in MARKER_COLUMNS

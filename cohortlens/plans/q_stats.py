@@ -9,7 +9,7 @@ from cohortlens.config import (
 )
 from cohortlens.operators import stats
 from cohortlens.plans import sql as S
-from cohortlens.plans.registry import add, raw, treated
+from cohortlens.plans.registry import add, raw, rounded, treated
 
 T = S.base()
 
@@ -142,8 +142,8 @@ def _top_decile_sql() -> str:
     return sel(_union(parts))
 
 
-add("top_decile_profile", lambda s, d: stats.top_decile_profile(treated(s, d)), _top_decile_sql())
-add("global_bounds", lambda s, d: stats.global_bounds(treated(s, d)), sel(_union(
+add("top_decile_profile", rounded(lambda s, d: stats.top_decile_profile(treated(s, d)), top=6, rest=6), _top_decile_sql())
+add("global_bounds", rounded(lambda s, d: stats.global_bounds(treated(s, d)), mean=4, std=4), sel(_union(
     f"SELECT {S.q(c)} AS \"column\", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
     f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM treated"
     for c in INTEGER_NOISE_COLUMNS + ["Income", "Age"]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.config import DEFAULT
 from cohortlens.operators.clean import treat
@@ -28,6 +29,15 @@ def add(name: str, fn: Builder, sql: str | None = None) -> None:
     REGISTRY[name] = (fn, sql)
 
 
+def rounded(build: Builder, **digits: int) -> Builder:
+    """The query with some columns rounded to so many digits, as its SQL has
+    them; the operators themselves keep every digit."""
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = build(spark, sf_dir)
+        return out.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in out.columns])
+    return fn
+
+
 _MEMO: dict[tuple, DataFrame] = {}
 
 
