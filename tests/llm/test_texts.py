@@ -1,6 +1,9 @@
 import hashlib
+import math
 import random
 import re
+import string
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -57,6 +60,68 @@ def test_randomness_battery_adds_random_strings_only(spark):
     assert out[i].spans == f"random:4:{4 + len(random_ones[i])}" and out[i].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def plain_deviate(m):
+    """Combined deviate of a run, straight from the definitions in the module's docstring."""
+    _, _, symbols, collisions, change = next(e for e in secrets.ENCODINGS if re.search(e[1], m))
+    n, k = len(m), len(symbols)
+    excess = k * collisions - 1
+    chi = sum((m.count(c) - n / k) ** 2 / (n / k) for c in symbols)
+    sd = math.sqrt(2 * (k - 1) + 4 * (n - 1) * excess)
+    tests = [((k - 1 + (n - 1) * excess - chi) / sd, (n - 1) * excess / sd)]
+    classes = ["0" if c in string.digits else "a" if c in string.ascii_lowercase else "A" if c in string.ascii_uppercase else "+" for c in m]
+    share = Counter("0" if c in string.digits else "a" if c in string.ascii_lowercase else "A" if c in string.ascii_uppercase else "+" for c in symbols)
+    uniform = 1 - sum((x / k) ** 2 for x in share.values())
+    sd = math.sqrt((n - 1) * change * (1 - change))
+    tests.append(((sum(a != b for a, b in zip(classes, classes[1:])) - 0.5 - (n - 1) * change) / sd, (n - 1) * (uniform - change) / sd))
+    v = [symbols.index(c) + 1 for c in m]
+    mean = sum(v) / n
+    var = sum((x - mean) ** 2 for x in v) / n
+    r = abs((sum(a * b for a, b in zip(v, v[1:])) / (n - 1) - mean * mean) / var) if var > 0 else 1.0
+    tests.append(((secrets.CORRELATION - r) * math.sqrt(n), secrets.SERIAL_WEIGHT))
+    return sum(w * z for z, w in tests) / math.sqrt(sum(w * w for _, w in tests))
+
+
+def plain_rejections(named):
+    """Ids of the runs (id, text) that Benjamini-Hochberg rejects in their stratum of encoding and length,
+    with p-values rounded up to the edge of their bin."""
+    strata = {}
+    for i, m in named:
+        kind = next(e[0] for e in secrets.ENCODINGS if re.search(e[1], m))
+        band = sum(len(m) >= b for b in secrets.BANDS)
+        p = max(0.5 * math.erfc(plain_deviate(m) / math.sqrt(2)), 10.0 ** -secrets.DEEPEST)
+        edge = math.floor(-math.log10(p) * secrets.BINS + 1e-9)
+        strata.setdefault((kind, band), []).append((10.0 ** (-edge / secrets.BINS), i))
+    out = set()
+    for found in strata.values():
+        found.sort()
+        last = max((r for r, (p, _) in enumerate(found, 1) if p <= secrets.FDR * r / len(found)), default=0)
+        out |= {i for _, i in found[:last]}
+    return out
+
+
+def test_battery_is_the_plain_form(spark):
+    """p-values and rejections against plain Python, random strings and names mixed, every encoding and length band."""
+    rng = random.Random(13)
+    word = "index account value group report select customer number table update".split()
+    data = []
+    for _, _, symbols, _, _ in secrets.ENCODINGS:
+        for n in (20, 23, 24, 31, 32, 47, 48, 64, 100, 130, 300):
+            for _ in range(6):
+                data.append("".join(rng.choices(symbols, k=n)))
+                name = "".join(rng.choice(word) for _ in range(n // 5 + 2))[:n - 1] + "2"
+                data.append(name.upper() if symbols.isupper() else name)
+            data.append(symbols[0] * (n - 1) + symbols[-1])
+    data = [m for m in data if re.search("[0-9]", m) and re.search("[A-Za-z]", m)
+            and not re.search("[0-9a-f]{24}|AKIA[A-Z0-9]{16}", m)]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(data)], "doc_id long, text string")
+    for r in df.select("text", secrets._battery(secrets.F.col("text")).alias("p")).collect():
+        expected = max(0.5 * math.erfc(plain_deviate(r.text) / math.sqrt(2)), 1e-30)
+        assert abs(r.p - expected) <= 1e-3 * expected + 1e-7, r.text
+    found = {r.doc_id for r in secrets.scan(df).where("n_random = 1").collect()}
+    plain = plain_rejections(list(enumerate(data)))
+    assert len(plain) > 200 and len(found ^ plain) <= 0.01 * len(plain)  # the tail's polynomial may move a p over an edge
+
+
 def test_battery_finds_short_strings_of_every_encoding(spark):
     """Recall by encoding and length when each stratum holds secrets only, and when a tenth of it; names stay unreported."""
     rng = random.Random(7)
