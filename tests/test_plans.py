@@ -1,6 +1,9 @@
 """Plan-shape checks: the properties the design relies on at scale."""
 
+from pyspark.sql import functions as F
+
 from cohortlens.config import DEFAULT
+from cohortlens.functions.exprs import nearest
 from cohortlens.functions.quantiles import quantile_wide
 from cohortlens.operators import clean, lookup, profile, stats, synth
 from cohortlens.plans.registry import raw, segmented, treated
@@ -20,6 +23,24 @@ def test_mart_prunes_columns(spark):
     assert "l_shipdate" not in p and "CartesianProduct" not in p
 
 
+def test_mart_rounds_and_sorts_lines_cheaply(spark):
+    """A line's cents are not rounded by way of decimal text, and its category
+    is a number of its part; the latest order is read without an exchange by customer."""
+    p = raw_campaign(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round((l_extendedprice" not in p and "round((l_discount" not in p
+    assert "max(last_order" not in p
+    sums = [x for x in p.splitlines() if "Aggregate [l_orderkey" in x]
+    assert sums and all("StartsWith" not in x for x in sums)
+
+
+def test_nearest_is_round(spark):
+    vals = [0.0, -0.0, 0.5, -0.5, 1.5, -1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 1.005 * 100, 8419704.499999999,
+            4503599627370495.5, -4503599627370495.5, 4503599627370497.0, 1e15 + 0.5, 1e18, 123456.5 + 2**-36, 123456.5 - 2**-36, None]
+    vals += [float(f"{i}.{i % 100:02d}") * 100 for i in range(900, 3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert df.where(~F.round("x").eqNullSafe(nearest(F.col("x")))).collect() == []
+
+
 def test_cleaning_has_no_cartesian_join(spark):
     p = plan(clean.treat(raw(spark, SF), DEFAULT))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
