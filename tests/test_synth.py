@@ -182,3 +182,23 @@ def test_proportions_close(spark, md):
     syn = synth.generate_synthetic(spark, md, n_rows=5000)
     comp = synth.proportion_comparison(treated(spark, SF), syn).collect()
     assert all(abs(r["difference"]) < 1 / 5000 + 1e-12 for r in comp)
+
+
+def test_uniforms_are_the_slices_of_the_md5(spark):
+    """The four uniforms of an md5 are its 32-bit slices, whatever the top bits."""
+    import hashlib
+    texts = [hashlib.md5(str(i).encode()).hexdigest() for i in range(300)] + ["0" * 32, "f" * 32, "80000000" * 4, "7fffffff" * 4, "8" + "0" * 31]
+    df = spark.createDataFrame([(h,) for h in texts], "h string")
+    out = df.select("h", *[synth.uniform(synth.hex_half(F.col("h"), k // 2), k % 2).alias(f"u{k}") for k in range(4)]).collect()
+    for r in out:
+        assert [r[f"u{k}"] for k in range(4)] == [(int(r["h"][8 * k:8 * k + 8], 16) + 0.5) / 2**32 for k in range(4)]
+
+
+def test_generator_converts_each_md5_twice(spark, md):
+    """Two conversions from hex per md5, and one per discrete column's draw."""
+    out = synth.generate_synthetic(spark, md, n_rows=1000)
+    names = {nm for nm, _ in [*synth.NORMAL_DRAWS.values(), *synth.UNIFORM_DRAWS.values()]}
+    lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    halves = [x for x in lines if "Project [" in x and "__l_" in x and "conv(" in x]
+    assert len(halves) == 1 and halves[0].count("conv(") <= 2 * len(names)
+    assert sum(x.count("conv(") for x in lines if x not in halves and "__u_" in x) == 0
