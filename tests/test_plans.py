@@ -1,5 +1,7 @@
 """Plan-shape checks: the properties the design relies on at scale."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from cohortlens.config import DEFAULT
@@ -41,6 +43,15 @@ def test_nearest_is_round(spark):
     assert df.where(~F.round("x").eqNullSafe(nearest(F.col("x")))).collect() == []
 
 
+def test_global_stats_are_compiled(spark):
+    """No aggregate has more columns than Spark generates code for."""
+    df = synth.global_stats_frame(treated(spark, SF))
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    aggs = [x for x in final.splitlines() if "HashAggregate(" in x]
+    assert len(aggs) >= 4 and all(re.search(r"\*\(\d+\) HashAggregate", x) for x in aggs)
+
+
 def test_cleaning_has_no_cartesian_join(spark):
     p = plan(clean.treat(raw(spark, SF), DEFAULT))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
