@@ -202,3 +202,26 @@ def test_generator_converts_each_md5_twice(spark, md):
     halves = [x for x in lines if "Project [" in x and "__l_" in x and "conv(" in x]
     assert len(halves) == 1 and halves[0].count("conv(") <= 2 * len(names)
     assert sum(x.count("conv(") for x in lines if x not in halves and "__u_" in x) == 0
+
+
+def test_only_the_generator_is_written_without_whole_stages(spark, monkeypatch):
+    """The mart, the treated table and the metadata keep whole-stage code."""
+    from cohortlens.plans import q_synth, registry
+    seen, whole = {}, "spark.sql.codegen.wholeStage"
+    at_start = spark.conf.get(whole)
+
+    def metadata(s, d):
+        seen["metadata"] = spark.conf.get(whole)
+        return type("M", (), {"total": 1})
+
+    class Out:
+        write = property(lambda self: self)
+
+        def parquet(self, path):
+            seen["write"] = spark.conf.get(whole)
+            spark.range(1).write.parquet(path)
+    monkeypatch.setattr(q_synth, "metadata", metadata)
+    monkeypatch.setattr(registry, "_MEMO", {})
+    monkeypatch.setattr(synth, "generate_synthetic", lambda *a, **b: Out())
+    assert q_synth.synthetic(spark, SF).count() == 1
+    assert seen == {"metadata": at_start, "write": "false"} and spark.conf.get(whole) == at_start
